@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from skein.llm import language_id
+from skein.llm import language_id, simhash
 
 QUERIES = {
     "op2_language_id": language_id.op2_language_id,
+    "op3_simhash": simhash.op3_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
