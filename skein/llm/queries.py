@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from skein.llm import language_id, simhash
+from skein.llm import decontamination, language_id, packing, simhash, token_files
 
 QUERIES = {
     "op2_language_id": language_id.op2_language_id,
     "op3_simhash": simhash.op3_simhash,
+    "op4_token_files": token_files.op4_token_files,
+    "op5_best_fit_packing": packing.op5_best_fit_packing,
+    "op6_decontamination": decontamination.op6_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_decontamination": decontamination.OP6_SQL,
+}

@@ -92,7 +92,7 @@ class Encoder:
             space = plain[:1] == " "
             core = plain.rstrip(string.punctuation)
             letters = core[space:]
-            if letters.isalpha() and max(letters) < _PLAIN_LETTERS:
+            if letters.isalpha() and max(letters) < _PLAIN_LETTERS and "İ" not in letters:
                 tail = plain[len(core) :]
                 self.cache[piece] = self._part(core) + self._part(tail) if tail else self._part(core)
             else:
