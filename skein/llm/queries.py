@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skein.llm import decontamination, language_id, packing, simhash, token_files
+from skein.llm import decontamination, language_id, packing, simhash, token_files, url_filter
 
 QUERIES = {
     "op2_language_id": language_id.op2_language_id,
@@ -10,8 +10,10 @@ QUERIES = {
     "op4_token_files": token_files.op4_token_files,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
     "op6_decontamination": decontamination.op6_decontamination,
+    "op7_url_filter": url_filter.op7_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_decontamination": decontamination.OP6_SQL,
+    "op7_url_filter": url_filter.OP7_SQL,
 }
