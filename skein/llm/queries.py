@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skein.llm import decontamination, language_id, packing, simhash, token_files, url_filter
+from skein.llm import decontamination, embedding_dedup, language_id, packing, simhash, token_files, url_filter
 
 QUERIES = {
     "op2_language_id": language_id.op2_language_id,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_best_fit_packing": packing.op5_best_fit_packing,
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_url_filter": url_filter.op7_url_filter,
+    "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
