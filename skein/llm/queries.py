@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skein.llm import decontamination, embedding_dedup, language_id, packing, simhash, token_files, url_filter
+from skein.llm import decontamination, embedding_dedup, language_id, packing, simhash, token_files, toxicity, url_filter
 
 QUERIES = {
     "op2_language_id": language_id.op2_language_id,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_url_filter": url_filter.op7_url_filter,
     "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
+    "op9_toxicity": toxicity.op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
