@@ -22,7 +22,7 @@ MAX_LANGUAGES = 64
 CHUNK_BYTES = 2048
 LEVEL = 3
 #: A text is rejected if its two best languages differ by a smaller share of its size than this.
-MIN_MARGIN = 0.004
+MIN_MARGIN = 0.002
 
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 

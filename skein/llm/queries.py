@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from skein.llm import decontamination, embedding_dedup, language_id, packing, simhash, token_files, toxicity, url_filter
+from skein.llm import decontamination, embedding_dedup, language_id, packing, sharding, simhash, token_counts, token_files, toxicity, url_filter
 
 QUERIES = {
+    "op1_token_counts": token_counts.op1_token_counts,
     "op2_language_id": language_id.op2_language_id,
     "op3_simhash": simhash.op3_simhash,
     "op4_token_files": token_files.op4_token_files,
@@ -13,9 +14,11 @@ QUERIES = {
     "op7_url_filter": url_filter.op7_url_filter,
     "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
     "op9_toxicity": toxicity.op9_toxicity,
+    "op10_sharding": sharding.op10_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_token_counts": token_counts.OP1_SQL,
     "op6_decontamination": decontamination.OP6_SQL,
     "op7_url_filter": url_filter.OP7_SQL,
 }
