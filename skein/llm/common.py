@@ -35,6 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed_rows(docs: DataFrame, *needed: str) -> DataFrame:
+    """The whole rows as one column, row_, beside the columns an operator needs, so that columns the
+    operator adds cannot clash with others of the rows."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row_"), *needed)
+
+
 def ascii_lower(column):
     return F.translate(column, ASCII_UPPER, ASCII_LOWER)
 

@@ -20,7 +20,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from skein.llm.common import components, hot_split, written
+from skein.llm.common import components, hot_split, packed_rows, written
 
 MAX_BITS = 4
 SHINGLE_WORDS = 4
@@ -168,15 +168,15 @@ def drop_near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame
     """docs without all but one document of each component: the one with the smallest doc_id, of
     repeated rows of it the one with the smallest text. Columns stay as they are."""
     near = written(near_duplicates(docs, max_bits), "simhash-near")
-    one = near.where("doc_id <=> component_id").groupBy("root").agg(F.count("*").alias("n"))
-    lone = near.where("doc_id <=> component_id").join(one.where("n = 1"), "root", "left_semi")
-    kept = docs.join(lone.select("doc_id"), "doc_id", "left_semi")
-    # Rows that repeat a kept doc_id are few; only they are compared whole.
-    again = near.where("doc_id <=> component_id").join(one.where("n > 1"), "root", "left_semi").select("doc_id", "root").distinct()
-    repeated = docs.alias("d").join(again.alias("a"), F.expr("d.doc_id <=> a.doc_id")).select("d.*", "a.root", F.xxhash64("d.text").alias("__h"))
-    mine = with_fingerprint(repeated, out="__fp").join(near.select(F.col("fp").alias("__fp"), F.col("root").alias("__root")).distinct(), "__fp")
-    cols = [F.col(c) for c in docs.columns]
-    first = mine.where("root = __root").groupBy("root").agg(F.min_by(F.struct(*cols), F.struct("text", "__h")).alias("row")).select("row.*")
+    low = near.where("doc_id <=> component_id")
+    n = low.groupBy("root").agg(F.count("*").alias("n"))
+    lone = low.join(n.where("n = 1"), "root", "left_semi").select("doc_id")
+    kept = docs.join(lone.where("doc_id is not null"), "doc_id", "left_semi").select(*docs.columns)
+    # Rows that repeat a kept doc_id, or have none, are few; only they are compared whole.
+    again = low.join(n, "root").where("n > 1 or doc_id is null").select(F.col("doc_id").alias("id_"), "root").distinct()
+    rows = packed_rows(docs, "doc_id", "text").join(again, F.expr("doc_id <=> id_"))
+    mine = with_fingerprint(rows).join(low.select("fp", F.col("root").alias("root_")).distinct(), "fp").where("root = root_")
+    first = mine.groupBy("root").agg(F.min_by("row_", F.struct("text", F.xxhash64("row_"))).alias("row_")).select("row_.*")
     return kept.unionByName(first)
 
 
