@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from skein.llm import decontamination, language_id, packing, simhash, toxicity
-from skein.llm.common import written
+from skein.llm.common import packed_rows, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents whose language is undetermined or too close to call."""
     model = language_id.fit(docs, ~language_id.held_out())
-    return language_id.classify(docs, model).where("accepted").select(*docs.columns)
+    return language_id.classify(packed_rows(docs, "text"), model).where("accepted").select("row_.*")
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents predicted to be toxic."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~toxicity.held_out())
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.score(packed_rows(docs, "text"), model).where("predicted = 0").select("row_.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that hold too much of the benchmark."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.scan(docs, items).where("not contaminated").select(*docs.columns)
+    return decontamination.scan(packed_rows(docs, "text"), items).where("not contaminated").select("row_.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
