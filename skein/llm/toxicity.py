@@ -270,14 +270,18 @@ def _calibrated(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> Model:
     """From labelled rows of docs where usable holds: a bounded sample, the documents with the
     smallest text hashes of each label. Null labels and texts are left out, and so, from training
-    alone, are documents longer than TRAINING_CHARS."""
+    alone, are documents longer than TRAINING_CHARS. Only ids and hashes are shuffled to choose the
+    sample; its texts, at most DOCS_PER_LABEL of each label, are then picked out of the documents."""
     usable = F.lit(True) if usable is None else usable
     known = labels.where("toxic in (0, 1)").select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__toxic"))
-    mine = docs.where(usable & F.col("text").isNotNull() & (F.length("text") <= TRAINING_CHARS)).select("doc_id", "text")
-    joined = mine.join(known, F.col("doc_id") == F.col("__id")).select("text", F.col("__toxic").alias("toxic")).distinct()
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("text"), "text"))
-    rows = joined.withColumn("r", rank).where(F.col("r") <= DOCS_PER_LABEL).collect()
-    return train([(r.text, r.toxic) for r in sorted(rows, key=lambda r: (r.toxic, r.r))])
+    mine = docs.where(usable & F.col("text").isNotNull() & (F.length("text") <= TRAINING_CHARS))
+    hashed = mine.select("doc_id", F.xxhash64("text").alias("h"))
+    joined = hashed.join(known, F.col("doc_id") == F.col("__id")).groupBy(F.col("__toxic").alias("toxic"), "h").agg(F.min("doc_id").alias("id"))
+    rank = F.row_number().over(Window.partitionBy("toxic").orderBy("h"))
+    chosen = joined.withColumn("r", rank).where(F.col("r") <= DOCS_PER_LABEL).drop("r")
+    texts = mine.select("doc_id", "text").join(F.broadcast(chosen), F.expr("doc_id = id and xxhash64(text) = h"))
+    rows = texts.groupBy("toxic", "h").agg(F.min("text").alias("text")).collect()
+    return train([(r.text, r.toxic) for r in sorted(rows, key=lambda r: (r.toxic, r.h))])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
