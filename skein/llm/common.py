@@ -50,6 +50,19 @@ def hot_split(n_rows, limit: int):
     return F.greatest(F.lit(1), F.ceil(n_rows / F.lit(limit))).cast("int")
 
 
+def below(df: DataFrame, keys: list[str], h: str, want: int) -> DataFrame:
+    """Rows of df whose hash h is among about the want smallest distinct ones of their group, and
+    surely not fewer than want of those there are: hashes are spread evenly, so the count of a group
+    says where to cut. What is left is bounded by want and the groups, however large a group was.
+    The groups must be few, as their cuts are broadcast; rows of df do not move."""
+    counts = df.groupBy(*keys).agg(F.approx_count_distinct(h, 0.02).alias("__n"))
+    # Eight deviations of the draw, and of the count.
+    share = F.least(F.lit(1.0), F.lit((want + 8 * want**0.5 + 16) * 1.2) / F.greatest(F.col("__n"), F.lit(1)))
+    cut = counts.select(*(F.col(k).alias(f"__{k}") for k in keys), ((share * 2 - 1) * float(2**63)).alias("__cut"))
+    same = F.expr(" and ".join(f"`{k}` = `__{k}`" for k in keys))
+    return df.join(F.broadcast(cut), same).where(F.col(h).cast("double") <= F.col("__cut")).select(*df.columns)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components as (node, root), root the smallest node reachable; nodes without an edge
     are left out. Large-star and small-star rounds: each is a min-aggregate per node joined back to

@@ -14,6 +14,8 @@ import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from skein.llm.common import below
+
 #: Bound of the training sample: so many slices of so many characters for each language.
 SLICES_PER_LANGUAGE = 400
 SLICE_CHARS = 400
@@ -31,33 +33,31 @@ def folded(text: str) -> str:
     return _NO_LETTERS.sub(" ", text.lower()).strip()
 
 
-def training_slices(docs: DataFrame, usable: Column) -> DataFrame:
-    """A bounded sample: for each language the slices with the smallest hash, of which each text
-    gives one, at a place drawn from its hash. Spark keeps the best rows of each task before the
-    shuffle, so one language with most of the rows is no hot partition."""
-    h = F.xxhash64("text")
+def training_slices(docs: DataFrame, kept: list[str], usable: Column) -> DataFrame:
+    """A bounded sample: for each language in kept the slices with the smallest text hash, of which
+    each distinct text gives one, at a place drawn from its hash. Hashes are cut off by the count of
+    the language's texts before anything is ranked, so no task sees all texts of a language."""
+    known = docs.where(usable & F.col("lang").isin(kept) & F.col("text").isNotNull()).withColumn("h", F.xxhash64("text"))
+    few = below(known.select("lang", "h", "text"), ["lang"], "h", SLICES_PER_LANGUAGE)
     room = F.greatest(F.length("text") - SLICE_CHARS, F.lit(0))
-    known = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    cut = known.select(
-        "lang", h.alias("h"), F.substring(F.col("text"), (F.pmod(h, room + 1) + 1).cast("int"), F.lit(SLICE_CHARS)).alias("piece")
-    )
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "piece"))
-    return cut.withColumn("r", rank).where(F.col("r") <= SLICES_PER_LANGUAGE).drop("r")
+    piece = F.substring(F.col("text"), (F.pmod("h", room + 1) + 1).cast("int"), F.lit(SLICE_CHARS))
+    distinct = few.select("lang", "h", piece.alias("piece")).groupBy("lang", "h").agg(F.min("piece").alias("piece"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    return distinct.withColumn("r", rank).where(F.col("r") <= SLICES_PER_LANGUAGE).drop("r")
 
 
 def fit(docs: DataFrame, usable: Column | None = None) -> dict[str, bytes]:
     """Dictionaries by language, from rows where usable holds and text and lang are not null.
 
-    Repeated slices count once. Without a usable row the model is empty, and every text is `und`.
+    Repeated texts count once. Without a usable row the model is empty, and every text is `und`.
     """
     usable = F.lit(True) if usable is None else usable
     counts = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).groupBy("lang").count()
     kept = [r.lang for r in counts.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    rows = training_slices(docs.where(F.col("lang").isin(kept)) if kept else docs.limit(0), usable).collect()
+    rows = training_slices(docs, kept, usable).collect() if kept else []
     pieces: dict[str, list[str]] = {k: [] for k in kept}
-    for r in sorted(rows, key=lambda r: (r.lang, r.h, r.piece)):
-        if not pieces[r.lang] or pieces[r.lang][-1] != r.piece:
-            pieces[r.lang].append(r.piece)
+    for r in sorted(rows, key=lambda r: (r.lang, r.h)):
+        pieces[r.lang].append(r.piece)
     return {k: folded("\n".join(v)).encode() for k, v in pieces.items() if any(v)}
 
 

@@ -22,6 +22,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from skein.llm.common import below, written
+
 #: Bound of the training sample: so many documents of each label, none longer than so many characters.
 DOCS_PER_LABEL = 1500
 TRAINING_CHARS = 6000
@@ -276,7 +278,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> Mod
     known = labels.where("toxic in (0, 1)").select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__toxic"))
     mine = docs.where(usable & F.col("text").isNotNull() & (F.length("text") <= TRAINING_CHARS))
     hashed = mine.select("doc_id", F.xxhash64("text").alias("h"))
-    joined = hashed.join(known, F.col("doc_id") == F.col("__id")).groupBy(F.col("__toxic").alias("toxic"), "h").agg(F.min("doc_id").alias("id"))
+    joined = written(hashed.join(known, F.col("doc_id") == F.col("__id")).select(F.col("__toxic").alias("toxic"), "h", F.col("doc_id").alias("id")), "toxicity-labels")
+    # Ranked is only what the counts of the labels cannot rule out.
+    joined = below(joined, ["toxic"], "h", DOCS_PER_LABEL).groupBy("toxic", "h").agg(F.min("id").alias("id"))
     rank = F.row_number().over(Window.partitionBy("toxic").orderBy("h"))
     chosen = joined.withColumn("r", rank).where(F.col("r") <= DOCS_PER_LABEL).drop("r")
     texts = mine.select("doc_id", "text").join(F.broadcast(chosen), F.expr("doc_id = id and xxhash64(text) = h"))
