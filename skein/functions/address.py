@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from skein.functions.references import route_refs, service_refs
-from skein.functions.text import norm_text, place_tokens, text_list, words
+from skein.functions.text import let, norm_text, place_tokens, text_list, words
 
 # Word lists and patterns.
 ADDRESS_NOISE = [
@@ -49,57 +49,75 @@ def normalize_city(tokens: Column) -> Column:
     return F.array_join(F.transform(kept, lambda t: F.coalesce(F.try_element_at(full, t), t)), " ")
 
 
+def _street_at(tokens: Column) -> Column:
+    """The place of the first street word, from 1; 0 if there is none."""
+    return F.array_position(F.transform(tokens, lambda t: t.isin(STREET_TYPES)), True).cast("int")
+
+
 def parse_address(text: Column) -> Column:
     """struct(normalized, house_number, street_name, city, postcode). A street begins at a street
     word; the city is what follows the postcode, or the last word after a street, or the whole."""
-    normed = norm_text(text)
-    tokens = words(normed)
-    postcode = F.regexp_extract(normed, r"\b\d{5}\b", 0)
+    return let(norm_text(text), lambda normed: let(words(normed), lambda tokens: _parsed(normed, tokens)))
+
+
+def _parsed(normed: Column, tokens: Column) -> Column:
     first = F.coalesce(F.get(tokens, 0), F.lit(""))
-    numbered = first.rlike(r"^\d{1,5}[A-Z]?$")
-    rest = F.when(numbered, F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0)))).otherwise(tokens)
-    at = F.array_position(F.transform(rest, lambda t: t.isin(STREET_TYPES)), True).cast("int")
-    street = F.slice(rest, F.greatest(at, F.lit(1)), F.size(rest))
-    behind = words(F.substring_index(F.concat(F.lit(" "), F.regexp_extract(normed, r"\b\d{5}\b(.*)$", 1)), "\n", 1))
-    last = F.slice(rest, F.greatest(F.size(rest), F.lit(1)), 1)
-    city = (
-        F.when((at > 0) & (postcode != ""), normalize_city(behind))
-        .when((at > 0) & (F.size(street) >= 2), normalize_city(last))
-        .when(at > 0, "")
-        .when(postcode != "", normalize_city(behind))
-        .otherwise(normalize_city(tokens))
-    )
-    name = F.when(postcode != "", F.filter(F.array_except(street, F.array(postcode)), lambda t: ~F.array_contains(words(city), t))).when(
-        F.size(street) >= 2, F.slice(street, 1, F.greatest(F.size(street) - 1, F.lit(0)))
+    house = F.when(first.rlike(r"^\d{1,5}[A-Z]?$"), first).otherwise("")
+    rest = F.when(house != "", F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0)))).otherwise(tokens)
+    postcode = F.regexp_extract(normed, r"\b\d{5}\b", 0)
+    street = lambda r: F.when(_street_at(r) > 0, F.slice(r, F.greatest(_street_at(r), F.lit(1)), F.size(r))).otherwise(F.array().cast("array<string>"))
+    parts = F.struct(house.alias("house"), rest.alias("rest"), street(rest).alias("street"), postcode.alias("postcode"))
+    return let(parts, lambda p: let(_city(normed, tokens, p), lambda city: _address(normed, p, city)))
+
+
+def _city(normed: Column, tokens: Column, p: Column) -> Column:
+    behind = words(F.regexp_extract(normed, r"\b\d{5}\b(.*)$", 1))
+    last = F.slice(p["rest"], F.greatest(F.size(p["rest"]), F.lit(1)), 1)
+    length = F.size(p["street"])
+    of = F.when(p["postcode"] != "", behind).when(length >= 2, last).when(length == 0, tokens).otherwise(F.array().cast("array<string>"))
+    return normalize_city(of)
+
+
+def _address(normed: Column, p: Column, city: Column) -> Column:
+    street = p["street"]
+    of_city = words(city)
+    name = F.when(p["postcode"] != "", F.filter(street, lambda t: (t != p["postcode"]) & ~F.array_contains(of_city, t))).otherwise(
+        F.slice(street, 1, F.greatest(F.size(street) - 1, F.lit(0)))
     )
-    street_name = F.when(at > 0, F.coalesce(F.array_join(F.filter(name, lambda t: ~t.isin(ADDRESS_NOISE)), " "), F.lit(""))).otherwise("")
-    return F.struct(
-        normed.alias("normalized"), F.when(numbered, first).otherwise("").alias("house_number"),
-        street_name.alias("street_name"), city.alias("city"), postcode.alias("postcode"),
-    )
+    street_name = F.array_join(F.filter(name, lambda t: ~t.isin(ADDRESS_NOISE)), " ")
+    return F.struct(normed.alias("normalized"), p["house"].alias("house_number"), street_name.alias("street_name"), city.alias("city"), p["postcode"].alias("postcode"))
 
 
 def business_before_street(text: Column) -> Column:
-    tokens = words(norm_text(text))
-    at = F.array_position(F.transform(tokens, lambda t: t.isin(STREET_TYPES)), True).cast("int")
+    return let(words(norm_text(text)), _business_before_street)
+
+
+def _business_before_street(tokens: Column) -> Column:
+    at = _street_at(tokens)
     before = F.filter(F.slice(tokens, 1, F.greatest(at - 1, F.lit(0))), lambda t: ~t.isin(ADDRESS_NOISE))
     one = (F.size(before) == 1) & (F.length(F.coalesce(F.get(before, 0), F.lit(""))) >= 5)
     return (at > 1) & ((F.size(before) >= 2) | one | F.arrays_overlap(before, text_list(*SITE_WORDS)))
 
 
 def noise_label(text: Column) -> Column:
-    n = norm_text(text)
+    return let(norm_text(text), _noise_label)
+
+
+def _noise_label(n: Column) -> Column:
     return (F.length(n) <= 3) | n.isin(NOISE_LABELS) | n.rlike("^[0-9 ]+$")
 
 
 def classify_signal(text: Column, known_cities: list[str] = KNOWN_CITIES) -> Column:
     """struct(kind, score, strength, is_ban, is_site, is_optical, is_route): the first kind whose
     test holds. Known cities are a short list."""
-    a = parse_address(text)
+    return let(parse_address(text), lambda a: let(_kind(text, a, known_cities), signal_of_kind))
+
+
+def _kind(text: Column, a: Column, known_cities: list[str]) -> Column:
     street, city, house, postcode = (a[k] for k in ("street_name", "city", "house_number", "postcode"))
-    tokens = words(norm_text(text))
+    tokens = words(a["normalized"])
     raw = F.coalesce(text, F.lit(""))
-    kind = (
+    return (
         F.when(noise_label(text), "noise")
         .when((street != "") & (city != "") & business_before_street(text), "mixed_site_address")
         .when((street != "") & (city != "") & (house != ""), "postal_address_precise")
@@ -112,7 +130,6 @@ def classify_signal(text: Column, known_cities: list[str] = KNOWN_CITIES) -> Col
         .when(F.trim(raw).rlike(UPPER_LABEL) | (F.size(place_tokens(text)) > 0), "weak_business_label")
         .otherwise("noise")
     )
-    return signal_of_kind(kind)
 
 
 def signal_of_kind(kind: Column) -> Column:

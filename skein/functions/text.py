@@ -38,6 +38,11 @@ def norm_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(folded, "[^A-Z0-9]+", " "))
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value worked out once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def words(normed: Column) -> Column:
     return F.filter(F.split(normed, " "), lambda t: t != "")
 

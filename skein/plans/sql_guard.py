@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 ALLOWED = {"SELECT", "PRAGMA", "EXPLAIN", "WITH", "SHOW", "DESCRIBE"}
 LIMIT = 100
 _COMMENT = re.compile(r"\A\s*(?:--[^\n]*(?:\n|\Z)|/\*.*?(?:\*/|\Z))", re.S)
+_NODE = re.compile(r"[ :+\-']*\w+")
+_WRITES = re.compile("Command|Insert|Create|Drop|Merge|Update|Delete|Overwrite|Truncate|^Set|Alter|Replace")
 _READS = re.compile(r"(Explain|Describe|Show)\w*")
 
 
@@ -24,10 +26,11 @@ def blocked(sql: str, spark: SparkSession | None = None) -> str | None:
     if word not in ALLOWED:
         return f"BLOCKED: {word} does not only read"
     if spark is not None and word != "PRAGMA":
-        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
-        name = plan.getClass().getSimpleName()
-        if re.search("Command|Insert|Create|Drop|Merge|Update|Delete|Overwrite|Set", name) and not _READS.match(name):
-            return f"BLOCKED: {name} does not only read"
+        tree = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).treeString()
+        for line in tree.splitlines():
+            name = (_NODE.match(line) or [""])[0].lstrip(" :+-'")
+            if _WRITES.search(name) and not _READS.match(name):
+                return f"BLOCKED: {name} does not only read"
     return None
 
 
