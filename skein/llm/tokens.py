@@ -5,7 +5,7 @@ pieces in order. A bounded dictionary keeps the ids of pieces seen before. A new
 with or without punctuation after it, as nearly all are, goes to the library's merge model in those
 two parts, as its own splitter would cut it; any other piece is encoded by the library as it stands.
 Texts with unusual white space are cut only where one space stands between two other characters,
-which is a safe place in every text.
+which is a safe place in every text; a text with NUL is encoded by the library as it stands.
 """
 
 from __future__ import annotations
@@ -59,7 +59,7 @@ class Encoder:
     def _byte_pieces(text: str) -> list[str]:
         """A piece stands for itself after a space; one that starts with NUL, for the rest of itself
         with nothing before; a newline for itself."""
-        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or "\0" in text or text[:1].isspace() or text[-1:].isspace() or _OTHER_SPACE.search(text):
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[:1].isspace() or text[-1:].isspace() or _OTHER_SPACE.search(text):
             first, *rest = _SAFE_SPACE.split(text)
             return ["\0" + first, *rest]
         return ("\0" + text.replace("\n", " \n \0")).split(" ")
@@ -104,6 +104,8 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if not self.words and "\0" in text:
+            return _ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
         pieces = self.pieces(text)
         found = list(map(self.cache.get, pieces))
         if None not in found:
