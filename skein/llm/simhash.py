@@ -170,12 +170,15 @@ def drop_near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame
     near = written(near_duplicates(docs, max_bits), "simhash-near")
     low = near.where("doc_id <=> component_id")
     n = low.groupBy("root").agg(F.count("*").alias("n"))
-    lone = low.join(n.where("n = 1"), "root", "left_semi").select("doc_id")
-    kept = docs.join(lone.where("doc_id is not null"), "doc_id", "left_semi").select(*docs.columns)
+    # A doc_id alone says which row to keep if no other row has it, in this component or another.
+    single = near.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("m")).where("m = 1").select("doc_id", F.lit(True).alias("single"))
+    low = written(low.join(single, "doc_id", "left").join(n, "root").select("doc_id", "fp", "root", (F.coalesce("single", F.lit(False)) & (F.col("n") == 1)).alias("lone")), "simhash-low")
+    kept = docs.join(low.where("lone").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
     # Rows that repeat a kept doc_id, or have none, are few; only they are compared whole.
-    again = low.join(n, "root").where("n > 1 or doc_id is null").select(F.col("doc_id").alias("id_"), "root").distinct()
-    rows = packed_rows(docs, "doc_id", "text").join(again, F.expr("doc_id <=> id_"))
-    mine = with_fingerprint(rows).join(low.select("fp", F.col("root").alias("root_")).distinct(), "fp").where("root = root_")
+    again = low.where("not lone").select(F.col("doc_id").alias("id_")).distinct()
+    rows = packed_rows(docs, "doc_id", "text").join(again, F.expr("doc_id <=> id_"), "left_semi")
+    named = low.where("not lone").select(F.col("doc_id").alias("id_"), F.col("fp").alias("fp_"), "root").distinct()
+    mine = with_fingerprint(rows).join(named, F.expr("fp = fp_ and doc_id <=> id_"))
     first = mine.groupBy("root").agg(F.min_by("row_", F.struct("text", F.xxhash64("row_"))).alias("row_")).select("row_.*")
     return kept.unionByName(first)
 
