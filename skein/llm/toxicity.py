@@ -189,7 +189,8 @@ def _covering(bags: list[set[bytes]], lift) -> list[bytes]:
 
 def train(rows: list[tuple[str, int]]) -> Model:
     """From (text, label) rows. Repeated sentences count once, so copies of a document do not weigh
-    more. Without both labels every text scores 0."""
+    more. Without words of three letters under
+    both labels every text scores 0."""
     bags: list[tuple[list[list[bytes]], int]] = []
     seen: set[bytes] = set()
     for text, label in rows:
@@ -197,6 +198,7 @@ def train(rows: list[tuple[str, int]]) -> Model:
         seen.update(sentences)
         if sentences:
             bags.append(([_words(s) for s in sentences], label))
+    bags = [(w, label) for s, label in bags if (w := [x for x in s if any(len(y) > 2 for y in x)])]
     n = Counter(label for _, label in bags)
     if len(n) < 2:
         return Model(np.zeros(_SIDE**3), -1.0, 1.0, -20.0, [])
