@@ -100,16 +100,21 @@ def features(word: bytes) -> dict[int, float]:
 
 
 def kernels(words: list[bytes], landmarks: list[bytes]) -> np.ndarray:
-    table = np.zeros((_SIDE**3, len(landmarks)))
-    for j, z in enumerate(landmarks):
-        for t, w in features(z).items():
-            table[t, j] = w
+    each = [features(z) for z in landmarks]
+    # Row 0 is for triples that no landmark has.
+    used = sorted({t for f in each for t in f})
+    row = np.zeros(_SIDE**3, np.int32)
+    row[used] = np.arange(1, len(used) + 1)
+    table = np.zeros((len(used) + 1, len(landmarks)))
+    for j, f in enumerate(each):
+        for t, w in f.items():
+            table[row[t], j] = w
     out = np.zeros((len(words), len(landmarks)))
     for i in range(0, len(words), 4096):
         c, starts = letters(b" ".join(words[i : i + 4096]))
         total = np.zeros((c.size, len(landmarks)))
         for at, triple, weight in _triples(c):
-            total[at] += table[triple] * weight
+            total[at] += table[row[triple]] * weight
         sizes = np.diff(np.r_[starts, c.size]) - 1
         out[i : i + 4096] = np.add.reduceat(total, starts) / _norm(sizes)[:, None]
     return out
