@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skein.functions import address, references, scores, text
 from skein.operators import matching, ranking, spatial, tables
-from skein.plans import netconfig, publication, resolutions, services
+from skein.plans import candidates, netconfig, publication, resolutions, services
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -474,3 +474,54 @@ def maintenance_matches(t):
 def build_difference(t):
     rows = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     return tables.mix(tables.difference(rows.where("o_orderkey % 2 = 0").drop("o_orderkey"), rows.where("o_orderkey % 3 = 0").drop("o_orderkey")), ["side"])
+
+
+_REF_SERVICES = "SELECT o_orderkey AS service_id, ['S' || o_custkey % 40, 'S' || o_orderkey % 30] AS refs FROM orders"
+
+
+@query(f"""WITH s AS (SELECT DISTINCT service_id, unnest(refs) AS ref FROM ({_REF_SERVICES}))
+SELECT DISTINCT service_id, 'route' AS kind, 'R' || s_suppkey AS target, 'route_ref_exact' AS rule_name, 100 AS score FROM s JOIN supplier ON ref = 'S' || s_suppkey
+UNION ALL SELECT DISTINCT service_id, 'housing', 'H' || p_partkey, 'housing_route_ref_exact', 82 FROM s JOIN part ON ref = 'S' || p_size WHERE p_partkey < 100""")
+def reference_supports(t):
+    heads = t("orders").select(F.col("o_orderkey").alias("service_id"), F.expr("array(concat('S', o_custkey % 40), concat('S', o_orderkey % 30))").alias("refs"))
+    routes = t("supplier").select(F.expr("concat('S', s_suppkey)").alias("ref"), F.expr("concat('R', s_suppkey)").alias("target"))
+    housings = t("part").where("p_partkey < 100").select(F.expr("concat('S', p_size)").alias("ref"), F.expr("concat('H', p_partkey)").alias("target"))
+    return candidates.supports_by_reference(heads, "refs", {"route": routes, "housing": housings})
+
+
+_SITE_VALUE = "CASE WHEN p_partkey % 3 = 0 THEN 'site ' || n.n_name WHEN p_partkey % 3 = 1 THEN p_name || ' ' || p_type || ' near' ELSE NULL END"
+
+
+@query(f"""WITH v AS (SELECT p_partkey AS value_id, {_norm(_SITE_VALUE)} AS v FROM part LEFT JOIN nation n ON n.n_nationkey = p_partkey % 30),
+s AS (SELECT n_nationkey AS site_id, {_norm("'site ' || n_name")} AS a, {_norm("CASE n_nationkey % 3 WHEN 0 THEN 'economy' WHEN 1 THEN 'small' ELSE 'promo' END || ' ring widget bolt ' || n_name")} AS b FROM nation),
+e AS (SELECT value_id, min(site_id) AS site_id FROM v JOIN s ON v <> '' AND (v = a OR v = b) GROUP BY 1),
+k AS (SELECT value_id, site_id, len(list_intersect({_tokens('v')}, list_distinct(list_concat(string_split(a, ' '), string_split(b, ' '))))) AS n FROM v, s WHERE v <> '' AND value_id NOT IN (SELECT value_id FROM e))
+SELECT value_id, site_id, 100 AS score, 'site_exact' AS rule_name FROM e UNION ALL SELECT value_id, site_id, CAST(least(85, 20 * n) AS INT), 'site_token_overlap' FROM k WHERE n >= 2
+QUALIFY row_number() OVER (PARTITION BY value_id ORDER BY least(85, 20 * n) DESC, site_id) = 1""")
+def endpoint_sites(t):
+    values = t("part").join(t("nation").withColumnRenamed("n_nationkey", "k"), F.col("k") == F.col("p_partkey") % 30, "left")
+    values = values.select(F.col("p_partkey").alias("value_id"), F.expr(_SITE_VALUE.replace("n.n_name", "n_name")).alias("text"))
+    names = F.expr("array(concat('site ', n_name), concat(case n_nationkey % 3 when 0 then 'economy' when 1 then 'small' else 'promo' end, ' ring widget bolt ', n_name))")
+    sites = t("nation").select(F.col("n_nationkey").alias("site_id"), F.col("n_nationkey").alias("ordinal"), names.alias("names"))
+    return candidates.site_matches(values, sites)
+
+
+@query("""WITH s AS (SELECT user_id AS service_id, event_type AS device, CAST(user_id % 20 AS VARCHAR) AS label, CAST(value AS INT) % 6 AS vlan_id, CASE WHEN event_id % 4 = 0 THEN 0 WHEN event_id % 4 = 1 THEN 1 ELSE 2 END AS p FROM events),
+n AS (SELECT device, label, count(DISTINCT vlan_id) AS n FROM s GROUP BY 1, 2)
+SELECT service_id, device, vlan_id, CASE min(CASE WHEN p = 0 AND n > 1 THEN 1 ELSE p END) WHEN 0 THEN 'strong' WHEN 1 THEN 'medium' ELSE 'weak' END AS proof, count(*) AS n_sources FROM s JOIN n USING (device, label) GROUP BY 1, 2, 3""".replace("CAST(value AS INT)", "CAST(floor(value) AS INT)"))
+def vlan_hypotheses(t):
+    return candidates.vlan_hypotheses(t("events").select(
+        F.col("user_id").alias("service_id"), F.col("event_type").alias("device"), (F.col("user_id") % 20).cast("string").alias("label"), (F.floor("value").cast("int") % 6).alias("vlan_id"),
+        F.expr("case event_id % 4 when 0 then 'strong' when 1 then 'medium' else 'weak' end").alias("proof"),
+    ))
+
+
+@query("""WITH d AS (SELECT l_orderkey AS service_id, l_suppkey AS route_ref FROM lineitem WHERE l_returnflag = 'R'), c AS (SELECT l_orderkey, l_suppkey FROM lineitem),
+s AS (SELECT l_orderkey AS service_id, l_suppkey AS route_ref, CAST(max(l_quantity) * 2 AS INT) AS coherence FROM lineitem WHERE l_linenumber < 4 GROUP BY 1, 2),
+o AS (SELECT service_id, route_ref, min(r) AS r FROM (SELECT *, 0 AS r FROM d UNION ALL SELECT *, 1 FROM c) GROUP BY 1, 2)
+SELECT service_id, route_ref, CAST(row_number() OVER (PARTITION BY service_id ORDER BY r, coalesce(coherence, 0) DESC, route_ref) AS INT) AS place, CASE WHEN r = 0 THEN 'direct' ELSE 'context' END AS evidence, coalesce(coherence, 0) AS coherence,
+  CASE WHEN coherence >= 70 THEN 'strong' WHEN coherence >= 35 THEN 'medium' ELSE 'weak' END AS band FROM o LEFT JOIN s USING (service_id, route_ref)""")
+def route_candidates(t):
+    pairs = t("lineitem").select(F.col("l_orderkey").alias("service_id"), F.col("l_suppkey").alias("route_ref"), "l_returnflag", "l_linenumber", "l_quantity")
+    marks = pairs.where("l_linenumber < 4").groupBy("service_id", "route_ref").agg((F.max("l_quantity") * 2).cast("int").alias("coherence"))
+    return candidates.route_candidates(pairs.where("l_returnflag = 'R'"), pairs, marks)
