@@ -247,7 +247,9 @@ def train(rows: list[tuple[str, int]]) -> Model:
                 at += [top, *best]
                 y += [-1] * (1 + len(best))
                 weight += [1.0] + [1.0 / len(best)] * len(best)
-        w, b = _svm(phi[at], np.array(y, float), np.array(weight))
+        # A word that stands for many sentences is one point with their weights.
+        points, of = np.unique(np.array(at) * 2 + (np.array(y) > 0), return_inverse=True)
+        w, b = _svm(phi[points // 2], np.where(points % 2, 1.0, -1.0), np.bincount(of, weight))
         new = phi @ w + b
         if np.allclose(new, value, atol=1e-6):
             break
