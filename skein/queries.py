@@ -219,7 +219,10 @@ _PAIR = "SELECT {k}, min(l_suppkey) AS a, max(l_suppkey) AS z FROM lineitem WHER
 
 @query(f"SELECT o.l_orderkey, p.l_partkey FROM ({_PAIR.format(k='l_orderkey')}) o JOIN ({_PAIR.format(k='l_partkey')}) p ON o.a <> o.z AND p.a <> p.z AND least(o.a, o.z) = least(p.a, p.z) AND greatest(o.a, o.z) = greatest(p.a, p.z)")
 def sorted_pairs(t):
-    ends = t("lineitem").where("l_linenumber <= 2")
+    return _sorted_pairs(t("lineitem").where("l_linenumber <= 2"))
+
+
+def _sorted_pairs(ends):
     pair = lambda k, a, z: ends.groupBy(k).agg(F.min("l_suppkey").alias(a), F.max("l_suppkey").alias(z))
     return matching.pair_join(pair("l_orderkey", "a", "z"), ("a", "z"), pair("l_partkey", "z2", "a2"), ("a2", "z2")).select("l_orderkey", "l_partkey")
 
@@ -374,15 +377,19 @@ g AS (SELECT o_orderkey AS service_id, {_NATURES} AS nature_service, {', '.join(
 n AS (SELECT service_id, count(*) AS evidence_count, count(*) FILTER (score >= 90) AS strong_evidence_count FROM e GROUP BY 1)"""
 
 
-def _golden(t):
+def _golden(t, evidence=_evidence):
     heads = t("orders").select(F.col("o_orderkey").alias("service_id"), F.expr(_NATURES).alias("nature_service"), F.expr("if(o_orderkey % 3 = 0, concat('Client ', o_custkey), null)").alias("client_final"))
-    return publication.gold(heads, _evidence(t))
+    return publication.gold(heads, evidence(t))
 
 
 @query(f"""WITH {_GOLD} SELECT g.service_id, {', '.join(f'{k}_score' for k in _KINDS)}, coalesce(evidence_count, 0) AS evidence_count, coalesce(strong_evidence_count, 0) AS strong_evidence_count,
   CASE WHEN greatest({', '.join(f'{k}_score' for k in _KINDS)}) >= 80 THEN 'medium' ELSE 'low' END AS confidence_band FROM g LEFT JOIN n USING (service_id)""")
 def gold_services(t):
-    return _golden(t).select("service_id", *(f"{k}_score" for k in _KINDS), "evidence_count", "strong_evidence_count", "confidence_band")
+    return _gold_services(_golden(t))
+
+
+def _gold_services(golden):
+    return golden.select("service_id", *(f"{k}_score" for k in _KINDS), "evidence_count", "strong_evidence_count", "confidence_band")
 
 
 _TESTS = {
@@ -393,7 +400,11 @@ _TESTS = {
 
 @query(f"WITH {_GOLD} " + " UNION ALL ".join(f"SELECT service_id, '{k}' AS review_type, '{publication.REVIEWS[k][0]}' AS severity, 'RVW-' || {_hash16('CAST(service_id AS VARCHAR)', repr(k), repr(publication.REVIEWS[k][1]))} AS review_id FROM g WHERE {c}" for k, c in _TESTS.items()))
 def review_queue(t):
-    return publication.review_queue(_golden(t).withColumn("service_id", F.col("service_id").cast("string"))).select(F.col("service_id").cast("long").alias("service_id"), "review_type", "severity", "review_id")
+    return _review_queue(_golden(t))
+
+
+def _review_queue(golden):
+    return publication.review_queue(golden.withColumn("service_id", F.col("service_id").cast("string"))).select(F.col("service_id").cast("long").alias("service_id"), "review_type", "severity", "review_id")
 
 
 @query(f"""WITH {_GOLD}, r AS (SELECT o_orderkey AS service_id, o_orderkey % 5 = 0 AS ok FROM orders WHERE o_orderkey % 5 < 2),
@@ -403,11 +414,15 @@ f AS (SELECT *, array_to_string(list_filter([CASE WHEN final_party_source = 'mis
   CASE WHEN NOT net AND nature_service = 'Lan To Lan' THEN 'missing_network_support' END, CASE WHEN NOT opt AND nature_service IN ('IRU FON', 'Location FON') THEN 'missing_optical_support' END], lambda x: x IS NOT NULL), ',') AS gap_flags FROM p)
 SELECT service_id, final_party_source, gap_flags, CASE WHEN gap_flags <> '' THEN 'needs_review' WHEN ok THEN 'published_validated' ELSE 'published_from_gold' END AS publication_status FROM f""")
 def published_services(t):
-    log = t("orders").where("o_orderkey % 5 < 2").select(
-        F.col("o_orderkey").alias("service_id"), F.expr("if(o_orderkey % 5 = 0, 'validated', 'rejected')").alias("status"), F.lit("P1").alias("final_party"), F.lit("S1").alias("site_a"),
+    return _published_services(_golden(t), t("orders").where("o_orderkey % 5 < 2"), "if(o_orderkey % 5 = 0, 'validated', 'rejected')")
+
+
+def _published_services(golden, orders, status):
+    log = orders.select(
+        F.col("o_orderkey").alias("service_id"), F.expr(status).alias("status"), F.lit("P1").alias("final_party"), F.lit("S1").alias("site_a"),
         F.lit("S2").alias("site_z"), F.lit(" ").alias("optical"), F.lit("V1").alias("network"),
     )
-    out = publication.publish(_golden(t), log)
+    out = publication.publish(golden, log)
     return out.select("service_id", "final_party_source", F.array_join("gap_flags", ",").alias("gap_flags"), "publication_status")
 
 
@@ -483,9 +498,13 @@ _REF_SERVICES = "SELECT o_orderkey AS service_id, ['S' || o_custkey % 40, 'S' ||
 SELECT DISTINCT service_id, 'route' AS kind, 'R' || s_suppkey AS target, 'route_ref_exact' AS rule_name, 100 AS score FROM s JOIN supplier ON ref = 'S' || s_suppkey
 UNION ALL SELECT DISTINCT service_id, 'housing', 'H' || p_partkey, 'housing_route_ref_exact', 82 FROM s JOIN part ON ref = 'S' || p_size WHERE p_partkey < 100""")
 def reference_supports(t):
+    return _reference_supports(t, t("part").where("p_partkey < 100"))
+
+
+def _reference_supports(t, parts):
     heads = t("orders").select(F.col("o_orderkey").alias("service_id"), F.expr("array(concat('S', o_custkey % 40), concat('S', o_orderkey % 30))").alias("refs"))
     routes = t("supplier").select(F.expr("concat('S', s_suppkey)").alias("ref"), F.expr("concat('R', s_suppkey)").alias("target"))
-    housings = t("part").where("p_partkey < 100").select(F.expr("concat('S', p_size)").alias("ref"), F.expr("concat('H', p_partkey)").alias("target"))
+    housings = parts.select(F.expr("concat('S', p_size)").alias("ref"), F.expr("concat('H', p_partkey)").alias("target"))
     return candidates.supports_by_reference(heads, "refs", {"route": routes, "housing": housings})
 
 
@@ -522,6 +541,72 @@ o AS (SELECT service_id, route_ref, min(r) AS r FROM (SELECT *, 0 AS r FROM d UN
 SELECT service_id, route_ref, CAST(row_number() OVER (PARTITION BY service_id ORDER BY r, coalesce(coherence, 0) DESC, route_ref) AS INT) AS place, CASE WHEN r = 0 THEN 'direct' ELSE 'context' END AS evidence, coalesce(coherence, 0) AS coherence,
   CASE WHEN coherence >= 70 THEN 'strong' WHEN coherence >= 35 THEN 'medium' ELSE 'weak' END AS band FROM o LEFT JOIN s USING (service_id, route_ref)""")
 def route_candidates(t):
+    return _route_candidates(t, "l_linenumber < 4")
+
+
+def _route_candidates(t, marked):
     pairs = t("lineitem").select(F.col("l_orderkey").alias("service_id"), F.col("l_suppkey").alias("route_ref"), "l_returnflag", "l_linenumber", "l_quantity")
-    marks = pairs.where("l_linenumber < 4").groupBy("service_id", "route_ref").agg((F.max("l_quantity") * 2).cast("int").alias("coherence"))
+    marks = pairs.where(marked).groupBy("service_id", "route_ref").agg((F.max("l_quantity") * 2).cast("int").alias("coherence"))
     return candidates.route_candidates(pairs.where("l_returnflag = 'R'"), pairs, marks)
+
+
+# The queries above whose SQL reads a part of the rows, over all rows. The SQL of those stays as it is.
+def _whole(name: str, *changes: tuple[str, str]) -> str:
+    """The SQL of a query with its subsets taken out."""
+    sql = ORACLE_SQL[name]
+    for old, new in changes:
+        if old not in sql:
+            raise ValueError(f"{name}: {old}")
+        sql = sql.replace(old, new)
+    return sql
+
+
+#: Lines beyond the sixth are further network evidence.
+_GOLD_WHOLE = [("CASE l_linenumber", "CASE least(l_linenumber, 6)"), (" FROM lineitem WHERE l_linenumber <= 6", " FROM lineitem")]
+
+
+def _whole_evidence(t):
+    kind = F.element_at(F.array(*map(F.lit, _KINDS)), F.least(F.col("l_linenumber"), F.lit(len(_KINDS))))
+    return t("lineitem").select(
+        F.col("l_orderkey").alias("service_id"), kind.alias("kind"), F.col("l_partkey").cast("string").alias("target"), (F.col("l_quantity").cast("int") * 2).alias("score")
+    )
+
+
+@query(_whole("reference_supports", (" WHERE p_partkey < 100", "")))
+def reference_supports_whole(t):
+    return _reference_supports(t, t("part"))
+
+
+@query(_whole("sorted_pairs", (" WHERE l_linenumber <= 2", "")))
+def sorted_pairs_whole(t):
+    return _sorted_pairs(t("lineitem"))
+
+
+@query(_whole("gold_services", *_GOLD_WHOLE))
+def gold_services_whole(t):
+    return _gold_services(_golden(t, _whole_evidence))
+
+
+@query(_whole("review_queue", *_GOLD_WHOLE))
+def review_queue_whole(t):
+    return _review_queue(_golden(t, _whole_evidence))
+
+
+@query(_whole("published_services", *_GOLD_WHOLE, ("o_orderkey % 5 = 0 AS ok FROM orders WHERE o_orderkey % 5 < 2", "o_orderstatus = 'F' AS ok FROM orders")))
+def published_services_whole(t):
+    return _published_services(_golden(t, _whole_evidence), t("orders"), "if(o_orderstatus = 'F', 'validated', 'rejected')")
+
+
+@query(_whole("route_candidates", (" WHERE l_linenumber < 4", "")))
+def route_candidates_whole(t):
+    return _route_candidates(t, "true")
+
+
+@query(_whole(
+    "build_difference", ("o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0", "o_custkey, o_orderstatus FROM orders"),
+    ("o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0", "o_custkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'F' ELSE o_orderstatus END AS o_orderstatus FROM orders"),
+))
+def build_difference_whole(t):
+    rows = t("orders").select("o_custkey", "o_orderstatus", "o_orderpriority")
+    new = rows.withColumn("o_orderstatus", F.expr("if(o_orderpriority = '1-URGENT', 'F', o_orderstatus)"))
+    return tables.mix(tables.difference(rows.drop("o_orderpriority"), new.drop("o_orderpriority")), ["side"])
