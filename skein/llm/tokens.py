@@ -4,6 +4,8 @@ Both vocabularies cut a text at white space before they merge, so the ids of a t
 pieces in order. A bounded dictionary keeps the ids of pieces seen before. A new piece that is a word
 with or without punctuation after it, as nearly all are, goes to the library's merge model in those
 two parts, as its own splitter would cut it; any other piece is encoded by the library as it stands.
+So is every piece with the literal of an added token (`<|endoftext|>`), which gets that token's id: the
+literals begin with punctuation and have no white space, so no cut goes through one.
 Texts with unusual white space are cut only where one space stands between two other characters,
 which is a safe place in every text; a text with NUL is encoded by the library as it stands.
 """
@@ -48,7 +50,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.words = kind == "word"
         self.pieces = self._word_pieces if self.words else self._byte_pieces

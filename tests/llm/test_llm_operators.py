@@ -434,3 +434,15 @@ def test_queries_are_registered():
     names = entry.queries()
     assert [sum(q.startswith(f"op{i}_") for q in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
     assert json.dumps(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("kind", ["byte", "word"])
+def test_encoder_added_tokens(kind):
+    path = token_files.byte_vocabulary() if kind == "byte" else packing.word_vocabulary()
+    ours, library = tokens.encoder(path, kind), encoders()[kind]
+    assert library.encode("a <|endoftext|> b", add_special_tokens=False).ids == ([64, 220, 50256, 275] if kind == "byte" else [320, 49407, 321])
+    rng = random.Random(5)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "word", "É", " ", "  ", "\n", "\t", "\0", "\x1c", ".", "'s", "é", "9", "́"]
+    mixed = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(4000)]
+    for x in ["a <|endoftext|> b", "x <|startoftext|>\n<|endoftext|>", "<|endoftext|>", "end.<|endoftext|>Start", *mixed]:
+        assert np.frombuffer(ours.encode(x), "<u4").tolist() == library.encode(x, add_special_tokens=False).ids, repr(x)
