@@ -8,7 +8,7 @@ in total wins. A narrow margin between the two best languages is a rejection.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import zstandard
@@ -19,8 +19,8 @@ from skein.llm.common import below
 #: Bound of the training sample: so many slices of so many characters for each language.
 SLICES_PER_LANGUAGE = 400
 SLICE_CHARS = 400
-#: Labels beyond so many are not learned (the most frequent stay), which bounds the model.
-MAX_LANGUAGES = 64
+#: So many languages have their compressors in memory at a time.
+LANGUAGES_AT_ONCE = 64
 CHUNK_BYTES = 2048
 LEVEL = 3
 #: A text is rejected if its two best languages differ by a smaller share of its size than this.
@@ -33,11 +33,11 @@ def folded(text: str) -> str:
     return _NO_LETTERS.sub(" ", text.lower()).strip()
 
 
-def training_slices(docs: DataFrame, kept: list[str], usable: Column) -> DataFrame:
-    """A bounded sample: for each language in kept the slices with the smallest text hash, of which
+def training_slices(docs: DataFrame, usable: Column) -> DataFrame:
+    """A bounded sample: for each language the slices with the smallest text hash, of which
     each distinct text gives one, at a place drawn from its hash. Hashes are cut off by the count of
     the language's texts before anything is ranked, so no task sees all texts of a language."""
-    known = docs.where(usable & F.col("lang").isin(kept) & F.col("text").isNotNull()).withColumn("h", F.xxhash64("text"))
+    known = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("h", F.xxhash64("text"))
     few = below(known.select("lang", "h", "text"), ["lang"], "h", SLICES_PER_LANGUAGE)
     room = F.greatest(F.length("text") - SLICE_CHARS, F.lit(0))
     piece = F.substring(F.col("text"), (F.pmod("h", room + 1) + 1).cast("int"), F.lit(SLICE_CHARS))
@@ -53,8 +53,8 @@ def fit(docs: DataFrame, usable: Column | None = None) -> dict[str, bytes]:
     """
     usable = F.lit(True) if usable is None else usable
     counts = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).groupBy("lang").count()
-    kept = [r.lang for r in counts.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    rows = training_slices(docs, kept, usable).collect() if kept else []
+    kept = [r.lang for r in counts.orderBy(F.desc("count"), "lang").collect()]
+    rows = training_slices(docs, usable).collect() if kept else []
     pieces: dict[str, list[str]] = {k: [] for k in kept}
     for r in sorted(rows, key=lambda r: (r.lang, r.h)):
         pieces[r.lang].append(r.piece)
@@ -68,34 +68,64 @@ def _chunks(data: bytes) -> Iterator[bytes]:
 
 class Classifier:
     """Compressors for each language; languages come in order of their training rows, so equal
-    sizes go to the more frequent one."""
+    sizes go to the more frequent one. Texts are judged against one group of languages after the
+    other, and the best two so far are carried on."""
 
     def __init__(self, dictionaries: dict[str, bytes]):
         self.languages = list(dictionaries)
+        self.contents = list(dictionaries.values())
+        self.starts = range(0, len(self.contents), LANGUAGES_AT_ONCE)
+        self.held: int | None = None
+        self.compressors: list[zstandard.ZstdCompressor] = []
+
+    def _hold(self, start: int) -> None:
+        """Compressors of the group of languages from start on take the place of those before."""
+        if self.held == start:
+            return
         self.compressors = []
-        for content in dictionaries.values():
+        for content in self.contents[start : start + LANGUAGES_AT_ONCE]:
             d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=LEVEL)
             self.compressors.append(
                 zstandard.ZstdCompressor(dict_data=d, level=LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
             )
+        self.held = start
+
+    @staticmethod
+    def _data(text: str | None) -> bytes:
+        data = folded(text).encode("utf-8", "replace") if text else b""
+        # A short text is written again until it fills a line: one match more or less then shows.
+        return b" ".join([data] * (64 // len(data) + 1)) if 0 < len(data) < 64 else data
 
     def judge(self, text: str | None) -> tuple[str, float, float, bool]:
         """(language, score, margin, accepted)."""
-        data = folded(text).encode("utf-8", "replace") if text and self.languages else b""
-        if not data:
+        return self.judge_all([text])[0]
+
+    def judge_all(self, texts: Iterable[str | None]) -> list[tuple[str, float, float, bool]]:
+        """judge() of each text; a group's compressors are made once for all of them. Texts are folded
+        anew for each group, so that no folded copies of them all are held."""
+        texts = list(texts)
+        best: list[list[tuple[int, int]]] = [[] for _ in texts]
+        sizes_of = [0] * len(texts)
+        for start in sorted(self.starts, key=lambda x: x != self.held):
+            self._hold(start)
+            for k, text in enumerate(texts):
+                if data := self._data(text):
+                    sizes_of[k] = len(data)
+                    sizes = [(sum(len(c.compress(x)) for x in _chunks(data)), start + i) for i, c in enumerate(self.compressors)]
+                    best[k] = sorted(best[k] + sizes)[:2]
+        return [self._verdict(b, n) for b, n in zip(best, sizes_of)]
+
+    def _verdict(self, best: list[tuple[int, int]], n_bytes: int) -> tuple[str, float, float, bool]:
+        """From the (size, language) of the best two."""
+        if not best:
             return "und", 0.0, 0.0, False
-        # A short text is written again until it fills a line: one match more or less then shows.
-        if len(data) < 64:
-            data = b" ".join([data] * (64 // len(data) + 1))
-        sizes = [sum(len(c.compress(x)) for x in _chunks(data)) for c in self.compressors]
-        order = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))
-        best = order[0]
-        if len(order) == 1:
-            return self.languages[best], 1.0, 1.0, True
-        margin = (sizes[order[1]] - sizes[best]) / len(data)
+        language = self.languages[best[0][1]]
+        if len(best) == 1:
+            return language, 1.0, 1.0, True
+        margin = (best[1][0] - best[0][0]) / n_bytes
         score = min(1.0, 0.5 + margin * 5)
-        return self.languages[best], score, margin, margin >= MIN_MARGIN
+        return language, score, margin, margin >= MIN_MARGIN
 
 
 def classify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
@@ -113,7 +143,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
         if not held:
             held.append(Classifier(dict(model.value)))
         for text in texts:
-            rows = [held[0].judge(None if x is None else x) for x in text]
+            rows = held[0].judge_all(text)
             yield pd.DataFrame(rows, columns=["lang_pred", "score", "margin", "accepted"])
 
     out = docs.drop("lang_pred", "score", "margin", "accepted")

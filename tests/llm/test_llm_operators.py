@@ -458,3 +458,25 @@ def test_url_filter_scores_are_settled(spark):
     links = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, links long")
     with pytest.raises(RuntimeError):
         url_filter.spread(spark.createDataFrame([("a", 1, 1, 0)], "host string, pages long, allowed long, blocked long"), links, rounds=8)
+
+
+def test_language_keeps_all_labels(spark):
+    rng = random.Random(4)
+    words = {f"l{k:03}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(12)] for k in range(150)}
+    rows = [(k, " ".join(rng.choices(words[k], k=10))) for k in words for _ in range(4 + (k < "l070"))]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    model = language_id.fit(docs)
+    assert set(model) == set(words)
+    got = language_id.classify(docs, model).collect()
+    assert all(r.lang == r.lang_pred for r in got)
+    # The groups change nothing.
+    sizes = {}
+    for lang, content in model.items():
+        c = language_id.zstandard.ZstdCompressor(
+            dict_data=language_id.zstandard.ZstdCompressionDict(content, dict_type=language_id.zstandard.DICT_TYPE_RAWCONTENT), level=language_id.LEVEL, write_content_size=False
+        )
+        sizes[lang] = [len(c.compress(language_id.Classifier._data(r.text))) for r in got[:40]]
+    order = list(model)
+    for i, r in enumerate(got[:40]):
+        best, second = sorted((sizes[k][i], order.index(k)) for k in order)[:2]
+        assert r.lang_pred == order[best[1]] and r.margin == pytest.approx((second[0] - best[0]) / len(language_id.Classifier._data(r.text)))
