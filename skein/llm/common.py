@@ -13,12 +13,14 @@ ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach. A cluster names it in spark.checkpoint.dir; only where
-    that is unset (tests, one machine) a temporary folder takes its place."""
+    that is unset on one machine (tests) a temporary folder takes its place."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
@@ -41,6 +43,14 @@ def packed_rows(docs: DataFrame, *needed: str) -> DataFrame:
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row_"), *needed)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with as many underscores after it as make it differ from df's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(column):
     return F.translate(column, ASCII_UPPER, ASCII_LOWER)
 
@@ -50,6 +60,43 @@ def hot_split(n_rows, limit: int):
     return F.greatest(F.lit(1), F.ceil(n_rows / F.lit(limit))).cast("int")
 
 
+#: A key with more than this share of the rows is hot; so there are fewer hot keys than its inverse.
+HOT_SHARE = 1e-3
+#: So many rows are no burden to one task.
+FEW_ROWS = 10_000
+
+
+def hot_keys(counts: DataFrame, keys: list[str]) -> DataFrame | None:
+    """Of counts (keys and n, rows by key): the hot keys and over how many __salts to deal each out, or
+    None if there is none. There are fewer than 1 / HOT_SHARE, so they may be broadcast."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    if total <= FEW_ROWS:
+        return None
+    hot = counts.where(F.col("n") > total * HOT_SHARE).select(*keys, F.ceil(F.col("n") / (total * HOT_SHARE)).cast("int").alias("__salts"))
+    found = hot.collect()
+    return counts.sparkSession.createDataFrame(found, hot.schema) if found else None
+
+
+def dealt_join(rows: DataFrame, small: DataFrame, keys: list[str], hot: DataFrame | None, how: str = "inner") -> DataFrame:
+    """rows joined with small, which has one row per key, without a task that gets all rows of a hot
+    key: such rows are dealt out over salts, and small's row of the key goes to each of them. rows
+    must be a scan of stored files or derived from one row by row, so that a task that is run again
+    deals alike; keys are not null."""
+    if hot is None:
+        return rows.join(small, keys, how)
+    salts, mine = F.coalesce("__salts", F.lit(1)), F.col("__id")
+    left = rows.withColumn("__id", F.monotonically_increasing_id()).join(F.broadcast(hot), keys, "left")
+    left = left.withColumn("__salt", F.pmod(mine, salts.cast("long")).cast("int")).drop("__id", "__salts")
+    right = small.join(F.broadcast(hot), keys, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__salts")
+    return left.join(right, [*keys, "__salt"], how).drop("__salt")
+
+
+def skew_join(rows: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", counts: DataFrame | None = None) -> DataFrame:
+    """dealt_join() by the measured rows of each key."""
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("n")) if counts is None else counts
+    return dealt_join(rows, small, keys, hot_keys(counts, keys), how)
+
+
 def below(df: DataFrame, keys: list[str], h: str, want: int) -> DataFrame:
     """Rows of df whose hash h is among about the want smallest distinct ones of their group, and
     surely not fewer than want of those there are: hashes are spread evenly, so the count of a group
@@ -66,7 +113,7 @@ def below(df: DataFrame, keys: list[str], h: str, want: int) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components as (node, root), root the smallest node reachable; nodes without an edge
     are left out. Large-star and small-star rounds: each is a min-aggregate per node joined back to
-    the edges, so no neighbourhood is ever gathered and a hot node is an ordinary skewed join.
+    the edges, so no neighbourhood is ever gathered; the join deals out the edges of hot nodes.
 
     Defined results: null ends and self loops are ignored, no edges give no rows.
     """
@@ -92,8 +139,8 @@ def _star(e: DataFrame, large: bool) -> DataFrame:
     """Large star: every larger neighbour of u points to the least of u and its neighbours.
     Small star: u and every smaller neighbour point to the least of them."""
     both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e
-    low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    hung = both.join(low, "u")
+    low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count("*").alias("n"))
+    hung = skew_join(both, low.drop("n"), ["u"], counts=low.select("u", "n"))
     if large:
         out = hung.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
