@@ -81,7 +81,8 @@ def segments(planned: list[tuple[int, list[int]]]) -> dict[int, list[tuple[int,
 
 def pieces(docs: DataFrame, path: str, kind: str = "word", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, and task and rank, which count
-    the pieces of each length in each task."""
+    the pieces of each length in each task. A null doc_id goes through pandas as 0 beside a flag, as
+    pandas would turn whole numbers beside a null into floats."""
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -90,19 +91,20 @@ def pieces(docs: DataFrame, path: str, kind: str = "word", capacity: int = CAPAC
         task, seen, enc = TaskContext.get().partitionId(), {}, encoder(path, kind)
         for b in batches:
             rows = []
-            for doc_id, text in zip(b["doc_id"], b["text"]):
+            for doc_id, text, known in zip(b["doc_id"].tolist(), b["text"], b["known"].tolist()):
                 ids = enc.encode(text) + end
                 for i, at in enumerate(range(0, len(ids), 4 * capacity)):
                     x = ids[at : at + 4 * capacity]
                     n = len(x) // 4
-                    rows.append((doc_id, i, at // 4, n, zlib.crc32(x), task, seen.get(n, 0)))
+                    rows.append((doc_id, known, i, at // 4, n, zlib.crc32(x), task, seen.get(n, 0)))
                     seen[n] = seen.get(n, 0) + 1
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"])
-            yield out.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "known", "piece", "start", "length", "ids_crc32", "task", "rank"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
-        cut, "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long"
+    id_ = F.col("doc_id").cast("long")
+    cuts = docs.select(F.coalesce(id_, F.lit(0)).alias("doc_id"), id_.isNotNull().alias("known"), "text").mapInPandas(
+        cut, "doc_id long, known boolean, piece int, start long, length long, ids_crc32 long, task int, rank long"
     )
+    return cuts.withColumn("doc_id", F.when(F.col("known"), F.col("doc_id"))).drop("known")
 
 
 def pack(docs: DataFrame, path: str, kind: str = "word", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -130,11 +132,13 @@ def pack(docs: DataFrame, path: str, kind: str = "word", capacity: int = CAPACIT
                 past = rank[mine] - first[at]
                 sequence[mine] = seq[at] + past // each[at]
                 offset[mine] = off[at] + past % each[at] * n
-            yield b.drop(columns=["task", "rank", "base"]).assign(sequence_id=sequence, offset=offset).astype({"doc_id": "Int64"})
+            yield b.drop(columns=["rank", "base"]).assign(sequence_id=sequence, offset=offset)
 
-    return cut.join(offsets, ["length", "task"]).select("doc_id", "piece", "start", "length", "ids_crc32", "task", "rank", "base").mapInPandas(
-        place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    known = F.col("doc_id").isNotNull().alias("known")
+    placed = cut.join(offsets, ["length", "task"]).select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), known, "piece", "start", "length", "ids_crc32", "rank", "base").mapInPandas(
+        place, "doc_id long, known boolean, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     )
+    return placed.withColumn("doc_id", F.when(F.col("known"), F.col("doc_id"))).drop("known")
 
 
 def word_vocabulary() -> str:
