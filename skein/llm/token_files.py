@@ -5,7 +5,8 @@ where each document lies and a minimal perfect hash from keys to documents. The
 bit arrays: a key that is alone at its bit of a level is settled there, the others go on to the next
 level, and a key's number is the count of bits set before its own. Numbers are thus 0 to n - 1
 without gaps. Each carries a 32-bit fingerprint, so a lookup of a key that was never stored is told
-apart but for one case in 2**32. A lookup reads a few words of the index and one run of the payload.
+apart but for one case in 2**32. A lookup reads the header, a few words of the index and one run of
+the payload, whatever their sizes.
 
 Layout of `.idx`, all little-endian: magic (8 bytes), header (6 x u64: documents, ids, bytes an id,
 keys, levels, null keys), the levels' sizes in bits (u64 each), their bits padded to 64 (u64 words),
@@ -142,9 +143,59 @@ class Index:
         self.rows = take("<u4", n + n % 2)[:n]
         self.keys, self.starts = take("<i8", docs), take("<u8", docs + 1).astype(np.int64)
 
-    def row(self, key: int) -> int | None:
-        n = int(self.hash.find(np.array([key], np.int64))[0])
-        return None if n < 0 else int(self.rows[n])
+    def rows_of(self) -> np.ndarray:
+        """The row of each document by way of the hash: its key leads to the first document with that
+        key, and documents that share one follow it."""
+        real = self.keys[self.nulls :]
+        found = self.hash.find(real)
+        if (found < 0).any():
+            raise ValueError("the index does not know its own keys")
+        place = np.arange(real.size)
+        first = np.maximum.accumulate(np.where(np.r_[True, real[1:] != real[:-1]], place, 0)) if real.size else place
+        return np.r_[np.arange(self.nulls), self.rows[found].astype(np.int64) + place - first]
+
+
+class Lookup:
+    """One key at a time in an open index, of which only what is needed is read: the header once, then
+    for each key a word and a count a level until one has it, its fingerprint, row, key and place."""
+
+    def __init__(self, file):
+        self.file = file
+        head = file.read_at(56, 0)
+        if head[:8] != MAGIC:
+            raise ValueError("not a token index")
+        self.docs, self.n_ids, self.width, n, levels, self.nulls = struct.unpack_from("<6Q", head, 8)
+        self.sizes = struct.unpack(f"<{levels}Q", file.read_at(8 * levels, 56))
+        self.first = [0]
+        for s in self.sizes:
+            self.first.append(self.first[-1] + (s + 63) // 64)
+        self.words = 56 + 8 * levels
+        self.ranks = self.words + 8 * self.first[-1]
+        self.fingerprints = self.ranks + 8 * self.first[-1]
+        self.rows = self.fingerprints + 4 * (n + n % 2)
+        self.keys = self.rows + 4 * (n + n % 2)
+        self.starts = self.keys + 8 * self.docs
+
+    def _read(self, kind: str, at: int, count: int = 1) -> np.ndarray:
+        return np.frombuffer(self.file.read_at(np.dtype(kind).itemsize * count, at), kind)
+
+    def place(self, key: int) -> tuple[int, int] | None:
+        """Where the ids of the first document with this key start and end, or None."""
+        k = np.array([key], np.int64)
+        for level, size in enumerate(self.sizes):
+            at = int(_hash(k, level)[0] % np.uint64(size))
+            word = int(self._read("<u8", self.words + 8 * (self.first[level] + at // 64))[0])
+            if word >> (at % 64) & 1:
+                below = (word & ((1 << (at % 64)) - 1)).bit_count()
+                n = int(self._read("<u8", self.ranks + 8 * (self.first[level] + at // 64))[0]) + below
+                if int(self._read("<u4", self.fingerprints + 4 * n)[0]) != int(PerfectHash.fingerprint(k)[0]):
+                    return None
+                row = int(self._read("<u4", self.rows + 4 * n)[0])
+                if int(self._read("<i8", self.keys + 8 * row)[0]) != key:
+                    return None
+                start, end = self._read("<u8", self.starts + 8 * row, 2)
+                return int(start), int(end)
+        return None
 
 
 def _dtype(width: int) -> str:
@@ -164,6 +215,8 @@ class _Shard:
 
     def add(self, key, ids: bytes) -> None:
         x = np.frombuffer(ids, "<u4")
+        if self.width < 4 and x.size and int(x.max()) >> 8 * self.width:
+            raise ValueError(f"an id of {int(x.max())} does not fit into {self.width} bytes; write with width=4")
         self.out.write(x.astype(_dtype(self.width)).tobytes() if self.width != 4 else ids)
         self.nulls += key is None
         self.keys.append(key or 0)
@@ -190,7 +243,8 @@ def write(docs: DataFrame, folder: str, path: str, kind: str = "byte", end_id: i
 
     Defined results: a null or empty text is its end id alone; null doc_ids come first and cannot be
     looked up; rows with one doc_id are ordered by their text's hash, and a lookup finds the first;
-    an empty table gives an empty manifest; columns beyond doc_id and text are ignored.
+    an empty table gives an empty manifest; columns beyond doc_id and text are ignored. An id that
+    does not fit into width bytes is an error.
     """
     fs, inside = open_fs(folder)
     fs.create_dir(inside, recursive=True)
@@ -212,7 +266,10 @@ def write(docs: DataFrame, folder: str, path: str, kind: str = "byte", end_id: i
             yield pd.DataFrame([shard.close()]).astype({"low": "Int64", "high": "Int64"})
 
     keyed = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.col("doc_id").cast("long").alias("k"), F.xxhash64("text").alias("h"))
-    dealt = keyed.repartitionByRange(partitions, "k", "h") if partitions else keyed.repartitionByRange("k", "h")
+    # Rows that share doc_id and text are alike, so any of them may come first; the salt lets a run of
+    # them be cut.
+    order = ["k", "h", F.xxhash64(F.monotonically_increasing_id())]
+    dealt = keyed.repartitionByRange(partitions, *order) if partitions else keyed.repartitionByRange(*order)
     done = dealt.sortWithinPartitions("k", "h", "text").select("doc_id", "text").mapInPandas(
         put, "name string, docs long, ids long, nulls long, low long, high long"
     )
@@ -237,7 +294,8 @@ def _index(fs, base: str) -> Index:
 
 
 def read(spark, folder: str) -> DataFrame:
-    """One row per document from the files alone: doc_id, start, n_tokens and ids_crc32."""
+    """One row per document from the files alone: doc_id, start, n_tokens and ids_crc32. Where a
+    document lies is looked up by its key in the shard's hash; the payload is read once, in order."""
     fields = "name string, start long"
     shards = spark.createDataFrame([(r["name"], r["start"]) for r in manifest_of(folder)], fields)
 
@@ -246,41 +304,41 @@ def read(spark, folder: str) -> DataFrame:
         for b in batches:
             for name, start in zip(b["name"], b["start"]):
                 index, crc = _index(fs, f"{inside}/{name}"), []
-                sizes = np.diff(index.starts)
+                sizes, row = np.diff(index.starts), index.rows_of()
                 with fs.open_input_stream(f"{inside}/{name}.ids", buffer_size=1 << 20) as f:
                     for n in sizes.tolist():
                         x = f.read(n * index.width)
                         crc.append(zlib.crc32(np.frombuffer(x, _dtype(index.width)).astype("<u4").tobytes()))
-                keys = pd.array(index.keys, "Int64")
-                keys[: index.nulls] = pd.NA
-                yield pd.DataFrame({"doc_id": keys, "start": start + index.starts[:-1], "n_tokens": sizes, "ids_crc32": crc})
+                known = np.arange(row.size) >= index.nulls
+                yield pd.DataFrame({"doc_id": index.keys, "known": known, "start": start + index.starts[row], "n_tokens": sizes[row], "ids_crc32": np.array(crc, np.int64)[row]})
 
     n = max(1, min(shards.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    return shards.repartition(n).mapInPandas(get, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    rows = shards.repartition(n).mapInPandas(get, "doc_id long, known boolean, start long, n_tokens long, ids_crc32 long")
+    return rows.withColumn("doc_id", F.when(F.col("known"), F.col("doc_id"))).drop("known")
 
 
 class Reader:
-    """Keyed access to a folder of shards; indexes are read when first needed."""
+    """Keyed access to a folder of shards; a shard's files are opened when first needed."""
 
     def __init__(self, folder: str):
         self.fs, self.inside = open_fs(folder)
         self.shards = [r for r in manifest_of(folder) if r["high"] is not None]
         self.highs = [r["high"] for r in self.shards]
-        self.indexes: dict[str, Index] = {}
+        self.open: dict[str, tuple[Lookup, object]] = {}
 
     def ids(self, key: int) -> np.ndarray | None:
         """The ids of the first document with this key, or None."""
         for r in self.shards[bisect_left(self.highs, key) :]:
             if r["low"] > key:
                 return None
-            base = f"{self.inside}/{r['name']}"
-            index = self.indexes.setdefault(r["name"], None) or _index(self.fs, base)
-            self.indexes[r["name"]] = index
-            row = index.row(key)
-            if row is not None and index.keys[row] == key:
-                a, b = index.starts[row] * index.width, index.starts[row + 1] * index.width
-                with self.fs.open_input_file(base + ".ids") as f:
-                    return np.frombuffer(f.read_at(int(b - a), int(a)), _dtype(index.width)).astype("<u4")
+            if r["name"] not in self.open:
+                base = f"{self.inside}/{r['name']}"
+                self.open[r["name"]] = Lookup(self.fs.open_input_file(base + ".idx")), self.fs.open_input_file(base + ".ids")
+            index, payload = self.open[r["name"]]
+            place = index.place(key)
+            if place is not None:
+                a, b = (x * index.width for x in place)
+                return np.frombuffer(payload.read_at(b - a, a), _dtype(index.width)).astype("<u4")
         return None
 
 
