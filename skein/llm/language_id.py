@@ -1,22 +1,25 @@
 """Language identification by compression.
 
 Each language gets a zstandard raw-content dictionary made of text known to be in it; in
-dictionaries and texts alike, case is folded and what is no letter becomes a space. A text is cut into chunks, every chunk is compressed with every dictionary, and the language with the fewest bytes
-in total wins. A narrow margin between the two best languages is a rejection.
+dictionaries and texts alike, case is folded and what is no letter becomes a space. A text is cut into
+chunks, every chunk is compressed with every dictionary, and the language with the fewest bytes in
+total wins. A narrow margin between the two best languages is a rejection.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from skein.llm.common import below
+from skein.llm.common import below, free_name
 
-#: Bound of the training sample: so many slices of so many characters for each language.
+#: Bound of the training sample: so many slices of so many characters for each language, drawn from
+#: all slices of all its texts.
 SLICES_PER_LANGUAGE = 400
 SLICE_CHARS = 400
 #: So many languages have their compressors in memory at a time.
@@ -26,7 +29,9 @@ LEVEL = 3
 #: A text is rejected if its two best languages differ by a smaller share of its size than this.
 MIN_MARGIN = 0.002
 
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+#: Word characters of `re` that are numbers and no letters, such as superscripts and fractions.
+_NUMBERS = "".join(x for x in map(chr, range(sys.maxunicode + 1)) if x.isalnum() and not x.isalpha())
+_NO_LETTERS = re.compile(rf"[\W_{re.escape(_NUMBERS)}]+")
 
 
 def folded(text: str) -> str:
@@ -34,16 +39,22 @@ def folded(text: str) -> str:
 
 
 def training_slices(docs: DataFrame, usable: Column) -> DataFrame:
-    """A bounded sample: for each language the slices with the smallest text hash, of which
-    each distinct text gives one, at a place drawn from its hash. Hashes are cut off by the count of
-    the language's texts before anything is ranked, so no task sees all texts of a language."""
-    known = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("h", F.xxhash64("text"))
-    few = below(known.select("lang", "h", "text"), ["lang"], "h", SLICES_PER_LANGUAGE)
-    room = F.greatest(F.length("text") - SLICE_CHARS, F.lit(0))
-    piece = F.substring(F.col("text"), (F.pmod("h", room + 1) + 1).cast("int"), F.lit(SLICE_CHARS))
-    distinct = few.select("lang", "h", piece.alias("piece")).groupBy("lang", "h").agg(F.min("piece").alias("piece"))
+    """A bounded sample: texts are cut into slices from end to end, and each language keeps those
+    with the smallest hashes of text and place, so every slice of every text has the same chance and
+    repeated texts count once. Hashes alone are ranked and shuffled, and cut off by their count before
+    that, so no task sees all slices of a language; then the chosen slices are taken from the texts."""
+    known = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("text").alias("t"))
+    last = F.floor((F.greatest(F.length("text"), F.lit(1)) - 1) / SLICE_CHARS).cast("int")
+    places = F.sequence(F.lit(0), last)
+    hashed = known.select("lang", F.explode(F.transform(places, lambda i: F.xxhash64("t", i))).alias("h"))
+    few = below(hashed, ["lang"], "h", SLICES_PER_LANGUAGE).distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    return distinct.withColumn("r", rank).where(F.col("r") <= SLICES_PER_LANGUAGE).drop("r")
+    cut = few.withColumn("r", rank).where(F.col("r") <= SLICES_PER_LANGUAGE).groupBy("lang").agg(F.max("h").alias("cut"))
+    chosen = F.filter(places, lambda i: F.xxhash64("t", i) <= F.col("cut"))
+    piece = lambda i: F.struct(F.xxhash64("t", i).alias("h"), F.substring("text", i * SLICE_CHARS + 1, F.lit(SLICE_CHARS)).alias("piece"))
+    # One row per language, as in the model itself.
+    pieces = known.join(F.broadcast(cut), "lang").select("lang", F.explode(F.transform(chosen, piece)).alias("p"))
+    return pieces.groupBy("lang", "p.h").agg(F.min("p.piece").alias("piece"))
 
 
 def fit(docs: DataFrame, usable: Column | None = None) -> dict[str, bytes]:
@@ -147,9 +158,8 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
             yield pd.DataFrame(rows, columns=["lang_pred", "score", "margin", "accepted"])
 
     out = docs.drop("lang_pred", "score", "margin", "accepted")
-    if "__lid" in out.columns:
-        raise ValueError("__lid is a reserved column name")
-    return out.withColumn("__lid", judge(F.col("text"))).select(*out.columns, "__lid.*")
+    name = free_name(out, "__lid")
+    return out.withColumn(name, judge(F.col("text"))).select(*(f"`{c}`" for c in out.columns), f"{name}.*")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
