@@ -4,23 +4,26 @@ Totals by source, language and tokenizer version are sums, so a change of docume
 totals: an inserted document adds its count, a deleted one takes it off, and a revised one does both.
 A batch of such signed counts is summed per group before it is shuffled, then added to the last
 totals. A store keeps one folder per version of the totals and one small commit file per version;
-readers use the newest version that has a commit. A batch has an id, and every commit lists the ids
-it includes, so applying a batch again changes nothing, and a batch that was cut off before its
-commit is as if it had never begun.
+readers use the newest version that has a commit. A batch has an id. Its marker, written before the
+commit, names the version it aims at, and it counts as applied if that version's commit names the
+batch in turn. So applying a batch again changes nothing, a batch that was cut off before its commit
+is as if it had never begun, and neither needs more than two small files, however long the history.
 
 Defined results: a null or empty text has no tokens but is a document; null sources and languages are
 groups of their own; repeated rows count as often as they occur; an empty batch is committed and
-changes nothing; an empty store has no groups; columns beyond those named are ignored.
+changes nothing; an empty store has no groups; columns beyond those named are ignored. Of two writers
+that aim at one version the later one gets an error and changes nothing; it may apply its batch again.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
-import re
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from skein.llm.common import scratch_path, written
+from skein.llm.common import scratch_path, skew_join, written
 
 KEYS = ["source", "lang", "tokenizer"]
 SUMS = ["n_docs", "n_tokens"]
@@ -28,7 +31,13 @@ SUMS = ["n_docs", "n_tokens"]
 
 def words(text: Column) -> Column:
     """Tokens of the version `words-1`: runs of characters that are not ASCII white space."""
-    return F.coalesce(F.length(F.regexp_replace(text, r"[^\x20\x09-\x0D]+", "w")) - F.length(F.regexp_replace(text, r"[^\x20\x09-\x0D]+", "")), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def words_and_marks(text: Column) -> Column:
+    """Tokens of the version `words-2`: runs of letters, digits and characters beyond ASCII, and each
+    other printed ASCII character by itself."""
+    return F.coalesce(F.regexp_count(text, F.lit(r"[0-9A-Za-z\x80-\x{10FFFF}]+|[!-/:-@\[-`{-~]")), F.lit(0)).cast("long")
 
 
 def counted(docs: DataFrame, tokenizer: str, count: Column) -> DataFrame:
@@ -63,51 +72,76 @@ class Rollup:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        self._path = lambda name: path(f"{self.folder}/{name}")
-        self.fs = self._path("x").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self.fs = self._path("x").getFileSystem(conf)
+        self.context = self.hadoop.FileContext.getFileContext(self._path("x").toUri(), conf)
+
+    def _path(self, name: str):
+        return self.hadoop.Path(f"{self.folder}/{name}")
+
+    def _has(self, version: int) -> bool:
+        return self.fs.exists(self._path(f"commits/{version}"))
+
+    def _last(self) -> int:
+        """The newest version, 0 if there is none. Versions follow each other without gaps, so it is
+        found by doubling and halving, not by a list of them all."""
+        low, high = 0, 1
+        while self._has(high):
+            low, high = high, 2 * high
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if self._has(middle) else (low, middle)
+        return low
+
+    def _json(self, name: str) -> dict:
+        return json.loads(self.spark.read.text(f"{self.folder}/{name}", wholetext=True).first()[0])
+
+    def _put(self, name: str, content: dict) -> None:
+        out = self.fs.create(self._path(name), True)
+        out.write(bytearray(json.dumps(content).encode()))
+        out.close()
 
-    def _commits(self) -> list[int]:
-        if not self.fs.exists(self._path("commits")):
-            return []
-        names = (s.getPath().getName() for s in self.fs.listStatus(self._path("commits")))
-        return sorted(int(n) for n in names if re.fullmatch(r"\d+", n))
+    def _marker(self, batch: str) -> str:
+        return f"batches/{hashlib.sha256(batch.encode()).hexdigest()}"
 
-    def _commit(self, version: int) -> dict:
-        return json.loads(self.spark.read.text(f"{self.folder}/commits/{version}", wholetext=True).first()[0])
+    def applied(self, batch: str) -> bool:
+        if not self.fs.exists(self._path(self._marker(batch))):
+            return False
+        version = self._json(self._marker(batch))["version"]
+        return self._has(version) and self._json(f"commits/{version}")["batch"] == batch
 
     def batches(self) -> list[str]:
-        """Ids of the batches that the totals include."""
-        done = self._commits()
-        return self._commit(done[-1])["batches"] if done else []
+        """Ids of the batches that the totals include, in order; reads every commit."""
+        return [self._json(f"commits/{v}")["batch"] for v in range(1, self._last() + 1)]
 
     def read(self) -> DataFrame:
         """The totals; groups without documents or tokens left are not shown."""
-        done = self._commits()
+        return self._read(self._last())
+
+    def _read(self, version: int) -> DataFrame:
         fields = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
-        if not done:
+        if not version:
             return self.spark.createDataFrame([], fields)
-        return self.spark.read.schema(fields).parquet(f"{self.folder}/{self._commit(done[-1])['data']}")
+        return self.spark.read.schema(fields).parquet(f"{self.folder}/{self._json(f'commits/{version}')['data']}")
 
     def apply(self, batch: str, signed: DataFrame) -> bool:
-        """Adds a batch; False, and no change, if it was added before. Totals are written first, the
-        commit file last and by a rename, which fails if another writer took the version."""
-        done = self._commits()
-        last = self._commit(done[-1]) if done else {"batches": []}
-        if batch in last["batches"]:
+        """Adds a batch; False, and no change, if it was added before. Totals are written first, then
+        the marker, and the commit file last, by a rename that fails where its name is taken: in one
+        step on file systems that rename so, such as HDFS."""
+        if self.applied(batch):
             return False
-        version = done[-1] + 1 if done else 1
-        data = scratch_path(self.spark, "x").rsplit("-", 1)[1]
-        summed = totals(self.read().select(*KEYS, *SUMS).union(totals(signed).select(*KEYS, *SUMS)))
+        last = self._last()
+        version, data = last + 1, scratch_path(self.spark, "x").rsplit("-", 1)[1]
+        summed = totals(self._read(last).select(*KEYS, *SUMS).union(totals(signed).select(*KEYS, *SUMS)))
         summed.where("n_docs <> 0 or n_tokens <> 0").write.parquet(f"{self.folder}/totals-{version}-{data}")
-        text = json.dumps({"batches": [*last["batches"], batch], "data": f"totals-{version}-{data}"})
-        draft = self._path(f"drafts/{version}-{data}")
-        out = self.fs.create(draft, True)
-        out.write(bytearray(text.encode()))
-        out.close()
+        self._put(self._marker(batch), {"version": version})
+        self._put(f"drafts/{version}-{data}", {"batch": batch, "data": f"totals-{version}-{data}"})
         self.fs.mkdirs(self._path("commits"))
-        if self.fs.exists(self._path(f"commits/{version}")) or not self.fs.rename(draft, self._path(f"commits/{version}")):
-            raise RuntimeError(f"version {version} was committed by another writer; apply the batch again")
+        try:
+            self.context.rename(self._path(f"drafts/{version}-{data}"), self._path(f"commits/{version}"), self.spark.sparkContext._gateway.new_array(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        except Py4JJavaError as e:
+            raise RuntimeError(f"version {version} was committed by another writer; apply the batch again") from e
         return True
 
 
@@ -120,15 +154,19 @@ def measured(docs: DataFrame) -> DataFrame:
     """Per document its counts, as it is and without repeated lines, and a digest of its text; no
     text is moved."""
     lines = distinct_lines(F.col("text"))
-    counts = docs.select("doc_id", "source", "lang", words(F.col("text")).alias("raw"), words(lines).alias("n_words"), F.coalesce(F.length(lines), F.lit(0)).cast("long").alias("n_chars"), F.sha2("text", 256).alias("digest"))
+    counts = docs.select(
+        "doc_id", "source", "lang", words(F.col("text")).alias("raw"), words(lines).alias("n_words"), words_and_marks(lines).alias("n_pieces"), F.sha2("text", 256).alias("digest")
+    )
     return written(counts, "token-counts")
 
 
 def without_copies(counts: DataFrame) -> DataFrame:
-    """Rows of measured() for one document of each text, the smallest doc_id; null texts go, repeated
-    rows stay as they are."""
-    low = counts.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    return counts.join(low.select("doc_id"), "doc_id", "left_semi")
+    """Rows of measured() for one document of each text, the smallest doc_id, or null where no row of
+    the text has one. Null texts go. Repeated rows of that doc_id and text stay as they are; rows of
+    that doc_id with another text are judged by that text."""
+    known = counts.where("digest is not null")
+    low = known.groupBy("digest").agg(F.min("doc_id").alias("low"))
+    return skew_join(known, low, ["digest"]).where("doc_id <=> low").drop("low")
 
 
 def op1_token_counts(spark, sf_dir: str) -> DataFrame:
@@ -140,17 +178,17 @@ def op1_token_counts(spark, sf_dir: str) -> DataFrame:
     rollup = Rollup(spark, scratch_path(spark, "token-rollup"))
     rollup.apply("load", inserts(raw))
     rollup.apply("curate", changes(raw, counted(kept, "words-1", F.col("n_words"))))
-    rollup.apply("characters", inserts(counted(kept, "characters-1", F.col("n_chars"))))
+    rollup.apply("second version", inserts(counted(kept, "words-2", F.col("n_pieces"))))
     rollup.apply("load", inserts(raw))
     return rollup.read()
 
 
 OP1_SQL = """
-WITH low AS (SELECT min(doc_id) AS doc_id FROM documents WHERE text IS NOT NULL GROUP BY text),
+WITH low AS (SELECT text AS t, min(doc_id) AS low FROM documents WHERE text IS NOT NULL GROUP BY text),
 d AS (SELECT doc_id, source, lang, (SELECT string_agg(line, chr(10) ORDER BY i) FROM
     (SELECT line, min(i) AS i FROM (SELECT unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i) GROUP BY line)) AS text
-  FROM documents SEMI JOIN low USING (doc_id)),
-t AS (SELECT source, lang, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS w, length(text) AS c FROM d)
+  FROM documents JOIN low ON text = t AND doc_id IS NOT DISTINCT FROM low),
+t AS (SELECT source, lang, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS w, len(regexp_extract_all(text, '[0-9A-Za-z\\x80-\\x{10FFFF}]+|[!-/:-@\\[-`{-~]')) AS p FROM d)
 SELECT source, lang, 'words-1' AS tokenizer, count(*) AS n_docs, CAST(sum(w) AS BIGINT) AS n_tokens FROM t GROUP BY 1, 2
-UNION ALL SELECT source, lang, 'characters-1', count(*), CAST(sum(c) AS BIGINT) FROM t GROUP BY 1, 2
+UNION ALL SELECT source, lang, 'words-2', count(*), CAST(sum(p) AS BIGINT) FROM t GROUP BY 1, 2
 """
