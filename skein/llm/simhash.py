@@ -20,7 +20,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from skein.llm.common import components, hot_split, packed_rows, written
+from skein.llm.common import components, hot_split, packed_rows, skew_join, written
 
 MAX_BITS = 4
 SHINGLE_WORDS = 4
@@ -149,8 +149,9 @@ def fingerprint_components(ids: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     classes = written(ids.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-classes")
     found = components(links(classes.select("fp"), max_bits)).withColumnsRenamed({"node": "fp"})
     rooted = classes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = written(rooted, "simhash-rooted")
     low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return rooted.join(low, "root").select("fp", "component_id", "root")
+    return skew_join(rooted, low, ["root"]).select("fp", "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -161,24 +162,41 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     all of whose doc_ids are null has a null component_id. An empty table gives no rows.
     """
     ids = written(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", "fp"), "simhash-ids")
-    return ids.join(fingerprint_components(ids, max_bits), "fp")
+    return skew_join(ids, fingerprint_components(ids, max_bits), ["fp"]).select("doc_id", "fp", "component_id", "root")
+
+
+#: So many doc_ids, 8 bytes each, may be sent to every task.
+SENT_IDS = 200_000
+
+
+def _of_ids(rows: DataFrame, ids: DataFrame, n: int, on: str, how: str) -> DataFrame:
+    """rows joined with ids, which are broadcast if they are few."""
+    return rows.join(F.broadcast(ids) if n <= SENT_IDS else ids, F.expr(on), how)
 
 
 def drop_near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """docs without all but one document of each component: the one with the smallest doc_id, of
-    repeated rows of it the one with the smallest text. Columns stay as they are."""
+    repeated rows of it the one with the smallest text. Columns stay as they are. Texts move once, to
+    meet the doc_ids that stay; rows whose doc_id does not tell them apart move once more.
+
+    Defined results: null and empty texts are one component; a component without a doc_id keeps a row
+    without one; an empty table gives no rows; columns of docs are never mistaken for added ones.
+    """
     near = written(near_duplicates(docs, max_bits), "simhash-near")
-    low = near.where("doc_id <=> component_id")
-    n = low.groupBy("root").agg(F.count("*").alias("n"))
+    # Copies with one doc_id are one row from here on.
+    low = near.where("doc_id <=> component_id").groupBy("doc_id", "fp", "root").agg(F.count("*").alias("n"))
+    n = low.groupBy("root").agg(F.sum("n").alias("of_root"))
     # A doc_id alone says which row to keep if no other row has it, in this component or another.
     single = near.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("m")).where("m = 1").select("doc_id", F.lit(True).alias("single"))
-    low = written(low.join(single, "doc_id", "left").join(n, "root").select("doc_id", "fp", "root", (F.coalesce("single", F.lit(False)) & (F.col("n") == 1)).alias("lone")), "simhash-low")
-    kept = docs.join(low.where("lone").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    # Rows that repeat a kept doc_id, or have none, are few; only they are compared whole.
-    again = low.where("not lone").select(F.col("doc_id").alias("id_")).distinct()
-    rows = packed_rows(docs, "doc_id", "text").join(again, F.expr("doc_id <=> id_"), "left_semi")
-    named = low.where("not lone").select(F.col("doc_id").alias("id_"), F.col("fp").alias("fp_"), "root").distinct()
-    mine = with_fingerprint(rows).join(named, F.expr("fp = fp_ and doc_id <=> id_"))
+    lone = F.coalesce("single", F.lit(False)) & (F.col("of_root") == 1)
+    low = written(low.join(single, "doc_id", "left").join(n, "root").select("doc_id", "fp", "root", lone.alias("lone")), "simhash-low")
+    kept = docs.join(low.where("lone").select("doc_id"), "doc_id", "left_semi").select(*(f"`{c}`" for c in docs.columns))
+    named = written(low.where("not lone").select(F.col("doc_id").alias("id_"), F.col("fp").alias("fp_"), "root").distinct(), "simhash-again")
+    many = named.count()
+    if not many:
+        return kept
+    rows = _of_ids(packed_rows(docs, "doc_id", "text"), named.select("id_").distinct(), many, "doc_id <=> id_", "left_semi")
+    mine = _of_ids(with_fingerprint(rows), named, many, "fp = fp_ and doc_id <=> id_", "inner")
     first = mine.groupBy("root").agg(F.min_by("row_", F.struct("text", F.xxhash64("row_"))).alias("row_")).select("row_.*")
     return kept.unionByName(first)
 
