@@ -8,18 +8,17 @@ without links in or out thus keeps its seed. A page that no rule fits is blocked
 distrust exceeds its trust by THRESHOLD.
 
 All of it is DataFrame operations. Edges are counted per host pair before they are shuffled, and the
-host table is what each round joins, so pages of one host never meet in one task.
+host table is what each round joins. Pages meet their host's scores by a join that deals the pages of
+a hot host out over several tasks, as each round does with the links of a hot host.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skein.llm.common import ascii_lower, shared_dir, written
+from skein.llm.common import ascii_lower, dealt_join, free_name, hot_keys, shared_dir, skew_join, written
 
 DAMPING = 0.85
-#: Rounds of the SQL, which has no loop; spread() goes on until the scores are settled.
-ROUNDS = 12
 #: Rounds end when no score moves by more than this, or this share of itself where it is above 1.
 SETTLED = 1e-9
 #: A score of n settles in about 130 + 14 ln(n) rounds at most, or something is wrong.
@@ -66,8 +65,9 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     """pages with host, path, rule and the rule's verdict (null without a rule)."""
     out = pages.drop("host", "path", "rule", "verdict")
     out = out.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
-    out = out.withColumn("__r", longest_rule(F.col("host"), F.col("path"), rules))
-    return out.withColumn("rule", F.col("__r.rule")).withColumn("verdict", F.col("__r.verdict")).drop("__r")
+    r = free_name(out, "__r")
+    out = out.withColumn(r, longest_rule(F.col("host"), F.col("path"), rules))
+    return out.withColumn("rule", F.col(f"{r}.rule")).withColumn("verdict", F.col(f"{r}.verdict")).drop(r)
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
@@ -91,12 +91,13 @@ def spread(hosts: DataFrame, edges: DataFrame, rounds: int = MAX_ROUNDS, damping
     in_links = edges.groupBy("dst").agg(F.sum("links").alias("all"))
     forward = edges.join(out_links, "src").select(F.col("src").alias("host"), F.lit("t").alias("kind"), F.col("dst").alias("to"), (F.col("links") / F.col("all") * damping).alias("share"))
     back = edges.join(in_links, "dst").select(F.col("dst").alias("host"), F.lit("d").alias("kind"), F.col("src").alias("to"), (F.col("links") / F.col("all") * damping).alias("share"))
-    passed = forward.union(back).checkpoint()
+    passed = written(forward.union(back), "host-links")
+    hot = hot_keys(passed.groupBy("host", "kind").agg(F.count("*").alias("n")), ["host", "kind"])
     score = seeds.withColumn("score", F.col("seed"))
     if not passed.isEmpty():
         for i in range(rounds):
-            inflow = score.join(passed, ["host", "kind"]).groupBy(F.col("to").alias("host"), "kind").agg(F.sum(F.col("score") * F.col("share")).alias("in"))
-            new = score.withColumnRenamed("score", "was").join(inflow, ["host", "kind"], "left")
+            inflow = dealt_join(passed, score, ["host", "kind"], hot).groupBy(F.col("to").alias("host"), "kind").agg(F.sum(F.col("score") * F.col("share")).alias("in"))
+            new = score.select("host", "kind", "seed", F.col("score").alias("was")).join(inflow, ["host", "kind"], "left")
             new = new.withColumn("score", F.col("seed") + F.coalesce("in", F.lit(0.0)))
             if (i + 1) % CUT_EVERY and i + 1 < rounds:
                 score = new.drop("was", "in")
@@ -126,8 +127,12 @@ def filter_urls(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) ->
     hosts = ruled.where("host <> ''").groupBy("host").agg(F.count("*").alias("pages"), count("allow").alias("allowed"), count("block").alias("blocked"))
     scores = spread(hosts, written(host_edges(table.select("host", "html")), "host-edges"))
     per_host = scores.select("host", "trust", "distrust")
+    known = ruled.where("host <> ''")
     method = F.when(F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0.0)) >= threshold, "block").otherwise("allow")
-    return ruled.join(per_host, "host", "left").select("page_id", "host", "path", "rule", F.coalesce("verdict", method).alias("verdict"), "trust", "distrust")
+    met = skew_join(known, per_host, ["host"], "left", hosts.select("host", F.col("pages").alias("n")))
+    out = met.select("page_id", "host", "path", "rule", F.coalesce("verdict", method).alias("verdict"), "trust", "distrust")
+    none = F.lit(None).cast("double")
+    return out.union(ruled.where("host = ''").select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit("allow")).alias("verdict"), none, none))
 
 
 def op7_url_filter(spark, sf_dir: str) -> DataFrame:
@@ -140,15 +145,9 @@ def _op7_sql() -> str:
         f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h + p if what == 'rule' else v}'"
         for v, h, p in sorted(RULES, key=lambda r: -len(r[1]) - len(r[2]))
     )
-    rounds = "".join(
-        f""", r{i} AS MATERIALIZED (SELECT s.host, s.kind, s.seed, s.seed + coalesce(i.inflow, 0) AS score FROM r{i - 1} s LEFT JOIN (
-  SELECT p.dst AS host, r.kind, sum(r.score * p.share) AS inflow FROM r{i - 1} r JOIN passed p ON r.host = p.src AND r.kind = p.kind GROUP BY 1, 2) i
-  ON s.host = i.host AND s.kind = i.kind)"""
-        for i in range(1, ROUNDS + 1)
-    )
     href = _HREF.removeprefix("(?is)").replace("'", "''")
     return f"""
-WITH u AS MATERIALIZED (SELECT page_id, html, coalesce({host('url')}, '') AS host, coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's'), '') AS path FROM pages),
+WITH RECURSIVE u AS MATERIALIZED (SELECT page_id, html, coalesce({host('url')}, '') AS host, coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's'), '') AS path FROM pages),
 j AS MATERIALIZED (SELECT *, CASE {cases('rule')} END AS rule, CASE {cases('verdict')} END AS verdict FROM u),
 l AS (SELECT host AS src, unnest(regexp_extract_all(html, '{href}', 1, 'is')) AS link FROM u),
 e AS MATERIALIZED (SELECT src, dst, count(*) AS links FROM (SELECT src, {host("CASE WHEN starts_with(link, '//') THEN 'x:' || link ELSE link END")} AS dst FROM l)
@@ -158,8 +157,12 @@ passed AS MATERIALIZED (SELECT src, dst, 't' AS kind, {DAMPING} * links / sum(li
 h AS MATERIALIZED (SELECT host, count(*) AS n, count(*) FILTER (verdict = 'allow') AS a, count(*) FILTER (verdict = 'block') AS b FROM j WHERE host <> '' GROUP BY 1),
 hosts AS MATERIALIZED (SELECT host FROM h UNION SELECT src FROM e UNION SELECT dst FROM e),
 r0 AS MATERIALIZED (SELECT host, kind, seed, seed AS score FROM (SELECT hosts.host, 't' AS kind, coalesce(a / n, 0) AS seed FROM hosts LEFT JOIN h ON h.host = hosts.host
-  UNION ALL SELECT hosts.host, 'd', coalesce(b / n, 0) FROM hosts LEFT JOIN h ON h.host = hosts.host)){rounds},
-s AS (SELECT host, sum(score) FILTER (kind = 'd') - sum(score) FILTER (kind = 't') AS net FROM r{ROUNDS} GROUP BY 1)
+  UNION ALL SELECT hosts.host, 'd', coalesce(b / n, 0) FROM hosts LEFT JOIN h ON h.host = hosts.host)),
+r AS (SELECT 0 AS i, host, kind, seed, score, CAST(1 AS DOUBLE) AS moved FROM r0 UNION ALL
+  SELECT r.i + 1, r.host, r.kind, r.seed, r.seed + coalesce(f.inflow, 0), max(abs(r.seed + coalesce(f.inflow, 0) - r.score) / greatest(1, r.seed + coalesce(f.inflow, 0))) OVER ()
+  FROM r LEFT JOIN (SELECT p.dst AS host, r.kind, sum(r.score * p.share) AS inflow FROM r JOIN passed p ON r.host = p.src AND r.kind = p.kind GROUP BY 1, 2) f
+  ON r.host = f.host AND r.kind = f.kind WHERE r.moved > {SETTLED} AND r.i < {MAX_ROUNDS}),
+s AS (SELECT host, sum(score) FILTER (kind = 'd') - sum(score) FILTER (kind = 't') AS net FROM r WHERE i = (SELECT max(i) FROM r) GROUP BY 1)
 SELECT page_id, j.host, path, rule, coalesce(verdict, CASE WHEN coalesce(net, 0) >= {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict
 FROM j LEFT JOIN s ON j.host = s.host
 """
