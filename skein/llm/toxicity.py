@@ -6,7 +6,9 @@ triples, only weaker. Landmarks are words of the training sentences; a word's Ny
 its kernels with the landmarks, whitened by those among the landmarks. A linear support vector
 machine on these features separates the worst word of toxic documents from the worst of clean
 sentences. Because the kernel is a product of triple weights, the trained function is a sum over the
-triples of a word: one table, one pass over the letters, whatever the number of landmarks.
+triples of a word: one table, one pass over the letters, whatever the number of landmarks. A second,
+small machine judges a document by its TOP worst words, as an insult seldom comes alone and a chance
+likeness does.
 
 Marks inside a word are dropped (i.d.i.o.t), and single letters in a row are one word (i d i o t).
 """
@@ -31,7 +33,8 @@ LANDMARKS = 96
 DECAY = 0.75
 #: Gaps (letters from the first to the second, and to the third) of the triples that count.
 GAPS = [(1, 1), (1, 2), (2, 1), (1, 3), (2, 2), (3, 1), (1, 4), (2, 3), (3, 2), (4, 1)]
-MAX_SPAN = 5
+#: Words whose margins make a document's, and the bound of each of these.
+TOP, REACH = 3, 3.0
 #: A document is rejected from this score on.
 TOXIC = 0.5
 
@@ -75,18 +78,11 @@ def _triples(c: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
         yield inside, (x[inside] * _SIDE + x[inside + g]) * _SIDE + x[inside + s], DECAY ** (s + 1)
 
 
-def _norms(longest: int = 64) -> np.ndarray:
-    """By word length, the kernel of a word of different letters with itself."""
-    n = np.arange(longest + 1)
-    return sum(np.maximum(n - g - h, 0) * DECAY ** (2 * (g + h + 1)) for g, h in GAPS)
-
-
-_NORMS = _norms()
-
-
 def _norm(sizes: np.ndarray) -> np.ndarray:
-    """Words too short for a triple have kernel 0 with everything; very long ones count as 64."""
-    return np.sqrt(np.maximum(_NORMS[np.minimum(sizes, _NORMS.size - 1)], 1e-9))
+    """Of words by length: the root of the kernel of a word of different letters with itself. Words too
+    short for a triple have kernel 0 with everything."""
+    own = sum(np.maximum(sizes - g - h, 0) * DECAY ** (2 * (g + h + 1)) for g, h in GAPS)
+    return np.sqrt(np.maximum(own, 1e-9))
 
 
 def features(word: bytes) -> dict[int, float]:
@@ -137,10 +133,11 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 3.0, round
 
 
 class Model:
-    """weights by triple, bias, and the slope and offset from margins to scores."""
+    """weights by triple and bias of the machine for words; of, the weights of a document's worst
+    words in turn, and offset, of the machine for documents."""
 
-    def __init__(self, weights: np.ndarray, bias: float, slope: float, offset: float, landmarks: list[bytes]):
-        self.weights, self.bias, self.slope, self.offset, self.landmarks = weights, bias, slope, offset, landmarks
+    def __init__(self, weights: np.ndarray, bias: float, of: np.ndarray, offset: float, landmarks: list[bytes]):
+        self.weights, self.bias, self.of, self.offset, self.landmarks = weights, bias, of, offset, landmarks
 
     def margins(self, data: bytes) -> np.ndarray:
         """The machine's value for every word."""
@@ -151,10 +148,14 @@ class Model:
         sizes = np.diff(np.r_[starts, c.size]) - 1
         return np.add.reduceat(total, starts) / _norm(sizes) + self.bias
 
+    def worst(self, data: bytes | None) -> np.ndarray:
+        """The margins of the TOP worst words. Words that a text lacks are like no landmark."""
+        m = self.margins(data) if data and data.strip() else np.zeros(0)
+        m = np.sort(np.partition(m, m.size - TOP)[m.size - TOP :] if m.size > TOP else m)[::-1]
+        return np.clip(np.r_[m, np.full(TOP - m.size, self.bias)], -REACH, REACH)
+
     def score(self, data: bytes | None) -> float:
-        """Of the worst word; a text without words gets the score of one that is like no landmark."""
-        worst = float(self.margins(data).max()) if data and data.strip() else self.bias
-        return float(1 / (1 + np.exp(-np.clip(self.slope * worst + self.offset, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(4 * (self.worst(data) @ self.of + self.offset), -30, 30))))
 
 
 def _sentences(text: str) -> list[bytes]:
@@ -206,7 +207,7 @@ def train(rows: list[tuple[str, int]]) -> Model:
     bags = [(w, label) for s, label in bags if (w := [x for x in s if any(len(y) > 2 for y in x)])]
     n = Counter(label for _, label in bags)
     if len(n) < 2:
-        return Model(np.zeros(_SIDE**3), -1.0, 1.0, -20.0, [])
+        return Model(np.zeros(_SIDE**3), -1.0, np.zeros(TOP), -5.0, [])
     toxic, clean = Counter(), Counter()
     for sentences, label in bags:
         (toxic if label else clean).update({w for s in sentences for w in s if len(w) > 3})
@@ -227,10 +228,14 @@ def train(rows: list[tuple[str, int]]) -> Model:
     where = [([i for i in ([place[w] for w in s if w in place] for s in sentences) if i], y) for sentences, y in bags]
     where = [(s, y) for s, y in where if s]
 
-    # The worst word stands for a sentence; which word that is follows from the machine so far, at
-    # first from how much more often it is in toxic documents. Most sentences of a toxic document are clean,
-    # and labels err: of toxic documents only the sentences worse than most clean documents count.
+    # The worst word stands for a clean sentence; which word that is follows from the machine so far, at
+    # first from how much more often it is in toxic documents. Most words of a toxic document are clean,
+    # and labels err: of toxic documents only the words worse than most clean documents count.
     value = np.array([max(0.0, odds(x)) if toxic[x] >= 3 else 0.0 for x in vocabulary]) + near / 100
+    # Words that toxic documents have ten times as often, by more than chance, count whatever the
+    # machine says, as several insults in one document else stand in for each other.
+    error = np.array([(1 / (toxic[x] + 0.5) + 1 / (clean[x] + 0.5)) ** 0.5 for x in vocabulary])
+    sure = (value > 2.3) & (value > 3 * error)
     w, b = np.zeros(phi.shape[1]), 0.0
     for _ in range(8):
         usual = np.quantile([max(value[i] for s in sentences for i in s) for sentences, label in where if not label], 0.9)
@@ -239,7 +244,7 @@ def train(rows: list[tuple[str, int]]) -> Model:
             best = [max(s, key=lambda i: (value[i], -i)) for s in sentences]
             top = max(best, key=lambda i: (value[i], -i))
             if label:
-                bad = {i for i in best if value[i] > usual}
+                bad = {i for s in sentences for i in s if value[i] > usual or sure[i]}
                 at += sorted(bad)
                 y += [1] * len(bad)
                 weight += [1.0] * len(bad)
@@ -258,24 +263,25 @@ def train(rows: list[tuple[str, int]]) -> Model:
     for z, x in zip(landmarks, whiten @ w):
         for t, f in features(z).items():
             weights[t] += x * f
-    model = Model(weights, b, 1.0, 0.0, landmarks)
-    margins = np.array([max(value[i] for s in sentences for i in s) for sentences, _ in where])
-    model.slope, model.offset = _calibrated(margins, np.array([y for _, y in where]))
+    model = Model(weights, b, np.zeros(TOP), 0.0, landmarks)
+    worst = np.array([model.worst(text.encode("utf-8", "replace")) for text, _ in rows])
+    label = np.array([1.0 if y else -1.0 for _, y in rows])
+    model.of, _ = _svm(worst, label, np.ones(len(rows)), c=1.0)
+    model.offset = -_cut(worst @ model.of, label)
     return model
 
 
-def _calibrated(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """The threshold that errs least on the training documents, in the middle of its gap, and a slope
-    that gives scores near 0 or 1 well away from it."""
+def _cut(margin: np.ndarray, y: np.ndarray) -> float:
+    """The threshold that errs least on the training documents, in the middle of its gap."""
     order = np.argsort(margin, kind="stable")
     m, t = margin[order], y[order]
     # Errors if documents from place i on count as toxic.
-    errors = np.r_[0, np.cumsum(t == 1)] + np.r_[(t == 0).sum(), (t == 0).sum() - np.cumsum(t == 0)]
+    errors = np.r_[0, np.cumsum(t > 0)] + np.r_[(t < 0).sum(), (t < 0).sum() - np.cumsum(t < 0)]
     edge = np.r_[True, m[1:] > m[:-1], True]
     i = int(np.flatnonzero(edge & (errors == errors[edge].min()))[0])
-    low, high = m[max(i - 1, 0)], m[min(i, m.size - 1)]
-    cut = (low + high) / 2 if i not in (0, m.size) else (m[0] - 1 if i == 0 else m[-1] + 1)
-    return 4.0, -4.0 * cut
+    if i in (0, m.size):
+        return float(m[0] - 1 if i == 0 else m[-1] + 1)
+    return float((m[i - 1] + m[i]) / 2)
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> Model:
