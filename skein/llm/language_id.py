@@ -29,13 +29,17 @@ LEVEL = 3
 #: A text is rejected if its two best languages differ by a smaller share of its size than this.
 MIN_MARGIN = 0.002
 
-#: Word characters of `re` that are numbers and no letters, such as superscripts and fractions.
-_NUMBERS = "".join(x for x in map(chr, range(sys.maxunicode + 1)) if x.isalnum() and not x.isalpha())
-_NO_LETTERS = re.compile(rf"[\W_{re.escape(_NUMBERS)}]+")
+_NO_LETTERS = re.compile(r"[\W\d_]+")
+#: Word characters of `re` that are neither letters nor digits, such as superscripts and fractions; a
+#: class of its own, as `re` looks such a class up in a table and a mixed one character by character.
+_NUMBERS = re.compile("[" + "".join(x for x in map(chr, range(0x80, sys.maxunicode + 1)) if x.isalnum() and not x.isalpha() and not x.isdecimal()) + "]")
 
 
 def folded(text: str) -> str:
-    return _NO_LETTERS.sub(" ", text.lower()).strip()
+    text = text.lower()
+    if not text.isascii() and _NUMBERS.search(text):
+        text = _NUMBERS.sub(" ", text)
+    return _NO_LETTERS.sub(" ", text).strip()
 
 
 def training_slices(docs: DataFrame, usable: Column) -> DataFrame:
