@@ -9,7 +9,6 @@ total wins. A narrow margin between the two best languages is a rejection.
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -31,14 +30,23 @@ MIN_MARGIN = 0.002
 
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 #: Word characters of `re` that are neither letters nor digits, such as superscripts and fractions; a
-#: class of its own, as `re` looks such a class up in a table and a mixed one character by character.
-_NUMBERS = re.compile("[" + "".join(x for x in map(chr, range(0x80, sys.maxunicode + 1)) if x.isalnum() and not x.isalpha() and not x.isdecimal()) + "]")
+#: class of its own, as `re` looks such a class up in a table. Those beyond U+FFFF, which it does not
+#: look up so, are a second class, for texts that have any such character.
+_NUMBERS, _FAR_NUMBERS = (
+    re.compile("[" + "".join(x for x in map(chr, of) if x.isalnum() and not x.isalpha() and not x.isdecimal()) + "]") for of in (range(0x80, 0x10000), range(0x10000, 0x20000))
+)
+
+
+def _without(numbers: re.Pattern[str], text: str) -> str:
+    return numbers.sub(" ", text) if numbers.search(text) else text
 
 
 def folded(text: str) -> str:
     text = text.lower()
-    if not text.isascii() and _NUMBERS.search(text):
-        text = _NUMBERS.sub(" ", text)
+    if not text.isascii():
+        text = _without(_NUMBERS, text)
+        if len(text.encode("utf-16-le", "surrogatepass")) > 2 * len(text):
+            text = _without(_FAR_NUMBERS, text)
     return _NO_LETTERS.sub(" ", text).strip()
 
 
