@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -42,17 +44,29 @@ def first_seen(df: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
     return best_per_key(df, keys, [F.col(ordinal)])
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df worked out once and kept in the checkpoint folder, so that all that is made of it sees the
+    same rows. The folder is the one that the session names; a temporary one only on one machine."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        named = context.getConf().get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
+
+
 def numbered(df: DataFrame, order: list[str], out: str, prefix: str | None = None, width: int = 5) -> DataFrame:
-    """Numbers from 1 in this order without a one-task sort: rows are dealt out by range, counted per
-    partition, and each partition starts after the rows before it."""
-    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
-    dealt = dealt.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*order)))
+    """Numbers from 1 in this order without a one-task sort: rows are dealt out by range and stored
+    with their place; then each partition's numbers start after the rows before it."""
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    dealt = stored(dealt).withColumn("__p", F.shiftright("__at", 33))
     counts = dealt.groupBy("__p").agg(F.count("*").alias("__n"))
     # One row per partition.
     before = counts.withColumn("__base", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    n = F.col("__base") + F.col("__i")
-    value = n if prefix is None else F.concat(F.lit(prefix), F.lpad(n.cast("string"), width, "0"))
-    return dealt.join(F.broadcast(before.select("__p", "__base")), "__p").withColumn(out, value).drop("__p", "__i", "__base")
+    n = F.col("__base") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    value = n if prefix is None else F.concat(F.lit(prefix), F.when(n < 10**width, F.lpad(n.cast("string"), width, "0")).otherwise(n.cast("string")))
+    return dealt.join(F.broadcast(before.select("__p", "__base")), "__p").withColumn(out, value).drop("__p", "__at", "__base")
 
 
 def batches(df: DataFrame, keys: list[str], order: list[str], size: int, out: str = "batch") -> DataFrame:
