@@ -104,16 +104,22 @@ def noise_label(text: Column) -> Column:
 
 
 def _noise_label(n: Column) -> Column:
-    return (F.length(n) <= 3) | n.isin(NOISE_LABELS) | n.rlike("^[0-9 ]+$")
+    return (F.length(n) <= 3) | n.isin(NOISE_LABELS) | n.rlike("^[0-9]+$")
 
 
 def classify_signal(text: Column, known_cities: list[str] = KNOWN_CITIES) -> Column:
     """struct(kind, score, strength, is_ban, is_site, is_optical, is_route): the first kind whose
-    test holds. Known cities are a short list."""
-    return let(parse_address(text), lambda a: let(_kind(text, a, known_cities), signal_of_kind))
+    test holds. Here known cities are a short list; where a gazetteer names them, a join says whether
+    the city is known, and kind_of() takes its answer."""
+    return let(parse_address(text), lambda a: signal_of(kind_of(text, a, a["city"].isin(known_cities))))
 
 
-def _kind(text: Column, a: Column, known_cities: list[str]) -> Column:
+def signal_of(kind: Column) -> Column:
+    return let(kind, signal_of_kind)
+
+
+def kind_of(text: Column, a: Column, known_city: Column) -> Column:
+    """The kind of a text with the parsed address a."""
     street, city, house, postcode = (a[k] for k in ("street_name", "city", "house_number", "postcode"))
     tokens = words(a["normalized"])
     raw = F.coalesce(text, F.lit(""))
@@ -126,7 +132,7 @@ def _kind(text: Column, a: Column, known_cities: list[str]) -> Column:
         .when(F.arrays_overlap(tokens, text_list(*TECHNICAL)), "technical_site_anchor")
         .when((F.size(route_refs(text)) > 0) | (F.size(service_refs(text)) > 0) | raw.rlike(REFERENCE_WORDS), "route_or_service_reference")
         .when(F.arrays_overlap(tokens, text_list(*SITE_WORDS)), "site_label_business")
-        .when(city.isin(known_cities) & (street == ""), "city_only")
+        .when(known_city & (city != "") & (street == ""), "city_only")
         .when(F.trim(raw).rlike(UPPER_LABEL) | (F.size(place_tokens(text)) > 0), "weak_business_label")
         .otherwise("noise")
     )
@@ -154,5 +160,5 @@ def client_of_endpoint(text: Column) -> Column:
 def client_of_pop(text: Column) -> Column:
     """The client in `POP CLIENT CITY (CITY)`, empty for other names."""
     raw = F.trim(F.coalesce(text, F.lit("")))
-    name = F.regexp_replace(F.substring(raw, 5, 1 << 20), r"\s*\([^)]*\)\s*$", "")
+    name = F.regexp_replace(F.regexp_replace(raw, "(?s)^.{4}", ""), r"\s*\([^)]*\)\s*$", "")
     return F.when(F.upper(raw).startswith("POP "), without_last_cities(name)).otherwise("")

@@ -6,6 +6,7 @@ Null texts count as empty ones throughout.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import reduce
 
@@ -19,23 +20,43 @@ BUSINESS_STOPWORDS = [
 ]
 
 
-def _folding() -> tuple[str, str]:
-    """Accented letters that decompose to one plain letter, with it; then marks, which go."""
-    plain = {}
-    for code in range(0xC0, 0x250):
-        base = "".join(x for x in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(x))
-        if len(base) == 1 and base != chr(code):
-            plain[chr(code)] = base
-    return "".join(plain) + "".join(map(chr, range(0x300, 0x370))), "".join(plain.values())
+#: No character from here on decomposes to Latin letters or digits or is a mark that goes with them.
+_LAST = 0x20000
 
 
-_FROM, _TO = _folding()
+def _folding() -> tuple[str, str, dict[str, str]]:
+    """Characters that decompose to one character, with it, followed by marks, which go; and those
+    that decompose to several, with these. Only what ends as letters or digits matters."""
+    one, several, marks = {}, {}, []
+    for c in map(chr, range(0x80, _LAST)):
+        if unicodedata.combining(c):
+            marks.append(c)
+            continue
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if not plain:
+            marks.append(c)
+        elif plain != c and re.search("[A-Z0-9]", plain.upper()):
+            (one if len(plain) == 1 else several)[c] = plain
+    return "".join([*one, *marks]), "".join(one.values()), several
+
+
+_FROM, _TO, _SEVERAL = _folding()
+
+
+def _unfolded(text: Column) -> Column:
+    """text with each character of _SEVERAL written out, letter by letter where it has one."""
+    tabbed = lambda xs: F.split(F.lit("\t".join(xs)), "\t")
+    table = F.map_from_arrays(tabbed(_SEVERAL), tabbed(_SEVERAL.values()))
+    spelled = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    return F.when(text.rlike("[" + "".join(_SEVERAL) + "]"), spelled).otherwise(text)
 
 
 def norm_text(text: Column) -> Column:
-    """Upper case without accents, all but letters and digits as single spaces."""
-    folded = F.upper(F.translate(F.coalesce(text, F.lit("")), _FROM, _TO))
-    return F.trim(F.regexp_replace(folded, "[^A-Z0-9]+", " "))
+    """Upper case without accents, all but letters and digits as single spaces. Texts of ASCII alone
+    skip the folding."""
+    raw = F.coalesce(text, F.lit(""))
+    folded = F.when(F.octet_length(raw) == F.length(raw), raw).otherwise(F.translate(_unfolded(raw), _FROM, _TO))
+    return F.trim(F.regexp_replace(F.upper(folded), "[^A-Z0-9]+", " "))
 
 
 def let(value: Column, body) -> Column:
