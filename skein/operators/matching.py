@@ -25,11 +25,13 @@ def ref_join(left: DataFrame, refs: str, right: DataFrame, key: str, how: str =
 
 def fallback_join(left: DataFrame, keys: list[str], right: DataFrame, key: str, value: str) -> DataFrame:
     """left with the value that right has for the first of left's keys it knows, and `matched_by`,
-    that key's name. right has one row per key. A cascade of lookups as one join."""
+    that key's name. right has one row per key. A cascade of lookups as one join; null keys, which meet
+    nothing, are dealt out over the tasks."""
     tries = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(k).alias("by"), F.col(k).alias("k")) for i, k in enumerate(keys)))
     rows = left.withColumn("__row", F.monotonically_increasing_id()).withColumn("__row", F.struct("__row", *left.columns))
     flat = rows.select("__row", F.explode(tries).alias("t")).select("__row", "t.i", "t.by", "t.k")
-    hit = flat.join(right.select(F.col(key).alias("k"), F.col(value).alias("__value")), "k", "left")
+    flat = flat.withColumn("s", F.when(F.col("k").isNull(), F.pmod(F.xxhash64("__row"), F.lit(1000))).otherwise(0).cast("int"))
+    hit = flat.join(right.select(F.col(key).alias("k"), F.col(value).alias("__value"), F.lit(0).alias("s")), ["k", "s"], "left")
     found = F.min_by(F.struct("__value", "by"), F.when(F.col("__value").isNotNull(), F.col("i"))).alias("f")
     best = hit.groupBy("__row").agg(found)
     return best.select(*(F.col(f"__row.{c}").alias(c) for c in left.columns), F.col("f.__value").alias(value), F.col("f.by").alias("matched_by"))

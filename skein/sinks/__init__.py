@@ -17,14 +17,19 @@ def write_export(df: DataFrame, path: str, order: list[str]) -> None:
 
 
 def report(sections: dict[str, DataFrame], limit: int = 100) -> str:
-    """A Markdown report of small aggregates, each a table of at most limit rows."""
+    """A Markdown report of small aggregates, each a table of at most limit rows; a last row says so
+    where there are more."""
     out = []
     for title, df in sections.items():
         out += [f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
-        out += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in df.limit(limit).collect()]
+        rows = df.limit(limit + 1).collect()
+        out += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows[:limit]]
+        if len(rows) > limit:
+            out.append(f"| more than {limit} rows |" + " |" * (len(df.columns) - 1))
         out.append("")
     return "\n".join(out)
 
 
 def write_suggestions(df: DataFrame, path: str) -> None:
-    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("overwrite").text(path)
+    """One JSON object a line, keys sorted, nulls written."""
+    df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)

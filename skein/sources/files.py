@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skein.functions.text import first_filled, norm_text
-from skein.operators.ranking import first_seen
+from skein.operators.ranking import best_per_key
 from skein.operators.spatial import to_lambert93, with_reuse
 
 # Headers by which address files name a field.
@@ -30,13 +30,15 @@ def delimiter(spark: SparkSession, path: str, default: str = ";") -> str:
 
 
 def read_delimited(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, sep=delimiter(spark, path))
+    """The file's columns and `__row`, which grows from row to row; a missing file has neither."""
+    raw = spark.read.csv(path, header=True, sep=delimiter(spark, path))
+    return raw.withColumn("__row", F.monotonically_increasing_id())
 
 
 def addresses(raw: DataFrame) -> DataFrame:
-    """Address rows of a delimited file: one per id (the least row by label where ids repeat), with
-    normalised texts, points in metres and how far points are shared."""
-    named = raw.select(*(first_filled(*(column_or_null(raw, h) for h in [h for h in heads if h in raw.columns] or heads[:1])).alias(n) for n, heads in ADDRESS_HEADERS.items()))
+    """Address rows of a delimited file: the first per id, with normalised texts, points in metres and
+    how far points are shared."""
+    named = raw.select(*(first_filled(*(column_or_null(raw, h) for h in [h for h in heads if h in raw.columns] or heads[:1])).alias(n) for n, heads in ADDRESS_HEADERS.items()), column_or_null(raw, "__row", "long").alias("__row"))
     number = lambda c: F.expr(f"try_cast({c} as double)")
     projected = to_lambert93(number("lon"), number("lat"))
     placed = named.where("ban_id is not null").select(
@@ -45,7 +47,7 @@ def addresses(raw: DataFrame) -> DataFrame:
     )
     label = first_filled(F.col("full_label"), F.concat_ws(" ", "house_number", "street_name", "postcode", "city"))
     placed = placed.withColumn("full_label", label).withColumn("normalized_label", norm_text(label))
-    once = first_seen(placed, ["ban_id"], "full_label")
+    once = best_per_key(placed, ["ban_id"], [F.col("__row"), F.col("full_label")]).drop("__row")
     return with_reuse(once, "normalized_city", "x_l93", "y_l93")
 
 
