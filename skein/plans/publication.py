@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skein.functions.text import hash16, is_blank
-from skein.operators.ranking import max_row_per_key
 
 # Natures, review types with severity and reason, gaps.
 FIBRE = ["IRU FON", "Location FON"]
@@ -30,8 +29,9 @@ def gold(services: DataFrame, evidence: DataFrame) -> DataFrame:
     (service_id, kind, target, score): contract_party, final_party, site_a, site_z, optical, network;
     ties: the least target. Confidence is medium if any score reaches 80, else low."""
     kinds = ["contract_party", "final_party", "site_a", "site_z", "optical", "network"]
-    least_first = F.struct(F.col("score").alias("s"), F.negative(F.hash("target").cast("long")).alias("h"), F.col("target").alias("t"))
-    best = max_row_per_key(evidence.where(F.col("kind").isin(kinds)), ["service_id", "kind"], least_first, ["target", "score"])
+    first = F.min(F.struct((-F.col("score")).alias("s"), F.col("target").alias("t"))).alias("b")
+    known = evidence.where(F.col("kind").isin(kinds) & F.col("target").isNotNull())
+    best = known.groupBy("service_id", "kind").agg(first).select("service_id", "kind", F.col("b.t").alias("target"), (-F.col("b.s")).alias("score"))
     wide = best.groupBy("service_id").pivot("kind", kinds).agg(F.first("target").alias("id"), F.first("score").alias("score"))
     out = services.join(wide, "service_id", "left").join(evidence_stats(evidence), "service_id", "left")
     scores = [F.coalesce(F.col(f"{k}_score"), F.lit(0)) for k in kinds]
@@ -64,41 +64,58 @@ def preferred(sources: dict[str, Column]) -> tuple[Column, Column]:
     return value, source
 
 
-def gap_flags(nature: Column, values: dict[str, Column]) -> Column:
-    """Names of gaps: values by gap name, a gap where the value is blank. Network support is asked of
-    Lan To Lan services alone, optical support of fibre services alone, site Z not of hosting."""
-    asked = {"missing_network_support": nature == "Lan To Lan", "missing_optical_support": nature.isin(FIBRE), "missing_site_z": nature != "Hebergement"}
-    return F.array_compact(F.array(*(F.when(is_blank(v) & asked.get(g, F.lit(True)), F.lit(g)) for g, v in values.items())))
+def gap_flags(tests: dict[str, Column]) -> Column:
+    """Names of the gaps whose test holds, in order of their names."""
+    return F.array_compact(F.array(*(F.when(F.coalesce(t, F.lit(False)), F.lit(g)) for g, t in sorted(tests.items()))))
 
 
-def publication_status(source: Column, gaps: Column) -> Column:
+def critical_gaps(nature: Column, gaps: Column) -> Column:
+    """Of all gaps those that matter for this nature: site Z not for hosting, network supports for Lan To
+    Lan alone, optical ones for fibre services alone."""
+    asked = {"missing_site_z": nature != "Hebergement", "missing_network_support": nature == "Lan To Lan", "missing_optical_support": nature.isin(*FIBRE, "FON")}
+    always = ["missing_bss_link", "missing_final_party", "missing_site_a"]
+    matter = F.concat(F.array(*map(F.lit, always)), *(F.when(F.coalesce(t, F.lit(False)), F.array(F.lit(g))).otherwise(F.array().cast("array<string>")) for g, t in asked.items()))
+    return F.array_intersect(gaps, matter)
+
+
+def publication_status(source: Column, critical: Column) -> Column:
     return (
-        F.when(F.size(gaps) > 0, "needs_review")
+        F.when(F.size(critical) > 0, "needs_review")
         .when(source == "agent_validated", "published_validated")
         .when(source.isin("gold_auto_valid", "gold_review_required"), "published_from_gold")
         .otherwise("published_with_gaps")
     )
 
 
-def publish(golden: DataFrame, resolutions: DataFrame) -> DataFrame:
-    """The final table: for each attribute the latest validated resolution, else the consolidated row,
-    else the contract. golden: as gold() plus client_final, endpoint_a_raw, endpoint_z_raw;
-    resolutions: one latest row per service, of which only validated ones count."""
-    names = {"final_party": "client_final", "site_a": None, "site_z": None, "optical": None, "network": None}
-    valid = resolutions.where("status = 'validated'").select("service_id", F.lit(True).alias("__ok"), *(F.col(c).alias(f"__{c}") for c in names))
-    out = golden.join(valid, "service_id", "left")
-    for name, raw in names.items():
-        sources = {"agent": F.col(f"__{name}"), "gold": F.col(f"{name}_id")} | ({"bss": F.col(raw)} if raw else {})
-        value, source = preferred(sources)
+def publish(services: DataFrame, golden: DataFrame, resolutions: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """The final table, one row per service: for each attribute what the newest resolution says, if it is
+    validated, else the consolidated row. resolutions: one newest row per service, with status,
+    final_party, site_a, site_z, optical, network and network_hint (a device that names no support).
+    links: service_id of services with contract lines; by default all have some."""
+    names = ["final_party", "site_a", "site_z", "optical", "network"]
+    valid = resolutions.where("status = 'validated'").select("service_id", F.lit(True).alias("__ok"), *(F.col(c).alias(f"__{c}") for c in names), F.col("network_hint").alias("__hint"))
+    gold_row = golden.select("service_id", F.col("match_state").alias("__state"), *(F.col(f"{c}_id").alias(f"__gold_{c}") for c in ["contract_party", *names]))
+    out = services.join(valid, "service_id", "left").join(gold_row, "service_id", "left")
+    for name in names:
+        value, source = preferred({"agent": F.col(f"__{name}"), "gold": F.col(f"__gold_{name}")})
         out = out.withColumn(f"published_{name}", value).withColumn(f"{name}_source", F.coalesce(source, F.lit("missing")))
-    flags = gap_flags(F.col("nature_service"), {
-        "missing_final_party": F.col("published_final_party"), "missing_site_a": F.col("published_site_a"), "missing_site_z": F.col("published_site_z"),
-        "missing_network_support": F.col("published_network"), "missing_optical_support": F.col("published_optical"),
+    unmapped = F.col("published_network").isNull() & ~is_blank(F.col("__hint"))
+    out = out.withColumn("network_source", F.when(unmapped, "agent_hint_unmapped").otherwise(F.col("network_source"))).withColumn("published_contract_party", F.col("__gold_contract_party"))
+    linked = F.lit(True)
+    if links is not None:
+        out = out.join(links.select("service_id", F.lit(True).alias("__linked")).distinct(), "service_id", "left")
+        linked = F.coalesce("__linked", F.lit(False))
+    lacks = lambda c: is_blank(F.col(f"published_{c}"))
+    flags = gap_flags({
+        "missing_final_party": lacks("final_party"), "missing_site_a": lacks("site_a"), "missing_site_z": lacks("site_z"), "missing_network_support": lacks("network"),
+        "missing_optical_support": lacks("optical"), "missing_bss_link": ~linked, "agent_hint_unmapped": unmapped,
     })
-    truth = F.when(F.col("__ok"), "agent_validated").when(F.col("match_state") == "auto_valid", "gold_auto_valid").otherwise("gold_review_required")
-    out = out.withColumn("gap_flags", flags).withColumn("selected_truth_source", truth)
-    out = out.withColumn("publication_status", publication_status(truth, F.col("gap_flags")))
-    return out.drop("__ok", *(f"__{c}" for c in names))
+    truth = (
+        F.when(F.col("__ok"), "agent_validated").when(F.col("__state") == "auto_valid", "gold_auto_valid").when(F.col("__state").isNotNull(), "gold_review_required").otherwise("fallback_bss_only")
+    )
+    out = out.withColumn("gap_flags", flags).withColumn("critical_gaps", critical_gaps(F.col("nature_service"), F.col("gap_flags"))).withColumn("selected_truth_source", truth)
+    out = out.withColumn("publication_status", publication_status(truth, F.col("critical_gaps")))
+    return out.drop(*(c for c in out.columns if c.startswith("__")))
 
 
 def spatial_best(*candidates: tuple[str, Column, Column]) -> Column:
