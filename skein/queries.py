@@ -143,12 +143,10 @@ SELECT 'PTY-' || {_hash16('nn')} AS party_id, arg_min(name, (r, name)) AS canoni
   CASE arg_min(party_type, (r, name)) WHEN 'contractant' THEN 100 WHEN 'client_final' THEN 95 WHEN 'site_client_hint' THEN 75 WHEN 'network_vlan' THEN 70 ELSE 0 END AS source_priority,
   count(DISTINCT name) AS n_aliases FROM n WHERE nn <> '' GROUP BY nn""")
 def party_clusters(t):
-    for name in ("customer", "supplier", "nation"):
-        t(name).createOrReplaceTempView(f"skein_{name}")
-    sql = _NAMES
-    for name in ("customer", "supplier", "nation"):
-        sql = sql.replace(f"FROM {name}", f"FROM skein_{name}")
-    return tables.party_clusters(t("nation").sparkSession.sql(sql))
+    of = lambda table, name, kind: t(table).select(F.expr(name).alias("name"), F.lit(kind).alias("party_type"))
+    names = of("customer", "c_name", "contractant").union(t("customer").where("c_custkey % 3 = 0").select(F.expr("upper(c_name) || '!'"), F.lit("client_final")))
+    names = names.union(of("supplier", "s_name", "network_vlan")).union(of("supplier", "lower(s_name)", "site_client_hint")).union(of("nation", "n_name", "unknown"))
+    return tables.party_clusters(names)
 
 
 @query("""SELECT o_orderkey, coalesce(a.c_custkey, b.c_custkey) AS c_custkey, CASE WHEN a.c_custkey IS NOT NULL THEN 'exact' WHEN b.c_custkey IS NOT NULL THEN 'other' END AS matched_by
@@ -186,9 +184,9 @@ def first_seen_docs(t):
     return ranking.first_seen(d, ["source", "digest"], "doc_id")
 
 
-@query("SELECT o_orderkey, 'SVC-' || lpad(CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS VARCHAR), 9, '0') AS service_id FROM orders")
+@query("SELECT *, 'SVC-' || lpad(CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS VARCHAR), 9, '0') AS service_id FROM orders")
 def numbered_orders(t):
-    return ranking.numbered(t("orders"), ["o_orderdate", "o_orderkey"], "service_id", "SVC-", 9).select("o_orderkey", "service_id")
+    return ranking.numbered(t("orders"), ["o_orderdate", "o_orderkey"], "service_id", "SVC-", 9)
 
 
 @query(f"""WITH d AS (SELECT doc_id, unnest({_tokens(_norm('text'))}) AS x FROM documents), b AS (SELECT item_id, unnest({_tokens(_norm('text'))}) AS x FROM benchmark),
@@ -214,15 +212,12 @@ def label_matches(t):
     return matching.label_matches(a, "p_partkey", "l", "tl", b, "n_nationkey", "r", "tr")
 
 
-_PAIR = "SELECT {k}, min(l_suppkey) AS a, max(l_suppkey) AS z FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1"
+_PAIR = "SELECT {k}, min(l_suppkey) AS a, max(l_suppkey) AS z FROM lineitem GROUP BY 1"
 
 
 @query(f"SELECT o.l_orderkey, p.l_partkey FROM ({_PAIR.format(k='l_orderkey')}) o JOIN ({_PAIR.format(k='l_partkey')}) p ON o.a <> o.z AND p.a <> p.z AND least(o.a, o.z) = least(p.a, p.z) AND greatest(o.a, o.z) = greatest(p.a, p.z)")
 def sorted_pairs(t):
-    return _sorted_pairs(t("lineitem").where("l_linenumber <= 2"))
-
-
-def _sorted_pairs(ends):
+    ends = t("lineitem")
     pair = lambda k, a, z: ends.groupBy(k).agg(F.min("l_suppkey").alias(a), F.max("l_suppkey").alias(z))
     return matching.pair_join(pair("l_orderkey", "a", "z"), ("a", "z"), pair("l_partkey", "z2", "a2"), ("a2", "z2")).select("l_orderkey", "l_partkey")
 
@@ -291,9 +286,9 @@ def radius_search(t):
     return found.select("id", F.round("meters", 6).alias("meters"))
 
 
-@query(f"SELECT label, min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y, count(*) AS n_points FROM ({_POINTS}) GROUP BY 1")
+@query(f"SELECT label, min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y, round(avg(x), 1) AS mean_x, round(avg(y), 1) AS mean_y, count(*) AS n_points FROM ({_POINTS}) GROUP BY 1")
 def footprints(t):
-    return spatial.footprint(_points(t), ["label"], [("x", "y")]).drop("mean_x", "mean_y")
+    return spatial.footprint(_points(t), ["label"], [("x", "y")])
 
 
 @query(f"SELECT CASE WHEN m <= 100 THEN 'strong' WHEN m <= 200 THEN 'medium' WHEN m <= 500 THEN 'weak' ELSE 'none' END AS band, count(*) AS n FROM (SELECT sqrt(x * x + y * y) / 5 AS m FROM ({_POINTS})) GROUP BY 1")
@@ -310,15 +305,16 @@ def kpi_orders(t):
     return out.withColumn("share", scores.ratio(F.col("large"), F.col("n")))
 
 
-_PROFILED = ["l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"]
+_PROFILED = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
-@query(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS n_nulls, count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high FROM lineitem" for c in _PROFILED))
+@query(" UNION ALL ".join(f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS n_nulls, count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS VARCHAR) AS low, CAST(max({c}) AS VARCHAR) AS high,
+  array_to_string(list_sort(list(DISTINCT CAST({c} AS VARCHAR)))[1:5], '|') AS samples FROM customer""" for c in _PROFILED))
 def column_profile(t):
-    return tables.profile(t("lineitem").select(*_PROFILED))
+    return tables.profile(t("customer").select(*_PROFILED)).withColumn("samples", F.array_join("samples", "|"))
 
 
-@query("SELECT 'nation' AS table_name, count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(sha256(n_nationkey || '|' || n_name || '|' || n_regionkey), 1, 12)) AS BIGINT)) AS VARCHAR) AS digest FROM nation")
+@query("""SELECT 'nation' AS table_name, count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(sha256(array_to_string(list_transform([CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR)], lambda x: length(x) || ':' || x), '|')), 1, 12)) AS BIGINT)) AS VARCHAR) AS digest FROM nation""")
 def table_digest(t):
     return tables.digest(t("nation").select("n_nationkey", "n_name", "n_regionkey"), "nation")
 
@@ -359,71 +355,68 @@ def route_coherence(t):
     return s.select("l_orderkey", score.alias("score"), scores.coherence_band(score).alias("band"))
 
 
+_NATURES = "CASE WHEN o_orderkey % 4 = 0 THEN 'Hebergement' WHEN o_orderkey % 4 = 1 THEN 'IRU FON' ELSE 'Lan To Lan' END"
+_KINDS = ["contract_party", "final_party", "site_a", "site_z", "optical", "network"]
+
+
 def _evidence(t):
-    kinds = "element_at(array('contract_party', 'final_party', 'site_a', 'site_z', 'optical', 'network'), l_linenumber)"
-    return t("lineitem").where("l_linenumber <= 6").select(
-        F.col("l_orderkey").alias("service_id"), F.expr(kinds).alias("kind"), F.col("l_partkey").cast("string").alias("target"), (F.col("l_quantity").cast("int") * 2).alias("score")
+    """Lines as evidence of what their number stands for; those beyond the sixth are further network
+    evidence, so several lines of an order compete, and some tie."""
+    kind = F.element_at(F.array(*map(F.lit, _KINDS)), F.least(F.col("l_linenumber"), F.lit(len(_KINDS))))
+    return t("lineitem").select(
+        F.col("l_orderkey").alias("service_id"), kind.alias("kind"), F.col("l_partkey").cast("string").alias("target"), (F.col("l_quantity").cast("int") * 2).alias("score")
     )
 
 
-_NATURES = "CASE WHEN o_orderkey % 4 = 0 THEN 'Hebergement' WHEN o_orderkey % 4 = 1 THEN 'IRU FON' ELSE 'Lan To Lan' END"
-_KINDS = ["contract_party", "final_party", "site_a", "site_z", "optical", "network"]
-#: Each order has at most one line of a number, so no ties need to be told apart.
-_GOLD = f"""e AS (SELECT l_orderkey AS service_id, CASE l_linenumber {' '.join(f"WHEN {i + 1} THEN '{k}'" for i, k in enumerate(_KINDS))} END AS kind, CAST(l_partkey AS VARCHAR) AS target,
-  CAST(l_quantity AS INT) * 2 AS score FROM lineitem WHERE l_linenumber <= 6),
-b AS (SELECT service_id, kind, max(score) AS score, count(*) AS n FROM e GROUP BY 1, 2),
-g AS (SELECT o_orderkey AS service_id, {_NATURES} AS nature_service, {', '.join(f"coalesce(max(b.score) FILTER (b.kind = '{k}'), 0) AS {k}_score, max(b.score) FILTER (b.kind = '{k}') IS NOT NULL AS has_{k}" for k in _KINDS)}
+_GOLD = f"""e AS (SELECT l_orderkey AS service_id, CASE least(l_linenumber, 6) {' '.join(f"WHEN {i + 1} THEN '{k}'" for i, k in enumerate(_KINDS))} END AS kind, CAST(l_partkey AS VARCHAR) AS target,
+  CAST(l_quantity AS INT) * 2 AS score FROM lineitem),
+b AS (SELECT service_id, kind, max(score) AS score, arg_min(target, (-score, target)) AS target FROM e GROUP BY 1, 2),
+g AS (SELECT o_orderkey AS service_id, {_NATURES} AS nature_service, {', '.join(f"coalesce(max(b.score) FILTER (b.kind = '{k}'), 0) AS {k}_score, max(b.target) FILTER (b.kind = '{k}') AS {k}_id" for k in _KINDS)}
   FROM orders LEFT JOIN b ON b.service_id = o_orderkey GROUP BY 1, 2),
 n AS (SELECT service_id, count(*) AS evidence_count, count(*) FILTER (score >= 90) AS strong_evidence_count FROM e GROUP BY 1)"""
 
 
-def _golden(t, evidence=_evidence):
-    heads = t("orders").select(F.col("o_orderkey").alias("service_id"), F.expr(_NATURES).alias("nature_service"), F.expr("if(o_orderkey % 3 = 0, concat('Client ', o_custkey), null)").alias("client_final"))
-    return publication.gold(heads, evidence(t))
+def _heads(t):
+    return t("orders").select(F.col("o_orderkey").alias("service_id"), F.expr(_NATURES).alias("nature_service"))
 
 
-@query(f"""WITH {_GOLD} SELECT g.service_id, {', '.join(f'{k}_score' for k in _KINDS)}, coalesce(evidence_count, 0) AS evidence_count, coalesce(strong_evidence_count, 0) AS strong_evidence_count,
-  CASE WHEN greatest({', '.join(f'{k}_score' for k in _KINDS)}) >= 80 THEN 'medium' ELSE 'low' END AS confidence_band FROM g LEFT JOIN n USING (service_id)""")
-def gold_services(t):
-    return _gold_services(_golden(t))
+def _golden(t):
+    return publication.gold(_heads(t), _evidence(t))
 
 
-def _gold_services(golden):
-    return golden.select("service_id", *(f"{k}_score" for k in _KINDS), "evidence_count", "strong_evidence_count", "confidence_band")
+@query(f"""WITH {_GOLD} SELECT g.service_id, {', '.join(f'{k}_score, {k}_id' for k in _KINDS)}, coalesce(evidence_count, 0) AS evidence_count, coalesce(strong_evidence_count, 0) AS strong_evidence_count,
+  CASE WHEN greatest({', '.join(f'{k}_score' for k in _KINDS)}) >= 80 THEN 'medium' ELSE 'low' END AS confidence_band FROM g LEFT JOIN n USING (service_id)""")
+def gold_services(t):
+    return _golden(t).select("service_id", *(f"{k}_{x}" for k in _KINDS for x in ("score", "id")), "evidence_count", "strong_evidence_count", "confidence_band")
 
 
 _TESTS = {
-    "missing_contract_party": "NOT has_contract_party", "missing_final_party": "NOT has_final_party", "missing_site_z": "site_z_score < 60 AND nature_service <> 'Hebergement'",
+    "missing_contract_party": "contract_party_id IS NULL", "missing_final_party": "final_party_id IS NULL", "missing_site_z": "site_z_score < 60 AND nature_service <> 'Hebergement'",
     "missing_network_support": "network_score < 72 AND nature_service = 'Lan To Lan'", "missing_optical_support": "optical_score < 80 AND nature_service IN ('IRU FON', 'Location FON')", "manual_review": "true",
 }
 
 
 @query(f"WITH {_GOLD} " + " UNION ALL ".join(f"SELECT service_id, '{k}' AS review_type, '{publication.REVIEWS[k][0]}' AS severity, 'RVW-' || {_hash16('CAST(service_id AS VARCHAR)', repr(k), repr(publication.REVIEWS[k][1]))} AS review_id FROM g WHERE {c}" for k, c in _TESTS.items()))
 def review_queue(t):
-    return _review_queue(_golden(t))
-
-
-def _review_queue(golden):
-    return publication.review_queue(golden.withColumn("service_id", F.col("service_id").cast("string"))).select(F.col("service_id").cast("long").alias("service_id"), "review_type", "severity", "review_id")
-
-
-@query(f"""WITH {_GOLD}, r AS (SELECT o_orderkey AS service_id, o_orderkey % 5 = 0 AS ok FROM orders WHERE o_orderkey % 5 < 2),
-p AS (SELECT g.service_id, nature_service, coalesce(ok, false) AS ok, coalesce(ok, false) OR has_site_a AS a, coalesce(ok, false) OR has_site_z AS z, coalesce(ok, false) OR has_network AS net, has_optical AS opt,
-  CASE WHEN ok THEN 'agent' WHEN has_final_party THEN 'gold' WHEN g.service_id % 3 = 0 THEN 'bss' ELSE 'missing' END AS final_party_source FROM g LEFT JOIN r USING (service_id)),
-f AS (SELECT *, array_to_string(list_filter([CASE WHEN final_party_source = 'missing' THEN 'missing_final_party' END, CASE WHEN NOT a THEN 'missing_site_a' END, CASE WHEN NOT z AND nature_service <> 'Hebergement' THEN 'missing_site_z' END,
-  CASE WHEN NOT net AND nature_service = 'Lan To Lan' THEN 'missing_network_support' END, CASE WHEN NOT opt AND nature_service IN ('IRU FON', 'Location FON') THEN 'missing_optical_support' END], lambda x: x IS NOT NULL), ',') AS gap_flags FROM p)
-SELECT service_id, final_party_source, gap_flags, CASE WHEN gap_flags <> '' THEN 'needs_review' WHEN ok THEN 'published_validated' ELSE 'published_from_gold' END AS publication_status FROM f""")
+    golden = _golden(t).withColumn("service_id", F.col("service_id").cast("string"))
+    return publication.review_queue(golden).select(F.col("service_id").cast("long").alias("service_id"), "review_type", "severity", "review_id")
+
+
+@query(f"""WITH {_GOLD}, r AS (SELECT o_orderkey AS service_id, o_orderstatus = 'F' AS ok, CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE 'V1' END AS v FROM orders),
+p AS (SELECT g.service_id, nature_service, ok, CASE WHEN ok THEN 'P1' ELSE final_party_id END AS final_party, CASE WHEN ok THEN 'agent' WHEN final_party_id IS NOT NULL THEN 'gold' ELSE 'missing' END AS final_party_source,
+  CASE WHEN ok THEN 'S1' ELSE site_a_id END AS site_a, CASE WHEN ok THEN 'S2' ELSE site_z_id END AS site_z, optical_id AS optical, CASE WHEN ok AND v IS NOT NULL THEN v ELSE network_id END AS network FROM g JOIN r USING (service_id)),
+f AS (SELECT *, list_filter([CASE WHEN ok AND network IS NULL THEN 'agent_hint_unmapped' END, CASE WHEN final_party IS NULL THEN 'missing_final_party' END, CASE WHEN network IS NULL THEN 'missing_network_support' END,
+  CASE WHEN optical IS NULL THEN 'missing_optical_support' END, CASE WHEN site_a IS NULL THEN 'missing_site_a' END, CASE WHEN site_z IS NULL THEN 'missing_site_z' END], lambda x: x IS NOT NULL) AS gaps FROM p)
+SELECT service_id, final_party_source, final_party AS published_final_party, site_a AS published_site_a, site_z AS published_site_z, optical AS published_optical, network AS published_network, array_to_string(gaps, ',') AS gap_flags,
+  CASE WHEN final_party IS NULL OR site_a IS NULL OR (site_z IS NULL AND nature_service <> 'Hebergement') OR (network IS NULL AND nature_service = 'Lan To Lan') OR (optical IS NULL AND nature_service = 'IRU FON') THEN 'needs_review'
+    WHEN ok THEN 'published_validated' ELSE 'published_from_gold' END AS publication_status FROM f""")
 def published_services(t):
-    return _published_services(_golden(t), t("orders").where("o_orderkey % 5 < 2"), "if(o_orderkey % 5 = 0, 'validated', 'rejected')")
-
-
-def _published_services(golden, orders, status):
-    log = orders.select(
-        F.col("o_orderkey").alias("service_id"), F.expr(status).alias("status"), F.lit("P1").alias("final_party"), F.lit("S1").alias("site_a"),
-        F.lit("S2").alias("site_z"), F.lit(" ").alias("optical"), F.lit("V1").alias("network"),
+    log = t("orders").select(
+        F.col("o_orderkey").alias("service_id"), F.expr("if(o_orderstatus = 'F', 'validated', 'rejected')").alias("status"), F.lit("P1").alias("final_party"), F.lit("S1").alias("site_a"),
+        F.lit("S2").alias("site_z"), F.lit(" ").alias("optical"), F.expr("if(o_orderpriority = '1-URGENT', null, 'V1')").alias("network"), F.lit("some-device").alias("network_hint"),
     )
-    out = publication.publish(golden, log)
-    return out.select("service_id", "final_party_source", F.array_join("gap_flags", ",").alias("gap_flags"), "publication_status")
+    out = publication.publish(_heads(t), _golden(t), log)
+    return out.select("service_id", "final_party_source", *(f"published_{c}" for c in ("final_party", "site_a", "site_z", "optical", "network")), F.array_join("gap_flags", ",").alias("gap_flags"), "publication_status")
 
 
 @query("""WITH l AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events),
@@ -485,10 +478,12 @@ def maintenance_matches(t):
     return services.maintenance_matches(members)
 
 
-@query("SELECT side, count(*) AS n FROM ((SELECT 'old' AS side, * FROM (SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0 EXCEPT ALL SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0)) UNION ALL (SELECT 'new', * FROM (SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0 EXCEPT ALL SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0))) GROUP BY 1")
+@query("""WITH old AS (SELECT o_custkey, o_orderstatus FROM orders), new AS (SELECT o_custkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'F' ELSE o_orderstatus END AS o_orderstatus FROM orders)
+SELECT side, count(*) AS n FROM ((SELECT 'old' AS side, * FROM (FROM old EXCEPT ALL FROM new)) UNION ALL (SELECT 'new', * FROM (FROM new EXCEPT ALL FROM old))) GROUP BY 1""")
 def build_difference(t):
-    rows = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return tables.mix(tables.difference(rows.where("o_orderkey % 2 = 0").drop("o_orderkey"), rows.where("o_orderkey % 3 = 0").drop("o_orderkey")), ["side"])
+    rows = t("orders").select("o_custkey", "o_orderstatus", "o_orderpriority")
+    new = rows.withColumn("o_orderstatus", F.expr("if(o_orderpriority = '1-URGENT', 'F', o_orderstatus)"))
+    return tables.mix(tables.difference(rows.drop("o_orderpriority"), new.drop("o_orderpriority")), ["side"])
 
 
 _REF_SERVICES = "SELECT o_orderkey AS service_id, ['S' || o_custkey % 40, 'S' || o_orderkey % 30] AS refs FROM orders"
@@ -496,15 +491,11 @@ _REF_SERVICES = "SELECT o_orderkey AS service_id, ['S' || o_custkey % 40, 'S' ||
 
 @query(f"""WITH s AS (SELECT DISTINCT service_id, unnest(refs) AS ref FROM ({_REF_SERVICES}))
 SELECT DISTINCT service_id, 'route' AS kind, 'R' || s_suppkey AS target, 'route_ref_exact' AS rule_name, 100 AS score FROM s JOIN supplier ON ref = 'S' || s_suppkey
-UNION ALL SELECT DISTINCT service_id, 'housing', 'H' || p_partkey, 'housing_route_ref_exact', 82 FROM s JOIN part ON ref = 'S' || p_size WHERE p_partkey < 100""")
+UNION ALL SELECT DISTINCT service_id, 'housing', 'H' || p_partkey, 'housing_route_ref_exact', 82 FROM s JOIN part ON ref = 'S' || p_size""")
 def reference_supports(t):
-    return _reference_supports(t, t("part").where("p_partkey < 100"))
-
-
-def _reference_supports(t, parts):
     heads = t("orders").select(F.col("o_orderkey").alias("service_id"), F.expr("array(concat('S', o_custkey % 40), concat('S', o_orderkey % 30))").alias("refs"))
     routes = t("supplier").select(F.expr("concat('S', s_suppkey)").alias("ref"), F.expr("concat('R', s_suppkey)").alias("target"))
-    housings = parts.select(F.expr("concat('S', p_size)").alias("ref"), F.expr("concat('H', p_partkey)").alias("target"))
+    housings = t("part").select(F.expr("concat('S', p_size)").alias("ref"), F.expr("concat('H', p_partkey)").alias("target"))
     return candidates.supports_by_reference(heads, "refs", {"route": routes, "housing": housings})
 
 
@@ -536,77 +527,16 @@ def vlan_hypotheses(t):
 
 
 @query("""WITH d AS (SELECT l_orderkey AS service_id, l_suppkey AS route_ref FROM lineitem WHERE l_returnflag = 'R'), c AS (SELECT l_orderkey, l_suppkey FROM lineitem),
-s AS (SELECT l_orderkey AS service_id, l_suppkey AS route_ref, CAST(max(l_quantity) * 2 AS INT) AS coherence FROM lineitem WHERE l_linenumber < 4 GROUP BY 1, 2),
+s AS (SELECT l_orderkey AS service_id, l_suppkey AS route_ref, CAST(max(l_quantity) * 2 AS INT) AS coherence FROM lineitem GROUP BY 1, 2),
 o AS (SELECT service_id, route_ref, min(r) AS r FROM (SELECT *, 0 AS r FROM d UNION ALL SELECT *, 1 FROM c) GROUP BY 1, 2)
 SELECT service_id, route_ref, CAST(row_number() OVER (PARTITION BY service_id ORDER BY r, coalesce(coherence, 0) DESC, route_ref) AS INT) AS place, CASE WHEN r = 0 THEN 'direct' ELSE 'context' END AS evidence, coalesce(coherence, 0) AS coherence,
   CASE WHEN coherence >= 70 THEN 'strong' WHEN coherence >= 35 THEN 'medium' ELSE 'weak' END AS band FROM o LEFT JOIN s USING (service_id, route_ref)""")
 def route_candidates(t):
-    return _route_candidates(t, "l_linenumber < 4")
-
-
-def _route_candidates(t, marked):
-    pairs = t("lineitem").select(F.col("l_orderkey").alias("service_id"), F.col("l_suppkey").alias("route_ref"), "l_returnflag", "l_linenumber", "l_quantity")
-    marks = pairs.where(marked).groupBy("service_id", "route_ref").agg((F.max("l_quantity") * 2).cast("int").alias("coherence"))
+    pairs = t("lineitem").select(F.col("l_orderkey").alias("service_id"), F.col("l_suppkey").alias("route_ref"), "l_returnflag", "l_quantity")
+    marks = pairs.groupBy("service_id", "route_ref").agg((F.max("l_quantity") * 2).cast("int").alias("coherence"))
     return candidates.route_candidates(pairs.where("l_returnflag = 'R'"), pairs, marks)
 
 
-# The queries above whose SQL reads a part of the rows, over all rows. The SQL of those stays as it is.
-def _whole(name: str, *changes: tuple[str, str]) -> str:
-    """The SQL of a query with its subsets taken out."""
-    sql = ORACLE_SQL[name]
-    for old, new in changes:
-        if old not in sql:
-            raise ValueError(f"{name}: {old}")
-        sql = sql.replace(old, new)
-    return sql
-
-
-#: Lines beyond the sixth are further network evidence.
-_GOLD_WHOLE = [("CASE l_linenumber", "CASE least(l_linenumber, 6)"), (" FROM lineitem WHERE l_linenumber <= 6", " FROM lineitem")]
-
-
-def _whole_evidence(t):
-    kind = F.element_at(F.array(*map(F.lit, _KINDS)), F.least(F.col("l_linenumber"), F.lit(len(_KINDS))))
-    return t("lineitem").select(
-        F.col("l_orderkey").alias("service_id"), kind.alias("kind"), F.col("l_partkey").cast("string").alias("target"), (F.col("l_quantity").cast("int") * 2).alias("score")
-    )
-
-
-@query(_whole("reference_supports", (" WHERE p_partkey < 100", "")))
-def reference_supports_whole(t):
-    return _reference_supports(t, t("part"))
-
-
-@query(_whole("sorted_pairs", (" WHERE l_linenumber <= 2", "")))
-def sorted_pairs_whole(t):
-    return _sorted_pairs(t("lineitem"))
-
-
-@query(_whole("gold_services", *_GOLD_WHOLE))
-def gold_services_whole(t):
-    return _gold_services(_golden(t, _whole_evidence))
-
-
-@query(_whole("review_queue", *_GOLD_WHOLE))
-def review_queue_whole(t):
-    return _review_queue(_golden(t, _whole_evidence))
-
-
-@query(_whole("published_services", *_GOLD_WHOLE, ("o_orderkey % 5 = 0 AS ok FROM orders WHERE o_orderkey % 5 < 2", "o_orderstatus = 'F' AS ok FROM orders")))
-def published_services_whole(t):
-    return _published_services(_golden(t, _whole_evidence), t("orders"), "if(o_orderstatus = 'F', 'validated', 'rejected')")
-
-
-@query(_whole("route_candidates", (" WHERE l_linenumber < 4", "")))
-def route_candidates_whole(t):
-    return _route_candidates(t, "true")
-
-
-@query(_whole(
-    "build_difference", ("o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0", "o_custkey, o_orderstatus FROM orders"),
-    ("o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0", "o_custkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'F' ELSE o_orderstatus END AS o_orderstatus FROM orders"),
-))
-def build_difference_whole(t):
-    rows = t("orders").select("o_custkey", "o_orderstatus", "o_orderpriority")
-    new = rows.withColumn("o_orderstatus", F.expr("if(o_orderpriority = '1-URGENT', 'F', o_orderstatus)"))
-    return tables.mix(tables.difference(rows.drop("o_orderpriority"), new.drop("o_orderpriority")), ["side"])
+#: Names under which these queries were registered while others of the plain names read a part of the rows.
+for _name in ("reference_supports", "sorted_pairs", "gold_services", "review_queue", "published_services", "route_candidates", "build_difference"):
+    QUERIES[f"{_name}_whole"], ORACLE_SQL[f"{_name}_whole"] = QUERIES[_name], ORACLE_SQL[_name]
