@@ -26,6 +26,16 @@ def test_norm_text(spark):
     assert [r.x for r in got] == [plain_norm(r) for r in rows]
 
 
+def test_norm_text_of_every_character(spark):
+    points = [chr(c) for c in range(1, 0x20000) if not 0xD800 <= c < 0xE000]
+    rows = ["a" + "b".join(points[i : i + 200]) + "z" for i in range(0, len(points), 200)] + ["nº2 m² ﬁbre Nguyễn № Ĳ ｆｕｌｌ ½ a\u20d0b"]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    got = [r.x for r in df.select(text.norm_text(F.col("t")).alias("x")).collect()]
+    wrong = [(a, b) for a, b in zip(" ".join(got).split(), " ".join(map(plain_norm, rows)).split()) if a != b]
+    assert not wrong, wrong[:20]
+    assert got[-1] == "NO2 M2 FIBRE NGUYEN NO IJ FULL 1 2 AB"
+
+
 def test_labels(spark):
     assert one(spark, "CLIENT-LAN2LAN/OPE1214-L2L240 - Norbert Dentressangle/511", text.clean_label) == "NORBERT DENTRESSANGLE"
     assert one(spark, None, text.clean_label) == ""
@@ -67,6 +77,12 @@ def test_addresses(spark):
     assert one(spark, "ACME", address.client_of_pop) == ""
 
 
+def test_noise_and_cities(spark):
+    assert one(spark, "60300 12345", address.noise_label) is False and one(spark, "60300", address.noise_label) is True
+    parsed = lambda t, known: spark.range(1).select(address.signal_of(address.kind_of(F.lit(t), address.parse_address(F.lit(t)), F.lit(known)))["kind"].alias("x")).first().x
+    assert (parsed("Villeneuve", True), parsed("Villeneuve", False), parsed("60300 12345", False)) == ("city_only", "weak_business_label", "postcode_city")
+
+
 def test_scores(spark):
     row = spark.range(1).select(
         *(scores.distance_score(F.lit(float(m))) for m in (0, 50, 51, 200, 500, 501)), scores.cable_place_score(F.lit(2), F.lit(24), F.lit(None).cast("int")),

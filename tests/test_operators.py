@@ -3,10 +3,12 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from skein.operators import matching, ranking, spatial, tables
 from skein.plans import resolutions, services, sql_guard
+from skein import sinks
 from skein.sources import files
 
 
@@ -45,9 +47,27 @@ def test_numbered_and_batches(spark):
     assert sorted((r.batch, r["count"]) for r in got) == [(0, 300), (1, 300), (2, 300), (3, 100)]
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_numbered_wide_rows(spark, adaptive):
+    # More bytes beside the key than adaptive execution leaves in one partition.
+    was = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    try:
+        for k, v in zip(was, (adaptive, "32", "1m")):
+            spark.conf.set(k, v)
+        df = spark.range(0, 30000, numPartitions=6).select((F.col("id") * 7919 % 30000).alias("k"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 8).alias("wide"))
+        got = ranking.numbered(df, ["k"], "n").agg(F.count("*").alias("c"), F.count_if(F.col("n") == F.col("k") + 1).alias("right"), F.count_distinct("wide").alias("w")).first()
+        assert (got.c, got.right, got.w) == (30000, 30000, 30000)
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
 def test_tables(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "x int, y string")
-    assert {r.column_name: (r.n_rows, r.n_nulls, r.n_distinct) for r in tables.profile(df).collect()} == {"x": (3, 0, 2), "y": (3, 1, 1)}
+    assert {r.column_name: (r.n_rows, r.n_nulls, r.n_distinct, r.low, r.high, r.samples) for r in tables.profile(df).collect()} == {"x": (3, 0, 2, "1", "2", ["1", "2"]), "y": (3, 1, 1, "a", "a", ["a"])}
+    assert [(r.n_rows, r.samples) for r in tables.profile(df.limit(0)).collect()] == [(0, []), (0, [])]
+    pairs = [("a|1:b", "c"), ("a", "1:b|1:c"), ("~", None), (None, "~")]
+    assert len({tables.digest(spark.createDataFrame([p], "x string, y string"), "t").first().digest for p in pairs}) == 4
     assert tables.digest(df, "t").first() == tables.digest(df.orderBy(F.desc("x")), "t").first()
     assert sorted((r.x, r.side) for r in tables.difference(df, df.where("x = 2").union(spark.createDataFrame([(9, "z")], df.schema))).collect()) == [(1, "old"), (1, "old"), (9, "new")]
     assert tables.kpis(df.limit(0), {"n": F.col("x") > 1}).first().n == 0
@@ -93,8 +113,34 @@ def test_sql_guard(spark):
     assert sql_guard.query(spark, "select * from guarded").count() == 3
 
 
+def test_fallback_with_nulls(spark):
+    left = spark.createDataFrame([(1, None, "b"), (2, None, None), (2, None, None), (3, "a", "b"), (4, "x", "y")], "id int, k1 string, k2 string")
+    right = spark.createDataFrame([("a", 10), ("b", 20), (None, 30)], "key string, v int")
+    got = matching.fallback_join(left, ["k1", "k2"], right, "key", "v").collect()
+    assert sorted((r.id, r.v, r.matched_by) for r in got if r.v) == [(1, 20, "k2"), (3, 10, "k1")] and {r.id for r in got if r.v is None} == {2, 4}
+
+
+def test_sinks(spark, tmp_path):
+    df = spark.createDataFrame([(2, "b", None), (1, "a", 5)], "z int, a string, m int")
+    sinks.write_table(df, f"{tmp_path}/t", ["a", "z"])
+    sinks.write_table(df, f"{tmp_path}/t", ["a", "z"])
+    assert spark.read.parquet(f"{tmp_path}/t").columns == ["a", "z"] and spark.read.parquet(f"{tmp_path}/t").count() == 2
+    sinks.write_suggestions(df, f"{tmp_path}/s")
+    assert sorted(r.value for r in spark.read.text(f"{tmp_path}/s").collect()) == ['{"a":"a","m":5,"z":1}', '{"a":"b","m":null,"z":2}']
+    sinks.write_export(df, f"{tmp_path}/e", ["z"])
+    assert [r.z for r in spark.read.csv(f"{tmp_path}/e", header=True).collect()] == ["1", "2"]
+    text = sinks.report({"T": df}, limit=1)
+    assert "more than 1 rows" in text and "more than" not in sinks.report({"T": df})
+
+
+def test_geometry(spark):
+    line = F.array(*(F.struct(F.lit(float(a)).alias("x"), F.lit(float(b)).alias("y")) for a, b in ((0, 0), (2, 4), (4, 2))))
+    p = spark.range(1).select(spatial.line_points(line).alias("p"), spatial.srid_label(F.lit("RGF93 / Lambert-93")).alias("s")).first()
+    assert (p.p.start.x, p.p.end.x, p.p.centre.x, p.p.centre.y, p.s) == (0.0, 4.0, 2.0, 2.0, "EPSG:2154")
+
+
 def test_addresses_file(spark, tmp_path):
     path = tmp_path / "a.csv"
-    path.write_text("id,numero,nom_voie,code_postal,nom_commune,lon,lat,x,y\nBAN-1,114,Rue de Morienval,60350,Pierrefonds,2.9801,49.3462,700000,6900000\nBAN-1,115,Rue de Morienval,60350,Pierrefonds,,,,\n,1,a,b,c,,,,\n")
+    path.write_text("id,numero,nom_voie,code_postal,nom_commune,lon,lat,x,y\nBAN-1,114,Rue de Morienval,60350,Pierrefonds,2.9801,49.3462,700000,6900000\nBAN-1,1,Rue A,60350,Pierrefonds,,,,\n,1,a,b,c,,,,\n")
     rows = files.addresses(files.read_delimited(spark, str(path))).collect()
     assert [(r.ban_id, r.house_number, r.reuse_count, r.reuse_class, r.x_l93) for r in rows] == [("BAN-1", "114", 1, "precise", 700000.0)]
