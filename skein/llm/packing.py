@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from skein.llm.common import written
-from skein.llm.tokens import encoder
+from skein.llm.tokens import CACHE_PIECES, encoder
 
 CAPACITY = 2048
 END_ID = 0
@@ -79,7 +79,7 @@ def segments(planned: list[tuple[int, list[int]]]) -> dict[int, list[tuple[int,
     return runs
 
 
-def pieces(docs: DataFrame, path: str, kind: str = "word", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, path: str, kind: str = "word", capacity: int = CAPACITY, end_id: int = END_ID, kept_pieces: int = CACHE_PIECES) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, and task and rank, which count
     the pieces of each length in each task. A null doc_id goes through pandas as 0 beside a flag, as
     pandas would turn whole numbers beside a null into floats."""
@@ -88,7 +88,7 @@ def pieces(docs: DataFrame, path: str, kind: str = "word", capacity: int = CAPAC
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        task, seen, enc = TaskContext.get().partitionId(), {}, encoder(path, kind)
+        task, seen, enc = TaskContext.get().partitionId(), {}, encoder(path, kind, kept_pieces)
         for b in batches:
             rows = []
             for doc_id, text, known in zip(b["doc_id"].tolist(), b["text"], b["known"].tolist()):
@@ -107,14 +107,15 @@ def pieces(docs: DataFrame, path: str, kind: str = "word", capacity: int = CAPAC
     return cuts.withColumn("doc_id", F.when(F.col("known"), F.col("doc_id"))).drop("known")
 
 
-def pack(docs: DataFrame, path: str, kind: str = "word", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, path: str, kind: str = "word", capacity: int = CAPACITY, end_id: int = END_ID, kept_pieces: int = CACHE_PIECES) -> DataFrame:
     """One row per piece with sequence_id and offset, sequences filled to capacity as far as possible.
 
     Defined results: a null or empty text is its end id alone; a longer text than a sequence is cut,
     whole sequences first; repeated rows are pieces of their own; a null doc_id stays null; an empty
-    table gives no rows; columns beyond doc_id and text are ignored.
+    table gives no rows; columns beyond doc_id and text are ignored. kept_pieces bounds what a worker
+    remembers of words met before, and changes no result.
     """
-    cut = written(pieces(docs, path, kind, capacity, end_id), "packing-pieces")
+    cut = written(pieces(docs, path, kind, capacity, end_id, kept_pieces), "packing-pieces")
     per_task = cut.groupBy("length", "task").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
     offsets = per_task.select("length", "task", F.coalesce(before, F.lit(0)).alias("base"))

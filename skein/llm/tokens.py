@@ -17,7 +17,7 @@ import re
 import string
 from array import array
 
-#: Pieces kept by one Python worker; at the bound it starts afresh.
+#: Pieces kept by one Python worker, some 300 bytes each; at the bound it starts afresh.
 CACHE_PIECES = 600_000
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -45,10 +45,11 @@ class Encoder:
     """Ids as little-endian unsigned 32-bit integers. kind: `byte` for the byte-level vocabulary,
     `word` for the one that drops white space."""
 
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, most: int = CACHE_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        self.most = most
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.words = kind == "word"
@@ -84,7 +85,7 @@ class Encoder:
         return got
 
     def _learn(self, new: set[str]) -> None:
-        if len(self.cache) > CACHE_PIECES:
+        if len(self.cache) > self.most:
             self.cache.clear()
             self.parts.clear()
         odd = []
@@ -112,7 +113,7 @@ class Encoder:
         if None not in found:
             return b"".join(found)
         missing = {p for p, x in zip(pieces, found) if x is None}
-        known = {p: x for p, x in zip(pieces, found) if x is not None} if len(self.cache) > CACHE_PIECES else {}
+        known = {p: x for p, x in zip(pieces, found) if x is not None} if len(self.cache) > self.most else {}
         self._learn(missing)
         return b"".join(map((self.cache | known if known else self.cache).__getitem__, pieces))
 
@@ -120,8 +121,9 @@ class Encoder:
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
-def encoder(path: str, kind: str) -> Encoder:
-    """One encoder for each vocabulary and Python worker."""
+def encoder(path: str, kind: str, most: int = CACHE_PIECES) -> Encoder:
+    """One encoder for each vocabulary and Python worker, which keeps so many pieces."""
     if (path, kind) not in _ENCODERS:
         _ENCODERS[path, kind] = Encoder(path, kind)
+    _ENCODERS[path, kind].most = most
     return _ENCODERS[path, kind]
