@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skein.llm import decontamination, embedding_dedup, language_id, packing, sharding, simhash, token_counts, token_files, toxicity, url_filter
+from skein.llm import conversation_repair, decontamination, embedding_dedup, language_id, packing, sharding, simhash, token_counts, token_files, toxicity, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_embedding_dedup": embedding_dedup.op8_embedding_dedup,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_sharding": sharding.op10_sharding,
+    "op11_conversation_repair": conversation_repair.op11_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
