@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skein.llm import conversation_repair, decontamination, embedding_dedup, language_id, packing, sharding, simhash, token_counts, token_files, toxicity, url_filter
+from skein.llm import conversation_repair, decontamination, embedding_dedup, language_id, packing, sharding, simhash, source_divergence, token_counts, token_files, toxicity, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_sharding": sharding.op10_sharding,
     "op11_conversation_repair": conversation_repair.op11_conversation_repair,
+    "op12_source_divergence": source_divergence.op12_source_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_token_counts": token_counts.OP1_SQL,
     "op6_decontamination": decontamination.OP6_SQL,
     "op7_url_filter": url_filter.OP7_SQL,
+    "op12_source_divergence": source_divergence.OP12_SQL,
 }
