@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skein.llm import conversation_repair, decontamination, embedding_dedup, language_id, packing, sharding, simhash, source_divergence, token_counts, token_files, toxicity, url_filter
+from skein.llm import conversation_repair, decontamination, embedding_dedup, language_id, packing, sharding, simhash, source_divergence, source_mix, token_counts, token_files, toxicity, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_sharding": sharding.op10_sharding,
     "op11_conversation_repair": conversation_repair.op11_conversation_repair,
     "op12_source_divergence": source_divergence.op12_source_divergence,
+    "op13_source_mix": source_mix.op13_source_mix,
 }
 
 ORACLE_SQL: dict[str, str] = {
