@@ -28,6 +28,9 @@ SHARDS, SEED = 16, 13
 BLOCKS, BLOCK_DOCS = 1 << 13, 64
 #: So many documents are left to one subset sum, and so many sums are told apart.
 LEAF_DOCS, SUMS = 1024, 1 << 20
+#: Rows of a list with one row per source, which the driver holds, up to which it goes to every task;
+#: beyond, Spark joins by shuffle.
+FEW_SOURCES = 100_000
 #: Bits of a document's key, the top ones from the document and the last from its row.
 BITS, ROW_BITS = 63, 24
 
@@ -78,6 +81,11 @@ def plan_sources(rows: DataFrame, weights=WEIGHTS, share=SHARE) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["src", "source", "source_size", "target", "full", "rest", "bits"], dtype=object)
 
 
+def _listed(spark, rows: list[tuple], fields: str) -> DataFrame:
+    out = spark.createDataFrame(rows, fields)
+    return F.broadcast(out) if len(rows) <= FEW_SOURCES else out
+
+
 _SOURCES = "src int, source string, source_size long, target double, full int, rest long, bits int"
 
 
@@ -115,7 +123,7 @@ def edges_of(documents: DataFrame, blocks: DataFrame, leaf: int = LEAF_DOCS) ->
         todo = [(*x, min(12, BITS - x[3], _bits(x[4], leaf / 2))) for x in todo if x not in small]
         if not todo:
             break
-        cuts = spark.createDataFrame(todo, "src int, edge long, at long, cut int, n long, wanted long, more int")
+        cuts = _listed(spark, todo, "src int, edge long, at long, cut int, n long, wanted long, more int")
         inside = documents.select("src", "size", "key").join(cuts, "src").where(F.expr(f"shiftright(key, {BITS} - cut) = at"))
         part = F.expr(f"shiftright(key, {BITS} - cut - more)").alias("part")
         sums = inside.groupBy("src", "edge", "cut", "more", "wanted", part).agg(F.sum("size").alias("words"), F.count("*").alias("docs"))
@@ -187,7 +195,7 @@ def shards_of(blocks: DataFrame, n_sources: int, shards: int = SHARDS) -> DataFr
     ).where("d.drawn").select("src", "block", "d.pass", "d.part")
     counts = {r["src"]: r.n for r in drawn.groupBy("src").agg(F.count("*").alias("n")).collect()}
     ends = np.cumsum(splitting_tree([counts.get(i, 0) for i in range(n_sources)], shards), axis=0)
-    ends = blocks.sparkSession.createDataFrame([(i, [int(x) for x in ends[:, i]]) for i in range(n_sources)], "src int, ends array<long>")
+    ends = _listed(blocks.sparkSession, [(i, [int(x) for x in ends[:, i]]) for i in range(n_sources)], "src int, ends array<long>")
     place = F.row_number().over(Window.partitionBy("src").orderBy(*_order("src", "block", "pass"))) - 1
     placed = drawn.withColumn("place", place).join(ends, "src").withColumn("shard", F.expr("cast(size(filter(ends, e -> e <= place)) as int)"))
     return placed.groupBy("src", "block").agg(F.array_sort(F.collect_list(F.struct("pass", "part", "shard"))).alias("draws"))
@@ -203,12 +211,12 @@ def drawn(docs: DataFrame, shards: int = SHARDS, weights=WEIGHTS, share=SHARE, w
     """
     spark, rows = docs.sparkSession, rows_of(docs, whole)
     plan = plan_sources(rows, weights, share)
-    sources = spark.createDataFrame([tuple(r) for r in plan.itertuples(index=False)], _SOURCES)
+    sources = _listed(spark, [tuple(r) for r in plan.itertuples(index=False)], _SOURCES)
     documents = dealt(rows, sources)
     blocks = blocks_of(documents)
-    edges = spark.createDataFrame(edges_of(documents, blocks, leaf), "src int, edge long, low long, high long, wanted long")
+    edges = _listed(spark, edges_of(documents, blocks, leaf), "src int, edge long, low long, high long, wanted long")
     chosen = picks(documents, edges).withColumn("picked", F.lit(True))
-    out = documents.join(shards_of(blocks, len(plan), shards), ["src", "block"], "left").join(edges.select("src", "low"), "src", "left").join(chosen, "row", "left")
+    out = documents.join(shards_of(blocks, len(plan), shards), ["src", "block"], "left").join(edges.drop("edge", "high", "wanted"), "src", "left").join(chosen, "row", "left")
     mine = F.coalesce(F.col("picked"), F.lit(False)) | F.coalesce(F.col("key") < F.col("low"), F.lit(False))
     taken = F.filter("draws", lambda d: ~d["part"] | F.col("mine"))
     out = out.withColumn("mine", mine).withColumn("draws", F.coalesce(F.transform(taken, lambda d: F.struct(d["pass"].alias("pass"), d["shard"].alias("shard"))), F.array()))
