@@ -37,6 +37,11 @@ def fallback_join(left: DataFrame, keys: list[str], right: DataFrame, key: str,
     return best.select(*(F.col(f"__row.{c}").alias(c) for c in left.columns), F.col("f.__value").alias(value), F.col("f.by").alias("matched_by"))
 
 
+def _class_of(tokens) -> Column:
+    """What stands for a sorted set of tokens: two hashes of 64 bits, and how many there are."""
+    return F.struct(F.xxhash64(tokens).alias("a"), F.xxhash64(F.lit("again"), tokens).alias("b"), F.size(tokens).alias("n"))
+
+
 def shared_tokens(left: DataFrame, left_id: str, left_tokens: str, right: DataFrame, right_id: str, right_tokens: str, min_shared: int = 2) -> DataFrame:
     """(left_id, right_id, shared) of pairs that share min_shared tokens or more.
 
@@ -46,11 +51,11 @@ def shared_tokens(left: DataFrame, left_id: str, left_tokens: str, right: DataFr
     """
     def classes(df, tokens):
         t = df.select(F.array_sort(F.array_distinct(tokens)).alias("ts")).where(F.size("ts") >= min_shared).distinct()
-        return t.select(F.xxhash64("ts").alias("c"), F.explode("ts").alias("t"))
+        return t.select(_class_of("ts").alias("c"), F.explode("ts").alias("t"))
 
     a, b = classes(left, left_tokens).withColumnRenamed("c", "ca"), classes(right, right_tokens).withColumnRenamed("c", "cb")
     pairs = a.join(b, "t").groupBy("ca", "cb").agg(F.count("*").alias("shared")).where(F.col("shared") >= min_shared)
-    key = lambda df, i, tokens, n: df.select(F.col(i), F.xxhash64(F.array_sort(F.array_distinct(tokens))).alias(n))
+    key = lambda df, i, tokens, n: df.select(F.col(i), _class_of(F.array_sort(F.array_distinct(tokens))).alias(n))
     return pairs.join(key(left, left_id, left_tokens, "ca"), "ca").join(key(right, right_id, right_tokens, "cb"), "cb").select(left_id, right_id, "shared")
 
 
