@@ -133,6 +133,11 @@ def hash16_lower(*parts: Column) -> Column:
     return F.substring(F.sha1(F.concat_ws("||", *(F.lower(F.trim(F.coalesce(p, F.lit("")))) for p in parts)).cast("binary")), 1, 16)
 
 
+def ascii_upper(text: Column) -> Column:
+    """a-z in upper case; letters with accents stay as they are, as where texts are compared without case."""
+    return F.translate(text, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
 def is_blank(text: Column) -> Column:
     return F.coalesce(F.trim(text), F.lit("")) == ""
 

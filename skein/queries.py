@@ -2,52 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import functions as F
 
 from skein.functions import address, references, scores, text
 from skein.operators import matching, ranking, spatial, tables
 from skein.plans import candidates, netconfig, publication, resolutions, services
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None):
-    """Registers a function of a table reader t(name)."""
-
-    def add(f):
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-# SQL of what many queries share.
-def _norm(c: str) -> str:
-    return f"trim(regexp_replace(upper(replace(strip_accents(coalesce({c}, '')), 'ß', 'ss')), '[^A-Z0-9]+', ' ', 'g'))"
-
-
-def _in(values) -> str:
-    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
-
-
-def _clean(c: str) -> str:
-    bare = _norm(c)
-    for p in (r"\bTOIP\s*\d+\b", r"\b(?:OPE|PE)\s*\d+\b", r"\bL2L\s*\d+\b", r"\b\d{3,5}\b"):
-        bare = f"regexp_replace({bare}, '{p}', ' ', 'g')"
-    return f"array_to_string(list_filter(string_split({bare}, ' '), lambda x: x <> '' AND x NOT IN ({_in(text.BUSINESS_STOPWORDS)})), ' ')"
-
-
-def _tokens(c: str) -> str:
-    return f"list_distinct(list_filter(string_split({c}, ' '), lambda x: length(x) >= 4))"
-
-
-def _hash16(*parts: str) -> str:
-    return f"substr(sha1({' || chr(124) || chr(124) || '.join(_norm(p) for p in parts)}), 1, 16)"
+from skein.registry import ORACLE_SQL, QUERIES, among as _in, clean as _clean, hash16 as _hash16, norm as _norm, query, tokens as _tokens
 
 
 @query(f"SELECT doc_id, md5({_norm('text')}) AS digest, length({_norm('text')}) AS n FROM documents")
@@ -536,7 +496,5 @@ def route_candidates(t):
     marks = pairs.groupBy("service_id", "route_ref").agg((F.max("l_quantity") * 2).cast("int").alias("coherence"))
     return candidates.route_candidates(pairs.where("l_returnflag = 'R'"), pairs, marks)
 
-
-#: Names under which these queries were registered while others of the plain names read a part of the rows.
-for _name in ("reference_supports", "sorted_pairs", "gold_services", "review_queue", "published_services", "route_candidates", "build_difference"):
-    QUERIES[f"{_name}_whole"], ORACLE_SQL[f"{_name}_whole"] = QUERIES[_name], ORACLE_SQL[_name]
+# Registered by their import.
+from skein import hunt_queries  # noqa: E402, F401

@@ -24,7 +24,7 @@ def test_reference_supports_has_all_parts(spark):
         by_ref[f"S{s}"].add(("route", f"R{s}", "route_ref_exact", 100))
     for p, size in table("part", "p_partkey", "p_size"):
         by_ref[f"S{size}"].add(("housing", f"H{p}", "housing_route_ref_exact", 82))
-    assert rows(spark, "reference_supports_whole") == sorted({(o, *x) for o, rs in refs.items() for r in rs for x in by_ref[r]})
+    assert rows(spark, "reference_supports") == sorted({(o, *x) for o, rs in refs.items() for r in rs for x in by_ref[r]})
 
 
 def test_sorted_pairs_of_all_lines(spark):
@@ -34,7 +34,7 @@ def test_sorted_pairs_of_all_lines(spark):
         parts[p].add(s)
     ends = lambda xs: (min(xs), max(xs)) if len(xs) > 1 else None
     want = sorted((o, p) for o, a in orders.items() for p, b in parts.items() if ends(a) and ends(a) == ends(b))
-    assert rows(spark, "sorted_pairs_whole") == want
+    assert rows(spark, "sorted_pairs") == want
 
 
 def test_gold_counts_all_lines(spark):
@@ -43,12 +43,12 @@ def test_gold_counts_all_lines(spark):
         lines[o] += 1
         if n >= 6:
             best[o] = max(best[o], int(q) * 2)
-    got = queries.QUERIES["gold_services_whole"](spark, SF).collect()
+    got = queries.QUERIES["gold_services"](spark, SF).collect()
     assert {r.service_id: (r.evidence_count, r.network_score) for r in got} == {o: (lines[o], best[o]) for o, *_ in table("orders", "o_orderkey")}
 
 
 def test_validated_services_of_all_orders(spark):
-    got = queries.QUERIES["published_services_whole"](spark, SF).where("final_party_source = 'agent'").collect()
+    got = queries.QUERIES["published_services"](spark, SF).where("final_party_source = 'agent'").collect()
     assert {r.service_id for r in got} == {o for o, s in table("orders", "o_orderkey", "o_orderstatus") if s == "F"}
 
 
@@ -56,11 +56,11 @@ def test_route_candidates_score_all_lines(spark):
     best = defaultdict(int)
     for o, s, q in table("lineitem", "l_orderkey", "l_suppkey", "l_quantity"):
         best[o, s] = max(best[o, s], int(q * 2))
-    got = queries.QUERIES["route_candidates_whole"](spark, SF).collect()
+    got = queries.QUERIES["route_candidates"](spark, SF).collect()
     assert {(r.service_id, r.route_ref): r.coherence for r in got} == best
 
 
 def test_builds_of_all_orders(spark):
     orders = table("orders", "o_custkey", "o_orderstatus", "o_orderpriority")
     old, new = Counter((c, s) for c, s, _ in orders), Counter((c, "F" if p == "1-URGENT" else s) for c, s, p in orders)
-    assert dict(rows(spark, "build_difference_whole")) == {"old": (old - new).total(), "new": (new - old).total()}
+    assert dict(rows(spark, "build_difference")) == {"old": (old - new).total(), "new": (new - old).total()}
