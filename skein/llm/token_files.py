@@ -237,6 +237,10 @@ class _Shard:
         return {"name": self.name, "docs": len(keys), "ids": self.n, "nulls": self.nulls, "low": int(real[0]) if real.size else None, "high": int(real[-1]) if real.size else None}
 
 
+#: Pieces that a writing worker remembers; it writes for long, beside an executor's other workers.
+KEPT_PIECES = 300_000
+
+
 def write(docs: DataFrame, folder: str, path: str, kind: str = "byte", end_id: int = END_ID, width: int = 2, partitions: int | None = None) -> list[dict]:
     """Writes docs in ascending doc_id order as shards and `manifest.json`; returns the manifest: one
     entry per shard, in order, with start, the ids of all documents before it.
@@ -253,7 +257,7 @@ def write(docs: DataFrame, folder: str, path: str, kind: str = "byte", end_id: i
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        c, enc, shard, made = TaskContext.get(), encoder(path, kind), None, 0
+        c, enc, shard, made = TaskContext.get(), encoder(path, kind, KEPT_PIECES), None, 0
         for b in batches:
             for key, text in zip(b["doc_id"].tolist(), b["text"]):
                 if shard is None:
