@@ -21,7 +21,7 @@ CORPUS = {
         "cable_id": f"CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'C' || {_S('l_suppkey')} END", "housing_id": f"CASE WHEN l_returnflag = 'N' THEN 'H' || {_S('l_partkey % 90')} END",
     }),
     "network": ("lineitem", {
-        "service_id": "l_orderkey", "score": "CAST(l_tax * 1000 AS INT)", "interface_id": f"CASE WHEN l_linenumber = 1 THEN 'IF' || {_S('l_suppkey')} END", "network_interface_id": f"CASE WHEN l_linenumber IN (2, 3) THEN 'NI' || {_S('l_partkey')} END",
+        "service_id": "l_orderkey", "score": "CAST(round(l_tax * 1000) AS INT)", "interface_id": f"CASE WHEN l_linenumber = 1 THEN 'IF' || {_S('l_suppkey')} END", "network_interface_id": f"CASE WHEN l_linenumber IN (2, 3) THEN 'NI' || {_S('l_partkey')} END",
         "network_vlan_id": f"CASE WHEN l_linenumber = 4 THEN 'V' || {_S('l_partkey')} END", "cpe_id": f"CASE WHEN l_linenumber = 5 THEN 'CPE' || {_S('l_suppkey')} END", "config_id": "CAST(NULL AS STRING)",
     }),
     "resolved": ("orders", {
