@@ -497,4 +497,4 @@ def route_candidates(t):
     return candidates.route_candidates(pairs.where("l_returnflag = 'R'"), pairs, marks)
 
 # Registered by their import.
-from skein import bundle_queries, final_queries, hunt_queries  # noqa: E402, F401
+from skein import bundle_queries, final_queries, hunt_queries, plant_queries  # noqa: E402, F401
