@@ -7,7 +7,7 @@ from math import cos, e, log, pi, radians, sin, sqrt, tan
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skein.functions.scores import distance, distance_score, reuse_class, reuse_score
-from skein.operators.ranking import best_per_key
+from skein.operators.ranking import best_per_key, stored
 
 # The Lambert-93 conic on GRS80.
 _A, _F_INV = 6378137.0, 298.257222101
@@ -67,6 +67,38 @@ def best_nearby(left: DataFrame, right: DataFrame, radius: float = 500.0) -> Dat
     return best_per_key(scored.drop("cap"), ["a"], [F.desc("score"), F.col("meters"), F.col("b")])
 
 
+def nearest(left: DataFrame, right: DataFrame, radius: float, k: int, cells: int = 3) -> DataFrame:
+    """(a, b, meters) of the k nearest right objects (b, with a row x, y for each of their points) within
+    radius of each left point (a, x, y); ties: the least b.
+
+    Cells are radius / cells wide. Left points first meet their own cell, then one ring of cells after
+    another, until k objects are nearer than what the rings so far cover for sure, or the radius is
+    covered: where objects are dense most points never look beyond a ring or two.
+    """
+    width = radius / cells
+    cell = lambda c: F.floor(F.col(c) / width)
+    known = lambda df: df.where("x is not null and y is not null")
+    points = stored(known(right).select("b", F.col("x").alias("rx"), F.col("y").alias("ry"), cell("x").alias("cx"), cell("y").alias("cy")).distinct())
+    open_ = known(left).select("a", F.col("x").alias("lx"), F.col("y").alias("ly"), cell("x").alias("cx"), cell("y").alias("cy"))
+    found = None
+    # A point at the edge of its cell is sure of a distance only when the ring beyond it is in.
+    for ring in range(cells + 1):
+        offsets = [(i, j) for i in range(-ring, ring + 1) for j in range(-ring, ring + 1) if max(abs(i), abs(j)) == ring]
+        at = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in offsets)))
+        around = open_.withColumn("o", at).select("a", "lx", "ly", (F.col("cx") + F.col("o.i")).alias("cx"), (F.col("cy") + F.col("o.j")).alias("cy"))
+        meters = distance(F.col("lx"), F.col("ly"), F.col("rx"), F.col("ry"))
+        met = around.join(points, ["cx", "cy"]).select("a", "b", meters.alias("meters")).where(F.col("meters") <= radius).groupBy("a", "b").agg(F.min("meters").alias("meters"))
+        both = met if found is None else found.unionByName(met).groupBy("a", "b").agg(F.min("meters").alias("meters"))
+        found = stored(best_per_key(both, ["a"], [F.col("meters"), F.col("b")], k))
+        done = found.groupBy("a").agg(F.count("*").alias("n"), F.max("meters").alias("far")).where((F.col("n") >= k) & (F.col("far") <= ring * width)).select("a")
+        open_ = open_.join(done, "a", "left_anti")
+        if ring < cells:
+            open_ = stored(open_)
+            if open_.isEmpty():
+                break
+    return found
+
+
 def radius_search(objects: DataFrame, points: list[tuple[str, str]], x: float, y: float, radius: float = 300.0, limit: int = 20) -> DataFrame:
     """Objects any of whose points lies within radius of (x, y), nearest first: id, meters. Boxes are
     compared first, which the scan can push down."""

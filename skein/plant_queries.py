@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skein.functions import references
 from skein.functions.text import BUSINESS_STOPWORDS
-from skein.plans import plant
+from skein.plans import candidates, plant
 from skein.registry import among, norm, query
 
 _S = "CAST({} AS STRING)".format
@@ -105,3 +105,24 @@ x AS (SELECT DISTINCT cable_id, f, unnest(list_filter(string_split(n, ' '), lamb
 SELECT cable_id, token, CASE WHEN f <= 24 THEN 90 ELSE 75 END AS base_score FROM x""")
 def cable_site_hints(t):
     return plant.cable_hints(frame(t, "cables")).select("cable_id", "token", "base_score")
+
+
+# Sites and cables at the points of vectors; a third of the sites have housings with connections.
+_AT = "CAST(embedding[{i}] AS DOUBLE) * 3000"
+_GEO = """sites AS (SELECT vec_id AS site_id, {0} AS x, {1} AS y FROM embeddings WHERE vec_id % 2 = 0), chain AS (SELECT DISTINCT a.vec_id AS site_id, b.vec_id AS cable_id FROM embeddings a JOIN embeddings b ON a.vec_id % 6 = 0 AND b.vec_id % 2 = 1 AND b.vec_id // 12 = a.vec_id // 12 AND b.label % 3 = 0),
+points AS (SELECT vec_id AS cable_id, unnest([{0}, {2}, {4}]) AS x, unnest([{1}, {3}, {5}]) AS y FROM embeddings WHERE vec_id % 2 = 1)""".format(*(_AT.format(i=i + 1) for i in range(6)))
+
+
+@query(f"""WITH {_GEO}, near AS (SELECT s.site_id, cable_id, min(sqrt((s.x - p.x) * (s.x - p.x) + (s.y - p.y) * (s.y - p.y))) AS m FROM sites s JOIN points p ON abs(s.x - p.x) <= 300 AND abs(s.y - p.y) <= 300 WHERE s.site_id NOT IN (SELECT site_id FROM chain) GROUP BY ALL)
+SELECT site_id, cable_id, 'connection' AS source, NULL AS meters FROM chain UNION ALL
+(SELECT site_id, cable_id, 'nearby', round(m, 1) FROM near WHERE m <= 300 QUALIFY row_number() OVER (PARTITION BY site_id ORDER BY m, cable_id) <= {candidates.NEAR_CABLES})""")
+def passive_cables(t):
+    at = lambda i: F.get("embedding", i).cast("double") * 3000
+    v = t("embeddings")
+    sites = v.where("vec_id % 2 = 0").select(F.col("vec_id").alias("site_id"), at(0).alias("geom_x"), at(1).alias("geom_y"))
+    housings = v.where("vec_id % 6 = 0").select(F.col("vec_id").alias("site_id"), F.col("vec_id").alias("housing_id"), F.expr("vec_id div 12").alias("housing_oid"))
+    ends = {f"geom_{e}_{c}": at(2 * i + j) for i, e in enumerate(("start", "end", "centroid")) for j, c in enumerate("xy")}
+    cables = v.where("vec_id % 2 = 1").withColumns(ends).select(F.col("vec_id").alias("cable_id"), F.col("vec_id").alias("cable_oid"), *ends)
+    linked = v.where("vec_id % 2 = 1 and label % 3 = 0")
+    connections = linked.select(F.expr("vec_id div 12").alias("housing_oid"), F.lit("Fiber_Cable").alias("obj1_type"), F.col("vec_id").alias("obj1_oid"), F.lit("Rack").alias("obj2_type"), F.lit(None).cast("long").alias("obj2_oid"))
+    return candidates.site_cables(sites, housings, connections, cables)
