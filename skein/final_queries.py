@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skein.plans import final_table
+from skein.plans import final_table, reporting
 from skein.registry import among, norm, query
 
 _S = "CAST({} AS STRING)".format
@@ -98,3 +98,58 @@ def final_published(t):
         "service_id", "nature_service", "published_contract_party_name", "final_party_source", "published_final_party_name", "site_a_source", "published_site_a_id", "published_site_a_name", "site_z_source", "published_site_z_name",
         "optical_source", *_O, "network_source", *_N, F.concat_ws(" ", "spatial_best_object_type", "spatial_best_object_id").alias("spatial_best"), F.array_join("gap_flags", ",").alias("gap_flags"), "selected_truth_source", "publication_status", F.array_join("notes", ", ").alias("notes"),
     ).withColumn("spatial_best", F.nullif("spatial_best", F.lit("")))
+
+
+_FINAL = "f0 AS (" + FINAL_SQL + ")"
+_EVIDENCE = "CASE l_returnflag WHEN 'A' THEN 'party' ELSE 'site' END"
+
+
+def _count(section: str, name: str, what: str, table: str) -> str:
+    return f"SELECT '{section}' AS section, '{name}' AS name, CAST({what} AS BIGINT) AS value FROM {table}"
+
+
+def _with(*names: str) -> str:
+    return "(WITH " + ctes(*names) + " FROM " + names[0] + ")"
+
+
+_ANY = lambda fields: " OR ".join(f"{c} IS NOT NULL" for c in fields)
+_OF = "count(DISTINCT service_id) FILTER ({})".format
+REPORT_SQL = f"""WITH {_FINAL} """ + " UNION ALL ".join([
+    _count("Scope", "Active lines loaded", "count(*)", "lineitem"), _count("Scope", "Active services built", "count(*)", "orders"), f"SELECT 'Service mix', nature_service, count(*) FROM {_with('heads')} GROUP BY 2",
+    _count("Coverage", "Services with matched site", "count(DISTINCT o_orderkey) FILTER (o_custkey % 4 > 0)", "orders"),
+    *(_count("Coverage", f"Services with matched {k}", _OF(_ANY(fs)), _with("optical")) for k, fs in reporting.OPTICAL.items()), _count("Coverage", "Services with network support", _OF(_ANY(reporting.NETWORK)), _with("network")),
+    _count("Coverage", "Services with strong evidence", f"count(DISTINCT l_orderkey) FILTER (l_quantity * 2 >= {reporting.STRONG} AND {_EVIDENCE} <> 'party')", "lineitem"),
+    _count("Coverage", "Services auto-validated", "count(*) FILTER (o_totalprice > 400000)", "orders"), _count("Coverage", "Services requiring review", "count(*) FILTER (NOT o_totalprice > 400000)", "orders"),
+    _count("Coverage", "Open review items", "count(*) FILTER (event_type = 'error')", "events"), _count("Referential assets", "Parties", "count(*)", "customer"), _count("Referential assets", "Network devices", "count(*)", "supplier"), _count("Referential assets", "Network VLAN labels", "count(*)", "part"),
+    _count("Final publication", "Published rows", "count(*)", "f0"), _count("Final publication", "Rows with final party", "count(published_final_party_name)", "f0"), _count("Final publication", "Rows with site A", "count(published_site_a_id)", "f0"), _count("Final publication", "Rows with site Z", "count(published_site_z_name)", "f0"),
+    _count("Final publication", "Rows with network support", f"count(*) FILTER ({_ANY(reporting.NETWORK)})", "f0"), _count("Final publication", "Rows with optical support", f"count(*) FILTER ({_ANY(reporting.FINAL_OPTICAL)})", "f0"), _count("Final publication", "Rows with usable spatial evidence", "0", "(SELECT 1)"),
+    "SELECT 'Final publication statuses', publication_status, count(*) FROM f0 GROUP BY 2", "SELECT 'Final truth sources', selected_truth_source, count(*) FROM f0 GROUP BY 2",
+])
+
+
+@query(REPORT_SQL)
+def report_figures(t):
+    final = final_rows(t).withColumnsRenamed({"published_site_a_id": "site_a_id", "published_site_z_id": "site_z_id", "published_final_party_name": "final_party_id"})
+    tables = {
+        "lines": t("lineitem"), "services": frame(t, "heads"), "optical": frame(t, "optical"), "network": frame(t, "network"), "gold": frame(t, "golden"), "final": final,
+        "endpoints": t("orders").select(F.col("o_orderkey").alias("service_id"), F.expr("if(o_custkey % 4 > 0, o_custkey, null)").alias("matched_site_id")),
+        "evidence": t("lineitem").select(F.col("l_orderkey").alias("service_id"), (F.col("l_quantity") * 2).alias("score"), F.expr(_EVIDENCE).alias("evidence_type")),
+        "queue": t("events").select(F.expr("if(event_type = 'error', 'open', 'closed')").alias("current_state")), "parties": t("customer"), "devices": t("supplier"), "vlans": t("part"),
+    }
+    return reporting.figures(tables)
+
+
+_VERSIONS = [2, 5, 9]
+_LOG_COLUMNS = [
+    "user_id AS service_id", "ts AS created_at", "event_id AS resolution_id", "CASE event_type WHEN 'view' THEN 'proposed' WHEN 'click' THEN 'validated' WHEN 'purchase' THEN 'needs_review' ELSE 'rejected' END AS status",
+    "CASE WHEN value > 60 THEN 'high' WHEN value > 20 THEN 'medium' ELSE 'low' END AS confidence", "CASE WHEN value > 30 THEN 'P' ELSE ' ' END AS party_final_id", "CAST(event_id % 10 AS INT) AS version",
+]
+_LOG = "SELECT " + ", ".join(_LOG_COLUMNS)
+
+
+@query(" UNION ALL ".join(f"""SELECT {v} AS version, (SELECT count(*) FROM customer) AS services_targeted, count(service_id) AS services_touched, {', '.join(f"count(*) FILTER (status = '{s}') AS services_{s}" for s in reporting.STATUSES)},
+  {', '.join(f"count(*) FILTER (confidence = '{c}') AS confidence_{c}" for c in reporting.CONFIDENCES)}, (SELECT count(*) FROM customer) - count(*) FILTER (trim(party_final_id) <> '') AS party_final_gaps, count(*) FILTER (trim(party_final_id) <> '') / (SELECT count(*) FROM customer) * 100 AS party_final_coverage
+  FROM (SELECT * FROM ({_LOG} FROM events) WHERE version <= {v} AND service_id IN (SELECT c_custkey FROM customer) QUALIFY row_number() OVER (PARTITION BY service_id ORDER BY created_at DESC, resolution_id DESC) = 1)""" for v in _VERSIONS))
+def benchmark_metrics(t):
+    log = t("events").selectExpr(*_LOG_COLUMNS)
+    return reporting.benchmark(log, t("customer").select(F.col("c_custkey").alias("service_id")), _VERSIONS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def write_table(df: DataFrame, path: str, columns: list[str]) -> None:
@@ -10,7 +10,7 @@ def write_table(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select(*columns).write.mode("overwrite").parquet(path)
 
 
-def write_export(df: DataFrame, path: str, order: list[str]) -> None:
+def write_export(df: DataFrame, path: str, order: list[str | Column]) -> None:
     """Delimited files with headers whose names sort in the order of the rows. Rows are dealt out by
     range, so no task sorts all of them."""
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").csv(path, header=True)
