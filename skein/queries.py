@@ -446,16 +446,16 @@ def build_difference(t):
     return tables.mix(tables.difference(rows.drop("o_orderpriority"), new.drop("o_orderpriority")), ["side"])
 
 
-_REF_SERVICES = "SELECT o_orderkey AS service_id, ['S' || o_custkey % 40, 'S' || o_orderkey % 30] AS refs FROM orders"
+_REF_SERVICES = "SELECT o_orderkey AS service_id, ['S' || o_custkey, 'S' || o_orderkey] AS refs FROM orders"
 
 
 @query(f"""WITH s AS (SELECT DISTINCT service_id, unnest(refs) AS ref FROM ({_REF_SERVICES}))
 SELECT DISTINCT service_id, 'route' AS kind, 'R' || s_suppkey AS target, 'route_ref_exact' AS rule_name, 100 AS score FROM s JOIN supplier ON ref = 'S' || s_suppkey
-UNION ALL SELECT DISTINCT service_id, 'housing', 'H' || p_partkey, 'housing_route_ref_exact', 82 FROM s JOIN part ON ref = 'S' || p_size""")
+UNION ALL SELECT DISTINCT service_id, 'housing', 'H' || p_partkey, 'housing_route_ref_exact', 82 FROM s JOIN part ON ref = 'S' || p_partkey""")
 def reference_supports(t):
-    heads = t("orders").select(F.col("o_orderkey").alias("service_id"), F.expr("array(concat('S', o_custkey % 40), concat('S', o_orderkey % 30))").alias("refs"))
+    heads = t("orders").select(F.col("o_orderkey").alias("service_id"), F.expr("array(concat('S', o_custkey), concat('S', o_orderkey))").alias("refs"))
     routes = t("supplier").select(F.expr("concat('S', s_suppkey)").alias("ref"), F.expr("concat('R', s_suppkey)").alias("target"))
-    housings = t("part").select(F.expr("concat('S', p_size)").alias("ref"), F.expr("concat('H', p_partkey)").alias("target"))
+    housings = t("part").select(F.expr("concat('S', p_partkey)").alias("ref"), F.expr("concat('H', p_partkey)").alias("target"))
     return candidates.supports_by_reference(heads, "refs", {"route": routes, "housing": housings})
 
 
@@ -497,4 +497,4 @@ def route_candidates(t):
     return candidates.route_candidates(pairs.where("l_returnflag = 'R'"), pairs, marks)
 
 # Registered by their import.
-from skein import bundle_queries, final_queries, hunt_queries, plant_queries  # noqa: E402, F401
+from skein import bundle_queries, final_queries, hunt_queries, plant_queries, rule_queries  # noqa: E402, F401
