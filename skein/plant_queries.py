@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skein.functions import references
+from skein.functions import geometry, references
 from skein.functions.text import BUSINESS_STOPWORDS
 from skein.plans import candidates, plant
 from skein.registry import among, norm, query
@@ -126,3 +126,22 @@ def passive_cables(t):
     linked = v.where("vec_id % 2 = 1 and label % 3 = 0")
     connections = linked.select(F.expr("vec_id div 12").alias("housing_oid"), F.lit("Fiber_Cable").alias("obj1_type"), F.col("vec_id").alias("obj1_oid"), F.lit("Rack").alias("obj2_type"), F.lit(None).cast("long").alias("obj2_oid"))
     return candidates.site_cables(sites, housings, connections, cables)
+
+
+# The older projection over the points of vectors.
+_G = geometry
+_OLD = "SELECT vec_id, 600000 + CAST(embedding[{a}] AS DOUBLE) * 400000 AS x, 2200000 + CAST(embedding[{b}] AS DOUBLE) * 400000 AS y FROM embeddings"
+_CLOSER = f"2 * atan(pow((1 + {_G._E!r} * sin({{p}})) / (1 - {_G._E!r} * sin({{p}})), {_G._E / 2!r}) * grown) - pi() / 2"
+_BACK = f"atan2(gz + {_G._A80 * _G._E280!r} * sin({{p}}) / sqrt(1 - {_G._E280!r} * sin({{p}}) * sin({{p}})), flat)"
+_STEPS = ", ".join(f"p{i + 1} AS (SELECT *, {_CLOSER.format(p=f'f{i}')} AS f{i + 1} FROM p{i})" for i in range(_G._ROUNDS))
+_TURNS = ", ".join(f"b{i + 1} AS (SELECT *, {_BACK.format(p=f't{i}')} AS t{i + 1} FROM b{i})" for i in range(_G._ROUNDS))
+
+
+@query(f"""WITH v AS ({_OLD.format(a=1, b=2)}), q AS (SELECT vec_id, atan2(x - {_G._X0}, {_G._R0 + _G._Y0!r} - y) / {_G._N!r} + {_G._PARIS!r} AS lam, pow({_G._C!r} / sqrt(pow(x - {_G._X0}, 2) + pow({_G._R0 + _G._Y0!r} - y, 2)), {1 / _G._N!r}) AS grown FROM v),
+p0 AS (SELECT *, 2 * atan(grown) - pi() / 2 AS f0 FROM q), {_STEPS}, n AS (SELECT vec_id, lam, f{_G._ROUNDS} AS phi, {_G._A!r} / sqrt(1 - {_G._E2!r} * pow(sin(f{_G._ROUNDS}), 2)) AS n FROM p{_G._ROUNDS}),
+g AS (SELECT vec_id, n * cos(phi) * cos(lam) - 168 AS gx, n * cos(phi) * sin(lam) - 60 AS gy, n * {1 - _G._E2!r} * sin(phi) + 320 AS gz FROM n), g1 AS (SELECT *, sqrt(gx * gx + gy * gy) AS flat FROM g),
+b0 AS (SELECT *, atan2(gz, flat * {1 - _G._E280!r}) AS t0 FROM g1), {_TURNS} SELECT vec_id, round(degrees(atan2(gy, gx)), 7) AS lon, round(degrees(t{_G._ROUNDS}), 7) AS lat FROM b{_G._ROUNDS}""")
+def old_projection(t):
+    at = lambda i: F.get("embedding", i).cast("double") * 400000
+    found = t("embeddings").select("vec_id", geometry.from_lambert2(at(0) + 600000, at(1) + 2200000).alias("d"))
+    return found.select("vec_id", F.round("d.lon", 7).alias("lon"), F.round("d.lat", 7).alias("lat"))
