@@ -77,7 +77,7 @@ def endpoints(services: DataFrame, signals: DataFrame, seed_rows: DataFrame, sit
     for e in ENDS:
         one = nearby(seeds_of_end(seed_rows, e), points, [F.col("place")])
         one = best_per_key(one.join(sites.select(F.col("site_id").alias("object"), "ordinal"), "object"), ["service_id"], [F.desc("score"), F.col("meters"), F.col("place"), F.col("ordinal"), F.col("object")])
-        one = one.select("service_id", F.lit(e).alias("endpoint_label"), F.col("object").alias("n_site"), F.col("score").alias("spatial_adjusted_score"), F.col("raw_score").alias("spatial_score"), F.round("meters", 1).alias("spatial_distance"), F.col("reuse_class").alias("seed_precision"), F.col("reuse_count").alias("seed_reuse"))
+        one = one.select("service_id", F.lit(e).alias("endpoint_label"), F.col("object").alias("n_site"), F.col("score").alias("spatial_adjusted_score"), F.col("raw_score").alias("spatial_score"), F.round("meters", 1).alias("spatial_distance"), F.col("signal_kind").alias("seed_type"), F.col("reuse_score").alias("seed_discriminance"), F.col("reuse_class").alias("seed_precision"), F.col("reuse_count").alias("seed_reuse"))
         near = one if near is None else near.unionByName(one)
     met = own.join(s, ["service_id", "endpoint_label"], "left").join(near, ["service_id", "endpoint_label"], "left")
     wins = F.coalesce((F.col("s_score") > F.col("match_score")) | ((F.col("s_score") == F.col("match_score")) & (F.col("signal_score") > 0)), F.lit(False))
@@ -88,7 +88,7 @@ def endpoints(services: DataFrame, signals: DataFrame, seed_rows: DataFrame, sit
         "service_id", "endpoint_label", "raw_value", F.when(moves, F.col("n_site")).otherwise(F.col("site_id")).alias("matched_site_id"),
         F.when(moves, F.greatest("match_score", "spatial_adjusted_score")).otherwise(F.col("match_score")).alias("score"),
         F.when(moves, "site_spatial_proximity").otherwise(F.col("match_rule")).alias("rule_name"), F.col("n_site").alias("spatial_site_id"), "spatial_score", "spatial_adjusted_score", "spatial_distance",
-        "signal_kind", "signal_score", "signal_value", "seed_precision", "seed_reuse",
+        "signal_kind", "signal_score", "signal_value", "seed_precision", "seed_reuse", "seed_type", "seed_discriminance",
     )
 
 
@@ -188,8 +188,8 @@ def place_cables(services: DataFrame, signals: DataFrame, seed_rows: DataFrame,
     theirs = exploded(cables.select("cable_id", "site_tokens"), "site_tokens", "token").select("cable_id", "token")
     met = mine.join(theirs, "token").groupBy("service_id", "cable_id").agg(F.count("*").alias("overlap"))
     near = nearby(seed_rows, _object_points(cables, "cable_id", [("geom_centroid_x", "geom_centroid_y"), ("geom_start_x", "geom_start_y"), ("geom_end_x", "geom_end_y")]), [F.col("pick")])
-    near = near.select("service_id", F.col("object").alias("cable_id"), F.col("score").alias("spatial_adjusted_score"), F.col("raw_score").alias("spatial_score"), F.round("meters", 1).alias("spatial_distance"))
-    out = met.join(cables.select("cable_id", "number_of_fibers"), "cable_id").join(near, ["service_id", "cable_id"], "left")
+    near = near.select("service_id", F.col("object").alias("cable_id"), F.col("score").alias("spatial_adjusted_score"), F.col("raw_score").alias("spatial_score"), F.round("meters", 1).alias("spatial_distance"), F.col("signal_kind").alias("seed_type"), F.col("reuse_score").alias("seed_discriminance"))
+    out = met.join(cables.select("cable_id", "number_of_fibers", *(["reference"] if "reference" in cables.columns else [])), "cable_id").join(near, ["service_id", "cable_id"], "left")
     return out.withColumn("score", cable_place_score(F.col("overlap"), F.col("number_of_fibers"), F.col("spatial_adjusted_score"))).withColumn("rule_name", F.lit("cable_site_token_overlap"))
 
 
@@ -331,13 +331,24 @@ def reconcile(services: DataFrame, signals: DataFrame, seed_rows: DataFrame, t:
         cables.select("service_id", F.lit("cable").alias("kind"), F.col("cable_id").alias("target"), "rule_name", "score", "spatial_score", "spatial_adjusted_score", "spatial_distance"),
         housings.select("service_id", F.lit("housing").alias("kind"), F.col("housing_id").alias("target"), "rule_name", "score", "spatial_score", "spatial_adjusted_score", "spatial_distance"),
     ])
-    spatial = _union([
-        ends.where("spatial_site_id is not null").select("service_id", F.lit("site_spatial").alias("evidence_type"), F.lit("ref_sites").alias("source_table"), F.col("spatial_site_id").alias("target"), F.col("spatial_distance"), "spatial_score", "spatial_adjusted_score", F.lit("site_spatial_proximity").alias("rule_name")),
-        cables.where("spatial_adjusted_score > 0").select("service_id", F.lit("optical_spatial").alias("evidence_type"), F.lit("ref_optical_cable").alias("source_table"), F.col("cable_id").alias("target"), "spatial_distance", "spatial_score", "spatial_adjusted_score", F.lit("address_to_cable_endpoint").alias("rule_name")),
-    ])
+    spatial = spatial_evidence(ends, cables)
     return {"endpoints": ends, "parties": party, "optical": optical, "network": network, "spatial": spatial, "evidence": all_evidence(ends, party, routes, leases, cables, network), "links": links(ends, party, optical, network)}
 
 
+def spatial_evidence(ends: DataFrame, cables: DataFrame) -> DataFrame:
+    """What lies near the seeds of services: service_id, evidence_type, seed_type, source_table, target,
+    spatial_distance, spatial_score, spatial_adjusted_score, rule_name, seed_discriminance and context, a
+    JSON object of what else is known. A cable without a kind of seed has an address for one."""
+    told = lambda **of: F.to_json(F.struct(*(c.alias(n) for n, c in sorted(of.items()))), {"ignoreNullFields": "false"})
+    known = ["spatial_distance", "spatial_score", "spatial_adjusted_score"]
+    row = lambda df, kind, table, target, seed, rule, context: df.select("service_id", F.lit(kind).alias("evidence_type"), seed.alias("seed_type"), F.lit(table).alias("source_table"), F.col(target).cast("string").alias("target"), *known, F.lit(rule).alias("rule_name"), "seed_discriminance", context.alias("context"))
+    near = told(endpoint_label=F.col("endpoint_label"), seed_precision=F.col("seed_precision"), seed_same_xy_count_in_city=F.col("seed_reuse"), seed_discriminance_score=F.col("seed_discriminance"))
+    reference = F.col("reference") if "reference" in cables.columns else F.lit(None).cast("string")
+    sites = row(ends.where("spatial_site_id is not null"), "site_spatial", "ref_sites", "spatial_site_id", F.col("seed_type"), "site_spatial_proximity", near)
+    by_cable = row(cables.where("spatial_adjusted_score > 0"), "optical_spatial", "ref_optical_cable", "cable_id", F.coalesce("seed_type", F.lit("address_seed")), "address_to_cable_endpoint", told(reference=reference))
+    return sites.unionByName(by_cable)
+
+
 def all_evidence(ends: DataFrame, party: DataFrame, routes: DataFrame, leases: DataFrame, cables: DataFrame, network: DataFrame) -> DataFrame:
     sites = evidence(ends.where("matched_site_id is not null"), "site", "ref_sites", "matched_site_id", ["endpoint_label", "raw_value"])
     exact = party.where("rule_name = 'party_exact'").withColumn("rule_name", F.concat(F.col("role_name"), F.lit("_exact")))

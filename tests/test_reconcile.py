@@ -1,5 +1,7 @@
 """From contract lines to published rows on a small corpus, with rules and scores known beforehand."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,7 +87,18 @@ def test_endpoints(corpus):
     assert (z.matched_site_id, z.score, z.rule_name, z.signal_value) == ("S1", 100, "site_exact", "POP Senlis Gare")
     near = got[of["L5"], "Z"]
     assert (near.matched_site_id, near.rule_name, near.score, near.spatial_distance) == ("S1", "site_spatial_proximity", 98, 10.0)
-    assert {got[of["L2"], e].matched_site_id for e in "AZ"} == {"S1", "S2"} or got[of["L2"], "A"].matched_site_id is not None
+    # Of two exact names the one in an end's own column counts for that end.
+    assert [got[of["L2"], e].matched_site_id for e in "AZ"] == ["S2", "S1"]
+
+
+def test_spatial_evidence(corpus):
+    of = corpus["of"]
+    found = {(r.service_id, r.evidence_type, r.target, json.loads(r.context).get("endpoint_label")): r for r in corpus["spatial"].collect()}
+    site = found[of["L5"], "site_spatial", "S1", "Z"]
+    assert (site.source_table, site.seed_type, site.spatial_distance, site.spatial_adjusted_score, site.rule_name, site.seed_discriminance) == ("ref_sites", "postal_address_precise", 10.0, 98, "site_spatial_proximity", 100)
+    assert json.loads(site.context) == {"endpoint_label": "Z", "seed_discriminance_score": 100, "seed_precision": "precise", "seed_same_xy_count_in_city": 1}
+    cable = found[of["L1"], "optical_spatial", "C1", None]
+    assert (cable.source_table, cable.rule_name, json.loads(cable.context)) == ("ref_optical_cable", "address_to_cable_endpoint", {"reference": "CABLE TOIP 181"}) and cable.seed_discriminance == 100
 
 
 def test_optical_supports(corpus):
@@ -95,8 +108,18 @@ def test_optical_supports(corpus):
     assert ("cable", "C1", "cable_site_token_overlap", 96) in got and ("cable", "C2", "cable_site_token_overlap", 80) in got
     other = rows(corpus["optical"].where(F.col("service_id") == of["L3"]), "kind", "target", "rule_name", "score")
     assert ("route", None, "route_ref_exact", 0) in other
-    pair = reconcile.both_ends(corpus["endpoints"]).where(F.col("service_id") == of["L3"]).first()
-    assert (("lease", "LS1", "lease_site_pair_match", 85) in other) == ({pair.site_a, pair.site_z} == {"S1", "S2"})
+    assert ("lease", "LS1", "lease_site_pair_match", 85) in other
+
+
+def test_leases_between_two_sites(spark):
+    """In either order, for services whose routes nothing knows; one site at both ends is a pair as well."""
+    made = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "service_id string")
+    ends = spark.createDataFrame([(s, e, x) for s, a, z in (("a", "S1", "S2"), ("b", "S2", "S1"), ("c", "S1", None), ("d", "S3", "S3")) for e, x in zip("AZ", (a, z))], "service_id string, endpoint_label string, matched_site_id string")
+    leases = spark.createDataFrame([("L1", " toip 5 "), ("L2", None), ("L3", "x")], "lease_id string, ref_exploit string")
+    of = spark.createDataFrame([("L1", "S2", "S1"), ("L2", "S3", "S3"), ("L3", "S1", "S3")], "lease_id string, site_l1 string, site_l2 string")
+    known = spark.createDataFrame([("b", "route", 100), ("a", "route", 0)], "service_id string, kind string, score int")
+    got = reconcile.pair_leases(made, known, ends, leases, of).collect()
+    assert {(r.service_id, r.lease_id, r.route_ref, r.score) for r in got} == {("a", "L1", "TOIP 5", 85), ("d", "L2", "", 85)}
 
 
 def test_network_supports(corpus):
