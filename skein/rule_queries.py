@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skein.functions import references
 from skein.functions.text import BUSINESS_STOPWORDS, norm_text, place_tokens
-from skein.plans import reconcile, resolutions, validation
+from skein.plans import netconfig, reconcile, resolutions, signals, validation
 from skein.registry import among, clean, hash16, norm, query
 
 _S = "CAST({} AS STRING)".format
@@ -279,3 +279,50 @@ def evidence_mix(t):
 @query(f"""WITH {ctes('log')}, {_LATEST} SELECT confidence, status, count(*) AS n FROM l GROUP BY ALL""")
 def resolution_mix(t):
     return resolutions.coverage(frame(t, "log"))
+
+
+# Addresses and configurations.
+
+_ADDRESSES = "SELECT 'B' || CAST(c_custkey AS STRING) AS ban_id, CAST(c_custkey % 7 AS STRING) AS house_number, 'NATION ' || CAST(c_nationkey AS STRING) AS normalized_city, 'RUE ' || c_mktsegment AS normalized_street_name, 'RUE ' || c_mktsegment || ' NATION ' || CAST(c_nationkey AS STRING) AS normalized_label, CAST(c_custkey % 3 AS STRING) AS postcode, c_acctbal AS x_l93, c_acctbal * 2 AS y_l93, CAST(1 AS INT) AS reuse_count, 'precise' AS reuse_class, CAST(100 AS INT) AS reuse_score FROM customer"
+_PARSED = "SELECT CASE o_orderkey % 4 WHEN 3 THEN '' ELSE 'RUE ' || CASE o_orderstatus WHEN 'F' THEN 'MACHINERY' WHEN 'O' THEN 'BUILDING' ELSE 'FURNITURE' END || ' NATION ' || CAST(o_custkey % 30 AS STRING) END AS normalized_value, CASE o_orderkey % 2 WHEN 0 THEN CASE o_orderstatus WHEN 'F' THEN 'rue Machinery' ELSE 'Rue building' END ELSE '' END AS street, 'Nation_' || CAST(o_custkey % 30 AS STRING) AS city, CASE o_orderkey % 3 WHEN 0 THEN CAST(o_custkey % 7 AS STRING) END AS house_number, CASE o_orderkey % 5 WHEN 0 THEN CAST(o_orderkey % 4 AS STRING) END AS postcode FROM orders"
+
+
+@query(f"""WITH h AS ({_ADDRESSES}), w AS (SELECT DISTINCT normalized_value AS v, house_number AS n, {norm('street')} AS s, {norm('city')} AS c, coalesce(postcode, '') AS p FROM ({_PARSED})),
+m AS (SELECT w.*, h.*, 'ban_street_city' AS rule, CASE WHEN n IS NOT NULL AND house_number = n THEN 98 ELSE 90 END AS score FROM w JOIN h ON s <> '' AND c <> '' AND c = normalized_city AND s = normalized_street_name
+  UNION ALL SELECT w.*, h.*, 'ban_full_label_exact', 94 FROM w JOIN h ON NOT (s <> '' AND c <> '') AND v <> '' AND v = normalized_label
+  UNION ALL SELECT w.*, h.*, CASE WHEN p <> '' THEN 'ban_city_postcode_only' ELSE 'ban_city_only' END, CASE WHEN p <> '' THEN 45 ELSE 35 END FROM w JOIN h ON NOT (s <> '' AND c <> '') AND v = '' AND c = normalized_city AND (p = '' OR p = postcode))
+SELECT v AS normalized_value, n AS house_number_hint, s AS street_key, c AS city_key, p AS postcode_key, ban_id, rule AS match_rule, score AS match_score, CASE WHEN score >= 80 THEN x_l93 END AS x FROM m QUALIFY row_number() OVER (PARTITION BY v, n, s, c, p ORDER BY score DESC, house_number, ban_id) = 1""")
+def address_matches(t):
+    found = signals.address_matches(t("orders").selectExpr(*_columns(_PARSED)), t("customer").selectExpr(*_columns(_ADDRESSES)))
+    return found.select("normalized_value", "house_number_hint", "street_key", "city_key", "postcode_key", "ban_id", "match_rule", "match_score", "x")
+
+
+# One file for each language of the pages; the numbers of a page's address stand in its blocks.
+_TITLE = "trim(regexp_extract(html, '<title>([^<]*)</title>', 1))"
+_N = "regexp_extract(url, '/([0-9]+)', 1)"
+
+
+def _config_lines(t):
+    text = F.concat_ws(
+        "\n", F.expr("'interface GigabitEthernet0/0/' || page_id || '.' || (page_id % 900 + 100)"), F.expr(f"'  description Vers TOIP ' || {_N} || ' ' || {_TITLE}"), F.expr("' encapsulation dot1Q ' || (page_id % 900 + 101)"),
+        F.expr(f"' xconnect 10.0.0.1 ' || {_N} || ' encapsulation mpls'"), F.expr("if(page_id % 2 = 0, '!', 'exit')"), F.expr("'vlan ' || (page_id % 4000)"), F.expr(f"' name ' || {_TITLE}"), F.lit("#"),
+    )
+    blocks = t("pages").select(F.expr("split_part(url, '/', 4)").alias("source_file"), "page_id", text.alias("x"))
+    files = blocks.groupBy("source_file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "x"))), lambda b: b["x"]), "\n").alias("payload"))
+    return netconfig.lines(files)
+
+
+@query(f"""SELECT 'GigabitEthernet0/0/' || page_id || '.' || (page_id % 900 + 100) AS interface_name, 'GigabitEthernet0/0/' || page_id AS parent_interface, CAST(page_id % 900 + 101 AS INT) AS vlan_id, {_N} AS xconnect_circuit_id, trim('Vers TOIP ' || {_N} || ' ' || {_TITLE}) AS description, 'TOIP ' || {_N} AS route FROM pages""")
+def config_subinterfaces(t):
+    found = netconfig.subinterfaces(_config_lines(t))
+    return found.select("interface_name", "parent_interface", "vlan_id", "xconnect_circuit_id", "description", F.get("route_refs", 0).alias("route"))
+
+
+@query(f"""SELECT 'GigabitEthernet0/0/' || page_id || '.' || (page_id % 900 + 100) AS interface_name, trim('Vers TOIP ' || {_N} || ' ' || {_TITLE}) AS description, {clean(f"'Vers TOIP ' || {_N} || ' ' || {_TITLE}")} AS normalized_label FROM pages""")
+def config_interfaces(t):
+    return netconfig.interfaces(_config_lines(t)).select("interface_name", "description", "normalized_label")
+
+
+@query(f"""SELECT CAST(page_id % 4000 AS INT) AS vlan_id, {_TITLE} AS label FROM pages""")
+def config_vlans(t):
+    return netconfig.vlans(_config_lines(t)).select("vlan_id", "label")
