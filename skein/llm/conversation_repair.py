@@ -333,11 +333,8 @@ class Repair:
         self.audits = audits(self.pieces)
 
     def _lines(self) -> DataFrame:
-        """Audits, each before the rows of its piece, sorted within conversations; texts only of rows
-        that may stay."""
-        # A row that must go is never read again, so duplicates' texts stay behind.
-        kept = self.marked.where("fault is null or fault = 'truncated'").select("pos", F.lit(True).alias("kept"))
-        rows = self.rows.join(kept, "pos", "left").select("conv_id", F.expr(f"pos div {PIECE}").alias("piece"), "pos", "role", F.when(F.col("kept"), F.col("text")).alias("text"))
+        """Audits, each before the rows of its piece, sorted within conversations."""
+        rows = self.rows.select("conv_id", F.expr(f"pos div {PIECE}").alias("piece"), "pos", "role", "text")
         heads = self.audits.select("conv_id", "piece", F.lit(None).cast("long").alias("pos"), F.lit("").alias("role"), F.col("audit").alias("text"))
         return heads.union(rows).repartition("conv_id").sortWithinPartitions("conv_id", "piece", F.asc_nulls_first("pos"))
 
