@@ -108,8 +108,9 @@ class Rollup:
     def applied(self, batch: str) -> bool:
         if not self.fs.exists(self._path(self._marker(batch))):
             return False
-        version = self._json(self._marker(batch))["version"]
-        return self._has(version) and self._json(f"commits/{version}")["batch"] == batch
+        # One name for each version that an attempt aimed at; a stalled one takes none away.
+        aims = sorted((int(f.getPath().getName()) for f in self.fs.listStatus(self._path(self._marker(batch)))), reverse=True)
+        return any(self._has(v) and self._json(f"commits/{v}")["batch"] == batch for v in aims)
 
     def batches(self) -> list[str]:
         """Ids of the batches that the totals include, in order; reads every commit."""
@@ -135,7 +136,7 @@ class Rollup:
         version, data = last + 1, scratch_path(self.spark, "x").rsplit("-", 1)[1]
         summed = totals(self._read(last).select(*KEYS, *SUMS).union(totals(signed).select(*KEYS, *SUMS)))
         summed.where("n_docs <> 0 or n_tokens <> 0").write.parquet(f"{self.folder}/totals-{version}-{data}")
-        self._put(self._marker(batch), {"version": version})
+        self._put(f"{self._marker(batch)}/{version}", {"batch": batch})
         self._put(f"drafts/{version}-{data}", {"batch": batch, "data": f"totals-{version}-{data}"})
         self.fs.mkdirs(self._path("commits"))
         try:

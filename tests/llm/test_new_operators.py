@@ -15,7 +15,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from skein.llm import conversation_repair, source_divergence, source_mix
+from skein.llm import conversation_repair, source_divergence, source_mix, token_counts
 
 SF = "/root/testdata/sf0.001"
 TURNS = "conv_id long, turn long, role string, text string"
@@ -268,3 +268,24 @@ def test_mix_rows_and_odd_tables(spark, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/mix")
     assert back.count() == sum(draws.values()) and {r["shard_"] for r in back.select("shard_").distinct().collect()} <= {0, 1, 2}
     assert source_mix.drawn(odd.limit(0)).count() == 0 and source_mix.mixed(odd.limit(0)).count() == 0
+
+
+def test_stalled_writer_hides_no_batch(spark, tmp_path, monkeypatch):
+    """Token counts: an attempt that stalls between its marker and its commit, and goes on after a retry."""
+    docs = spark.createDataFrame(ODD, FIELDS)
+    rows = token_counts.inserts(token_counts.counted(docs, "w", token_counts.words(F.col("text"))))
+    store, stalled = (token_counts.Rollup(spark, f"file://{tmp_path}/rollup") for _ in range(2))
+    put = stalled._put
+
+    def put_and_stall(name, content):
+        put(name, content)
+        if name.startswith("batches/"):
+            raise TimeoutError
+
+    monkeypatch.setattr(stalled, "_put", put_and_stall)
+    with pytest.raises(TimeoutError):
+        stalled.apply("a", rows)
+    assert not store.applied("a") and store.apply("b", rows) and store.apply("a", rows)
+    with pytest.raises(TimeoutError):
+        put_and_stall(f"{stalled._marker('a')}/1", {"batch": "a"})
+    assert store.applied("a") and not store.apply("a", rows) and store.batches() == ["b", "a"]
