@@ -84,10 +84,10 @@ def route_supports(t):
 
 
 @query(f"""WITH {ctes('services', 'ends', 'leases')}, e AS (SELECT service_id, max(matched_site_id) FILTER (endpoint_label = 'A') AS a, max(matched_site_id) FILTER (endpoint_label = 'Z') AS z FROM ends GROUP BY 1)
-SELECT service_id, lease_id, upper(trim(ref_exploit)) AS route_ref, 85 AS score FROM services JOIN e USING (service_id) JOIN leases ON (a = site_1 AND z = site_2) OR (a = site_2 AND z = site_1) WHERE CAST(substr(service_id, 3) AS INT) % 3 > 0""")
+SELECT service_id, lease_id, upper(trim(ref_exploit)) AS route_ref, 85 AS score FROM services JOIN e USING (service_id) JOIN (SELECT DISTINCT * FROM leases) ON (a = site_1 AND z = site_2) OR (a = site_2 AND z = site_1) WHERE CAST(substr(service_id, 3) AS INT) % 3 > 0""")
 def lease_pairs(t):
     found = frame(t, "services").where("cast(substr(service_id, 3) as int) % 3 = 0").select("service_id", F.lit("route").alias("kind"), F.lit(100).alias("score"))
-    leases = frame(t, "leases")
+    leases = frame(t, "leases").distinct()
     sites_of = leases.select("lease_id", F.col("site_1").alias("site_l1"), F.col("site_2").alias("site_l2"))
     return reconcile.pair_leases(frame(t, "services"), found, frame(t, "ends"), leases, sites_of).select("service_id", "lease_id", "route_ref", "score")
 
