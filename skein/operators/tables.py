@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skein.functions.text import hash16, norm_text
@@ -101,3 +103,9 @@ def review_batches(queue: DataFrame, service: str, groups: list[str], review_typ
     """Services with their distinct review types, in order, as one text."""
     kinds = F.array_join(F.array_sort(F.collect_set(review_type)), ",").alias("review_types")
     return queue.groupBy(service, *groups).agg(kinds)
+
+
+def schema_summary(named: dict[str, DataFrame]) -> DataFrame:
+    """table_name, n_rows and columns (`name type, ...`) of each table: one count a table."""
+    parts = [df.agg(F.lit(n).alias("table_name"), F.count("*").alias("n_rows"), F.lit(", ".join(f"{c} {t}" for c, t in df.dtypes)).alias("columns")) for n, df in named.items()]
+    return reduce(DataFrame.unionByName, parts)

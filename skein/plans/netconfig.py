@@ -240,3 +240,27 @@ def search(files: DataFrame, pattern: str, device: str = "", vendor_name: str =
 def read_config(files: DataFrame, source_file: str, limit: int = 5000) -> DataFrame:
     """The first lines of one file."""
     return lines(files.where(F.col("source_file") == source_file)).where(F.col("line_no") <= limit).orderBy("line_no")
+
+
+# What a file's name says of its vendor, the first that fits.
+NAME_VENDORS = [("RAD", ["rad"]), ("Cisco", ["co-", "sec-", "bas-"]), ("Huawei", ["sw-", "sws-"]), ("Huawei", ["3328", "5328", "5624"])]
+
+
+def _base_name(path: Column) -> Column:
+    return F.substring_index(path, "/", -1)
+
+
+def vendor_of_name(path: Column) -> Column:
+    """The vendor that the name of a file hints at, else `unknown`."""
+    name, out = F.lower(_base_name(path)), F.lit("unknown")
+    for vendor_name, parts in reversed(NAME_VENDORS):
+        out = F.when(name.rlike("|".join(parts)), vendor_name).otherwise(out)
+    return out
+
+
+def device_of_name(path: Column) -> Column:
+    """The host in the name of a collected file (`..._rancidIP_bea1-co-1.teloise...`), else the name
+    without its last suffix."""
+    stem = F.regexp_replace(_base_name(path), r"(?<=.)\.[^.]*$", "")
+    host = F.regexp_extract(stem, r"rancidIP_([^.]+)\.teloise", 1)
+    return F.when(host != "", host).otherwise(stem)

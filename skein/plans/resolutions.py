@@ -169,3 +169,44 @@ def scorecard(services: DataFrame, log: DataFrame) -> DataFrame:
         "l2l_total": lan, "l2l_route": lan & route, "l2l_vlan": lan & vlan, "l2l_dual": lan & route & vlan, "l2l_triplet": lan & route & vlan & device,
         "l2l_declared_gap": lan & gap, "fon_total": fibre, "fon_route": fibre & route, "fon_declared_gap": fibre & gap,
     })
+
+
+def restated(log: DataFrame, statuses: DataFrame, now: Column) -> DataFrame:
+    """log with a new row for each resolution_id of statuses (resolution_id, status): its newest row with
+    that status, at this time. Nothing is changed in place, so what the status was stays on record; a
+    resolution that has the status already, or is unknown, gets no row."""
+    newest = latest_per_key(log, ["resolution_id"], "created_at", "status")
+    told = statuses.groupBy("resolution_id").agg(F.max("status").alias("__new"))
+    rows = newest.join(told, "resolution_id").where(~F.col("status").eqNullSafe(F.col("__new")))
+    return log.unionByName(rows.withColumns({"status": F.col("__new"), "created_at": now}).select(*log.columns))
+
+
+FOCUSED = 50
+
+
+def focus(services: DataFrame, client: str = "", nature: str = "", limit: int = FOCUSED) -> DataFrame:
+    """The first services, by id, whose client or nature holds a part, whatever its case."""
+    rows = services
+    for column, part in (("principal_client", client), ("nature_service", nature)):
+        if part:
+            rows = rows.where(F.contains(F.lower(column), F.lit(part.lower())))
+    return rows.orderBy("service_id").limit(limit)
+
+
+def focus_unresolved(services: DataFrame, log: DataFrame, limit: int = FOCUSED) -> DataFrame:
+    """The first services without a resolution, by client and nature."""
+    return unresolved(services, log).orderBy(F.asc_nulls_first("principal_client"), F.asc_nulls_first("nature_service"), "service_id").limit(limit)
+
+
+def focus_auto_valid(services: DataFrame, golden: DataFrame, log: DataFrame) -> DataFrame:
+    """Services that the rules settled, with the confidence of the rules, and of the newest resolution its
+    confidence and status as `agent`, `-` where there is none."""
+    told = latest(log).select("service_id", F.concat_ws("/", "confidence", "status").alias("agent"))
+    sure = golden.where("match_state = 'auto_valid'").select("service_id", "confidence_band", "match_state")
+    return sure.join(services.select("service_id", "principal_client", "nature_service"), "service_id").join(told, "service_id", "left").withColumn("agent", F.coalesce("agent", F.lit("-")))
+
+
+def review_rows(golden: DataFrame, services: DataFrame, queue: DataFrame) -> DataFrame:
+    """Open questions with their services and what is known of them: one row per question."""
+    known = golden.select("service_id", "match_state", "confidence_band").join(services.select("service_id", "nature_service", "principal_client"), "service_id")
+    return known.join(queue.select("service_id", "review_type", "severity", "reason"), "service_id")

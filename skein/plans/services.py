@@ -88,3 +88,11 @@ def merge_maintenance(services: DataFrame, links: DataFrame, matches: DataFrame)
     )
     counts = new_links.groupBy("service_id").agg(F.count("*").alias("line_count"))
     return services.drop("line_count").join(moved, "service_id", "left_anti").join(counts, "service_id"), new_links
+
+
+def with_lines(services: DataFrame, links: DataFrame, lines: DataFrame, how: str = "left") -> DataFrame:
+    """services with the contract lines of each: `left` keeps services without lines, `inner` drops them.
+    Columns that both have are the service's; a line's are called line_ there."""
+    clash = {c: f"line_{c}" for c in lines.columns if c in services.columns and c != "lea_line_id"}
+    own = links.select("service_id", "lea_line_id").join(lines.withColumnsRenamed(clash), "lea_line_id")
+    return services.join(own, "service_id", how)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from skein.functions import references
 from skein.functions.text import BUSINESS_STOPWORDS, norm_text, place_tokens
-from skein.plans import netconfig, reconcile, resolutions, signals, validation
+from skein.operators import tables
+from skein.plans import netconfig, reconcile, resolutions, services, signals, validation
 from skein.registry import among, clean, hash16, norm, query
 
 _S = "CAST({} AS STRING)".format
@@ -326,3 +327,64 @@ def config_interfaces(t):
 @query(f"""SELECT CAST(page_id % 4000 AS INT) AS vlan_id, {_TITLE} AS label FROM pages""")
 def config_vlans(t):
     return netconfig.vlans(_config_lines(t)).select("vlan_id", "label")
+
+
+# Views of the scorecard, versions of the log, names of files, tables.
+
+_GOLD = "SELECT 'SV' || CAST(o_orderkey AS STRING) AS service_id, CASE WHEN o_totalprice > 400000 THEN 'auto_valid' ELSE 'review_required' END AS match_state, CASE WHEN o_totalprice > 300000 THEN 'medium' ELSE 'low' END AS confidence_band FROM orders"
+_QUEUE = "SELECT 'SV' || CAST(l_orderkey AS STRING) AS service_id, l_returnflag AS review_type, l_linestatus AS severity, l_linestatus || CAST(l_linenumber AS STRING) AS reason FROM lineitem"
+
+
+@query(f"""WITH {ctes('services', 'log')}, {_LATEST}, g AS ({_GOLD}) SELECT service_id, principal_client, nature_service, confidence_band, coalesce(l.confidence || '/' || l.status, '-') AS agent FROM g JOIN services USING (service_id) LEFT JOIN l USING (service_id) WHERE match_state = 'auto_valid'""")
+def auto_valid_services(t):
+    golden = t("orders").selectExpr(*_columns(_GOLD))
+    return resolutions.focus_auto_valid(frame(t, "services"), golden, frame(t, "log")).select("service_id", "principal_client", "nature_service", "confidence_band", "agent")
+
+
+@query(f"""WITH {ctes('services', 'log')} (SELECT 'unresolved' AS view, service_id FROM services WHERE service_id NOT IN (SELECT service_id FROM log) ORDER BY principal_client, nature_service, service_id LIMIT {resolutions.FOCUSED})
+UNION ALL (SELECT 'client', service_id FROM services WHERE contains(lower(principal_client), '00012') ORDER BY service_id LIMIT {resolutions.FOCUSED}) UNION ALL (SELECT 'nature', service_id FROM services WHERE contains(lower(nature_service), 'lan') ORDER BY service_id LIMIT {resolutions.FOCUSED})""")
+def focused_services(t):
+    s = frame(t, "services")
+    view = lambda name, df: df.select(F.lit(name).alias("view"), "service_id")
+    return view("unresolved", resolutions.focus_unresolved(s, frame(t, "log"))).union(view("client", resolutions.focus(s, client="00012"))).union(view("nature", resolutions.focus(s, nature="LAN")))
+
+
+@query(f"""WITH {ctes('log')}, n AS (SELECT resolution_id, CASE WHEN value > 70 THEN 'validated' ELSE 'rejected' END AS s FROM log JOIN events ON resolution_id = CAST(event_id AS VARCHAR) WHERE value > 40) SELECT status, count(*) AS n, count(DISTINCT service_id) AS services
+FROM (SELECT service_id, status FROM log UNION ALL SELECT service_id, s FROM log JOIN n USING (resolution_id) WHERE status <> s) GROUP BY 1""")
+def restated_log(t):
+    statuses = t("events").where("value > 40").selectExpr("CAST(event_id AS STRING) AS resolution_id", "CASE WHEN value > 70 THEN 'validated' ELSE 'rejected' END AS status")
+    out = resolutions.restated(frame(t, "log"), statuses, F.lit("2030-01-01 00:00:00").cast("timestamp"))
+    return out.groupBy("status").agg(F.count("*").alias("n"), F.count_distinct("service_id").alias("services"))
+
+
+@query(f"""WITH {ctes('services')}, g AS ({_GOLD}), q AS ({_QUEUE}) SELECT service_id, match_state, confidence_band, nature_service, principal_client, review_type, severity, reason FROM g JOIN services USING (service_id) JOIN q USING (service_id)""")
+def review_rows(t):
+    return resolutions.review_rows(t("orders").selectExpr(*_columns(_GOLD)), frame(t, "services"), t("lineitem").selectExpr(*_columns(_QUEUE)))
+
+
+@query("""SELECT c_custkey AS service_id, c_name AS client, o_orderkey AS lea_line_id, o_totalprice AS price FROM customer LEFT JOIN orders ON o_custkey = c_custkey""")
+def service_lines(t):
+    heads = t("customer").select(F.col("c_custkey").alias("service_id"), F.col("c_name").alias("client"))
+    links = t("orders").select(F.col("o_custkey").alias("service_id"), F.col("o_orderkey").alias("lea_line_id"))
+    lines = t("orders").select(F.col("o_orderkey").alias("lea_line_id"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("client"))
+    return services.with_lines(heads, links, lines).select("service_id", "client", "lea_line_id", "price")
+
+
+_FILE = "replace(url, '.example.', '-' || CASE page_id % 4 WHEN 0 THEN 'co-1.teloise.' WHEN 1 THEN 'rancidIP_sw-2.teloise.' WHEN 2 THEN 'x5328.' ELSE '' END)"
+_NAME = "regexp_extract(f, '([^/]*)$', 1)"
+
+
+@query(rf"""WITH p AS (SELECT page_id, replace({_FILE}, '/', '_') || '.txt' AS f FROM pages), n AS (SELECT page_id, lower(f) AS l, regexp_replace(f, '\.[^.]*$', '') AS s FROM p)
+SELECT page_id, CASE WHEN contains(l, 'rad') THEN 'RAD' WHEN contains(l, 'co-') OR contains(l, 'sec-') OR contains(l, 'bas-') THEN 'Cisco' WHEN contains(l, 'sw-') OR contains(l, 'sws-') OR contains(l, '3328') OR contains(l, '5328') OR contains(l, '5624') THEN 'Huawei' ELSE 'unknown' END AS vendor,
+  CASE WHEN regexp_extract(s, 'rancidIP_([^.]+)\.teloise', 1) <> '' THEN regexp_extract(s, 'rancidIP_([^.]+)\.teloise', 1) ELSE s END AS device FROM n""")
+def file_names(t):
+    name = F.expr(f"'configs/' || replace({_FILE}, '/', '_') || '.txt'")
+    return t("pages").select("page_id", netconfig.vendor_of_name(name).alias("vendor"), netconfig.device_of_name(name).alias("device"))
+
+
+_TABLES = {"nation": "n_nationkey int, n_name string, n_regionkey int", "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double", "labels": "doc_id bigint, quality int, toxic int", "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows, '{c}' AS columns FROM {n}" for n, c in _TABLES.items()))
+def schema_summary(t):
+    return tables.schema_summary({n: t(n) for n in _TABLES})
