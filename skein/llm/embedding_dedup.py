@@ -41,6 +41,9 @@ BLOCK_DIMS = 32
 CELL_BITS = 30
 #: Vectors of a chunk, at most and at least, and chunks that are made of fewer for the sake of cores.
 CHUNK = 98_304
+#: Bytes of a chunk's vectors as 64-bit numbers, of which a task holds a few copies; longer vectors make
+#: chunks of fewer.
+CHUNK_BYTES = CHUNK * 64 * 8
 SMALL_CHUNK = 8192
 CHUNKS_FOR_CORES = 3
 #: Cells that a vector may visit on average in memory; where it would be more, cells get fewer bits.
@@ -407,6 +410,8 @@ def links(classes: DataFrame, n: int, min_cosine: float = MIN_COSINE, chunk: int
     which add up to all its links to other classes; and rows (a, b, 0), a spanning forest. cell_bits:
     bits of the cells that deal vectors out, 0 for none; by default what moves fewer rows."""
     rows = classes.select(F.size("embedding").alias("dims"), "cid", "n", "embedding")
+    widest = classes.agg(F.max(F.size("embedding"))).first()[0] or 1
+    chunk = max(1, min(chunk, CHUNK_BYTES // (8 * widest)))
     chunks = max(min(CHUNKS_FOR_CORES, ceil(n / SMALL_CHUNK)), ceil(n / chunk), 1)
     bits = cell_bits or 0
     if cell_bits is None and chunks > CHUNKS_FOR_CORES:

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from skein.llm import conversation_repair, source_divergence, source_mix, token_counts
+from skein.llm import conversation_repair, embedding_dedup, source_divergence, source_mix, token_counts
 
 SF = "/root/testdata/sf0.001"
 TURNS = "conv_id long, turn long, role string, text string"
@@ -289,3 +289,20 @@ def test_stalled_writer_hides_no_batch(spark, tmp_path, monkeypatch):
     with pytest.raises(TimeoutError):
         put_and_stall(f"{stalled._marker('a')}/1", {"batch": "a"})
     assert store.applied("a") and not store.apply("a", rows) and store.batches() == ["b", "a"]
+
+
+def test_chunks_of_long_vectors_are_small(spark, monkeypatch):
+    """Embeddings: chunks bounded by bytes give the links that plain products give."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(40, 300))
+    vectors = np.concatenate([base, base[:15] + rng.normal(size=(15, 300)) * 0.05, base[:5] + rng.normal(size=(5, 300)) * 0.05])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(embedding_dedup, "CHUNK_BYTES", 8 * 300 * 7)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(df).collect()}
+    for i in range(len(vectors)):
+        reach = {i}
+        while len(grown := reach | {int(j) for k in reach for j in np.flatnonzero(near[k])}) > len(reach):
+            reach = grown
+        assert got[i] == (int(near[i].sum()) - 1, min(reach))
