@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skein.functions.references import fiber_count, route_refs
-from skein.functions.text import hash16_lower, is_blank, norm_text, place_tokens
+from skein.functions.text import hash16, is_blank, norm_text, place_tokens
 from skein.operators.ranking import best_per_key, stored
 from skein.plans.candidates import site_matches
 
@@ -72,7 +72,7 @@ def housings(objects: DataFrame, parents: DataFrame, links: DataFrame, sites: Da
     names = ["reference", "userreference", "description", "comments", "location"]
     own = objects.where(_text("migration_oid") != "").select("object_type", _text("migration_oid").alias("migration_oid"), *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in names))
     layer = F.concat(F.lit("HSG-"), F.upper("object_type"), F.lit("-"))
-    own = own.withColumn("housing_id", F.concat(layer, hash16_lower(F.col("migration_oid"), F.col("reference"), F.col("userreference")))).dropDuplicates(["housing_id"])
+    own = own.withColumn("housing_id", F.concat(layer, hash16(F.col("migration_oid"), F.col("reference"), F.col("userreference")))).dropDuplicates(["housing_id"])
     related = best_per_key(links.withColumnRenamed("object_oid", "migration_oid"), ["object_type", "migration_oid"], [F.desc("score"), F.col("site_id")])
     related = related.select("object_type", "migration_oid", F.struct("site_id", "rule_name", "score").alias("r"))
     named = best_named(own.select(F.col("housing_id").alias("id"), F.array(*names).alias("texts")), sites).select(F.col("id").alias("housing_id"), F.struct("site_id", "rule_name", "score").alias("n"))
@@ -117,7 +117,7 @@ def logical_routes(leases: dict[str, DataFrame]) -> DataFrame:
     key = ("source_layer", "source_oid", "route_ref", "ref_text", "path_id", "pair_oid")
     blank = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]
     name = norm_text(F.coalesce("route_ref", "ref_text"))
-    return rows.select(F.concat(F.lit("OROUTE-"), hash16_lower(*blank)).alias("logical_route_id"), "route_ref", "source_layer", "layer_no", "source_oid", "ordinal", F.col("ref_text").alias("reference"), *("path_id", "pair_oid", "network", "client", "lessee", "status", "comments"), name.alias("normalized_ref"))
+    return rows.select(F.concat(F.lit("OROUTE-"), hash16(*blank)).alias("logical_route_id"), "route_ref", "source_layer", "layer_no", "source_oid", "ordinal", F.col("ref_text").alias("reference"), *("path_id", "pair_oid", "network", "client", "lessee", "status", "comments"), name.alias("normalized_ref"))
 
 
 def ref_routes(routes: DataFrame) -> DataFrame:

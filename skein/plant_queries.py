@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from skein.functions import geometry, references
 from skein.functions.text import BUSINESS_STOPWORDS
 from skein.plans import candidates, plant
-from skein.registry import among, norm, query
+from skein.registry import among, hash16, norm, query
+from skein.sources import files
 
 _S = "CAST({} AS STRING)".format
 CORPUS = {
@@ -71,6 +72,9 @@ def lease_end_sites(t):
     return plant.end_sites(frame(t, "ends"), links, _sites(t)).select("lease_id", "endpoint_label", "site_id", "rule_name", "score")
 
 
+_ROUTE_ID = hash16("CASE layer WHEN 0 THEN 'LEASE_TEMPLATE' ELSE 'Fiber_Lease' END", "source_oid", "route_ref", "reference", "''", "''")
+
+
 def _leases(t):
     none = {c: F.lit(None).cast("string") for c in ("path_id", "pair_oid", "lessee", "status", "comments")}
     return {"LEASE_TEMPLATE": frame(t, "templates").withColumns(none), "Fiber_Lease": frame(t, "fibers").withColumns(none)}
@@ -78,7 +82,7 @@ def _leases(t):
 
 @query(f"""WITH {ctes('templates', 'fibers')}, r AS (SELECT 0 AS layer, ordinal, source_oid, nullif(upper(trim(ref_exploit)), '') AS route_ref, nullif(trim(reference), '') AS reference, network, client FROM templates
   UNION ALL SELECT 1, ordinal, source_oid, coalesce(nullif(upper(trim(ref_exploit)), ''), nullif(upper(regexp_replace(regexp_extract(reference, '{references.ROUTE}', 1), '\\s+', ' ', 'g')), '')), nullif(trim(reference), ''), network, client FROM fibers),
-h AS (SELECT *, 'OROUTE-' || substr(sha1(array_to_string(list_transform([CASE layer WHEN 0 THEN 'LEASE_TEMPLATE' ELSE 'Fiber_Lease' END, source_oid, coalesce(route_ref, ''), coalesce(reference, ''), '', ''], lambda x: lower(trim(x))), '||')), 1, 16) AS id FROM r WHERE route_ref IS NOT NULL OR reference IS NOT NULL)
+h AS (SELECT *, 'OROUTE-' || {_ROUTE_ID} AS id FROM r WHERE route_ref IS NOT NULL OR reference IS NOT NULL)
 SELECT id AS route_id, route_ref, network, client FROM h WHERE route_ref IS NOT NULL QUALIFY row_number() OVER (PARTITION BY route_ref ORDER BY layer, ordinal, id) = 1""")
 def reference_routes(t):
     return plant.ref_routes(plant.logical_routes(_leases(t))).select("route_id", "route_ref", "network", "client")
@@ -145,3 +149,21 @@ def old_projection(t):
     at = lambda i: F.get("embedding", i).cast("double") * 400000
     found = t("embeddings").select("vec_id", geometry.from_lambert2(at(0) + 600000, at(1) + 2200000).alias("d"))
     return found.select("vec_id", F.round("d.lon", 7).alias("lon"), F.round("d.lat", 7).alias("lat"))
+
+
+# Inventories by the place of their columns.
+_SHEET = "SELECT 'HOST ' || CAST(conv_id AS STRING) AS a, role || '/' || CAST(turn AS STRING) AS b, 'x' AS c, CASE WHEN turn % 2 = 0 THEN 'up' END AS d, role AS e, text || ' toip  ' || CAST(conv_id AS STRING) || ' OPE ' || CAST(turn AS STRING) || ' - l2l 7' AS f FROM conversations"
+
+
+@query(f"""SELECT 'IF-' || {hash16('a', 'b')} AS interface_id, a AS hostname, b AS interface_name, coalesce(d, '') AS admin_status, e AS oper_status, '' AS speed, 'TOIP ' || substr(a, 6) AS route, 'OPE' || split_part(b, '/', 2) || '/L2L7' AS service FROM ({_SHEET})""")
+def interface_inventory(t):
+    raw = t("conversations").selectExpr("'HOST ' || CAST(conv_id AS STRING) AS a", "role || '/' || CAST(turn AS STRING) AS b", "'x' AS c", "CASE WHEN turn % 2 = 0 THEN 'up' END AS d", "role AS e", "text || ' toip  ' || CAST(conv_id AS STRING) || ' OPE ' || CAST(turn AS STRING) || ' - l2l 7' AS f")
+    found = files.interface_inventory(raw)
+    last = lambda c: F.element_at(c, -1)
+    return found.select("interface_id", "hostname", "interface_name", "admin_status", "oper_status", "speed", last("route_refs").alias("route"), last("service_refs").alias("service"))
+
+
+@query(f"""SELECT 'CPE-' || {hash16('s_name', 'CAST(s_suppkey AS VARCHAR)')} AS cpe_id, CAST(s_suppkey AS VARCHAR) AS first, s_name AS hostname, CAST(s_nationkey AS VARCHAR) AS field_3, {norm('s_name')} AS normalized_hostname FROM supplier""")
+def cpe_inventory(t):
+    raw = t("supplier").select("s_suppkey", F.lit(None).alias("b"), "s_name", "s_nationkey").union(t("region").select(F.col("r_regionkey").cast("long"), F.lit(None), F.lit(""), "r_regionkey"))
+    return files.cpe_inventory(raw).select("cpe_id", "first", "hostname", "field_3", "normalized_hostname")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from skein.functions.text import first_filled, norm_text
+from skein.functions.references import route_refs, service_refs
+from skein.functions.text import first_filled, hash16, norm_text
 from skein.operators.ranking import best_per_key
 from skein.operators.spatial import to_lambert93, with_reuse
 
@@ -67,3 +68,35 @@ def layer(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
 def contract_lines(raw: DataFrame, active: str = "40") -> DataFrame:
     """Lines of the contract sheet that are active, from a table of its columns by their names here."""
     return raw.where(F.trim("status_code") == active)
+
+
+# Inventories that are read by the position of their columns, as their headers differ from file to file.
+
+
+def by_position(raw: DataFrame, places: dict[str, int]) -> DataFrame:
+    """Columns of raw by their place, from 0, as trimmed text, empty where a cell or the column is."""
+    known = [c for c in raw.columns if c != "__row"]
+    cell = lambda i: F.coalesce(F.col(f"`{known[i]}`").cast("string"), F.lit("")) if i < len(known) else F.lit("")
+    return raw.select(*(cell(i).alias(n) for n, i in places.items()))
+
+
+# Where the fields stand.
+INTERFACE_PLACES = {"hostname": 0, "interface_name": 1, "admin_status": 3, "oper_status": 4, "description": 5, "speed": 6}
+CPE_PLACES = {"first": 0, "hostname": 2, **{f"field_{i}": i for i in (3, 4, 5, 6, 8, 9, 10)}}
+
+
+def interface_inventory(raw: DataFrame) -> DataFrame:
+    """Inventoried interfaces with interface_id, the references in their descriptions and the normalised
+    description. Rows stay as they are; equal host and interface names have one id."""
+    rows = by_position(raw, INTERFACE_PLACES)
+    text = F.col("description")
+    return rows.select(
+        F.concat(F.lit("IF-"), hash16(F.col("hostname"), F.col("interface_name"))).alias("interface_id"), *INTERFACE_PLACES, route_refs(text).alias("route_refs"), service_refs(text).alias("service_refs"),
+        norm_text(text).alias("normalized_description"),
+    )
+
+
+def cpe_inventory(raw: DataFrame) -> DataFrame:
+    """Inventoried equipment that has a host name, with cpe_id and the normalised name."""
+    rows = by_position(raw, CPE_PLACES).where("hostname <> ''")
+    return rows.select(F.concat(F.lit("CPE-"), hash16(F.col("hostname"), F.col("first"))).alias("cpe_id"), *CPE_PLACES, norm_text(F.col("hostname")).alias("normalized_hostname"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skein.functions import geometry
 from skein.functions.references import fiber_count
-from skein.functions.text import hash16_lower, is_blank, norm_text, place_tokens
+from skein.functions.text import hash16, is_blank, norm_text, place_tokens
 from skein.sources.files import column_or_null
 
 # Layers by what they hold, and their columns by the names here.
@@ -59,7 +59,7 @@ def cables(spark: SparkSession, folder: str) -> DataFrame:
     points = [F.col(f"{e}.{c}").alias(f"geom_{n}_{c}") for e, n in (("start", "start"), ("end", "end"), ("centre", "centroid")) for c in "xy"]
     filled = F.coalesce(*(F.when(~is_blank(F.col(c)), F.col(c)) for c in ("reference", "userreference", "comments")))
     return rows.select(
-        F.concat(F.lit("CAB-"), hash16_lower(*map(F.col, ("migration_oid", "reference", "userreference")))).alias("cable_id"), F.col("migration_oid").alias("cable_oid"), *text,
+        F.concat(F.lit("CAB-"), hash16(*map(F.col, ("migration_oid", "reference", "userreference")))).alias("cable_id"), F.col("migration_oid").alias("cable_oid"), *text,
         fiber_count(*map(F.col, ("reference", "userreference", "comments", "labeltext"))).alias("number_of_fibers"), norm_text(filled).alias("normalized_ref"),
         place_tokens(F.concat_ws(" ", "reference", "userreference", "comments")).alias("site_tokens"), *points, "srid",
     )
