@@ -382,3 +382,25 @@ def repair(rows: DataFrame) -> Repair:
 def op11_conversation_repair(spark, sf_dir: str) -> DataFrame:
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return repair(damage(conversations)).report(conversations)
+
+
+#: The checksum is worked out byte by byte from a table made of its polynomial; edits go forward row by
+#: row, keeping of each state the cheapest, of equals the least, and the lines it has so far.
+OP11_SQL = r"""WITH RECURSIVE gen(b, v, k) AS (SELECT i::BIGINT, i::BIGINT, 0 FROM range(256) r(i) UNION ALL SELECT b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM gen WHERE k < 8),
+tb AS (SELECT list(v ORDER BY b) AS t FROM gen WHERE k = 8),
+d AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM conversations, tb),
+c AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM d WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM c),
+f AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+  lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM o),
+ins(s, t, c, a, more) AS (VALUES (0, 0, 0, '', []), (0, 2, 3, 'I', ['user:']), (0, 3, 6, 'II', ['user:', 'assistant:']), (1, 1, 0, '', []), (1, 2, 3, 'I', ['user:']), (1, 3, 6, 'II', ['user:', 'assistant:']), (2, 2, 0, '', []), (2, 3, 3, 'I', ['assistant:']), (3, 3, 0, '', []), (3, 2, 3, 'I', ['user:'])),
+w(conv_id, i, s, cost, audit, lines) AS (SELECT DISTINCT conv_id, 1::BIGINT, 0, 0, '', []::VARCHAR[] FROM f UNION ALL
+  SELECT conv_id, i, s, struct_extract_at(min((cost, audit)), 1), struct_extract_at(min((cost, audit)), 2), arg_min(lines, (cost, audit)) FROM (SELECT conv_id, i, s, cost, audit, lines FROM (
+    SELECT w.conv_id, w.i + 1 AS i, CASE k WHEN 'D' THEN t WHEN 'R' THEN CASE t WHEN 2 THEN 3 ELSE 2 END ELSE CASE WHEN left(role, 1) = 's' AND t = 0 THEN 1 WHEN left(role, 1) = 'u' AND t IN (0, 1, 3) THEN 2 WHEN left(role, 1) = 'a' AND t = 2 THEN 3 END END AS s,
+      cost + ins.c + CASE k WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END + CASE WHEN k <> 'D' AND fault = 'truncated' THEN 3 ELSE 0 END AS cost, audit || a || k AS audit,
+      list_concat(list_concat(lines, more), CASE k WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || text] ELSE [CASE t WHEN 2 THEN 'assistant:' ELSE 'user:' END || text] END) AS lines
+    FROM w JOIN ins ON ins.s = w.s JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i JOIN (VALUES ('D'), ('K'), ('R')) e(k) ON k = 'D' OR fault NOT IN ('blank', 'duplicate')) WHERE s IS NOT NULL) GROUP BY conv_id, i, s),
+n AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY 1),
+z AS (SELECT w.conv_id, struct_extract_at(min((cost + c, audit || a)), 1) AS cost, struct_extract_at(min((cost + c, audit || a)), 2) AS audit, arg_min(list_concat(lines, more), (cost + c, audit || a)) AS lines FROM w JOIN n ON n.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = n.n + 1 JOIN ins ON ins.s = w.s AND t IN (0, 3) GROUP BY 1)
+SELECT q.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) q LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM q.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM q.conv_id"""

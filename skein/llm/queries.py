@@ -24,5 +24,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_token_counts": token_counts.OP1_SQL,
     "op6_decontamination": decontamination.OP6_SQL,
     "op7_url_filter": url_filter.OP7_SQL,
+    "op11_conversation_repair": conversation_repair.OP11_SQL,
     "op12_source_divergence": source_divergence.OP12_SQL,
 }

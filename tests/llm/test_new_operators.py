@@ -86,8 +86,13 @@ def reports(df):
 
 
 def test_conversation_repair_query(spark):
-    table = duckdb.sql(f"SELECT conv_id, turn, role, text FROM '{SF}/conversations.parquet'").fetchall()
-    assert reports(conversation_repair.op11_conversation_repair(spark, SF)) == plain_damage(table)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
+    want = plain_damage(con.sql("SELECT conv_id, turn, role, text FROM conversations").fetchall())
+    assert reports(conversation_repair.op11_conversation_repair(spark, SF)) == want
+    names = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    by_sql = con.sql(f"SELECT conv_id, {', '.join(names)} FROM ({conversation_repair.OP11_SQL})").fetchall()
+    assert {c: dict(zip(names, r)) for c, *r in by_sql} == want
 
 
 @pytest.mark.parametrize("piece", [1, 3, 128])
