@@ -24,6 +24,9 @@ KNOWN_CITIES = [
     "RANTIGNY", "JAUX", "GOUVIEUX", "PIERREFONDS", "RIBECOURT", "FORMERIE", "GRANDVILLIERS", "BRETEUIL", "SAINT QUENTIN", "SOISSONS", "VILLERS COTTERETS",
 ]
 REFERENCE_WORDS = r"(?i)\b(?:TOIP|L2L|OPE|INTX|WF)\b"
+#: Five digits, unless a text begins with them and a street follows (a house number) or ends with them behind
+#: a technical or reference word (the number of that).
+POSTCODE = rf"(?!^\d{{5}} (?:{'|'.join(STREET_TYPES)})\b)(?!(?<=\b(?:{'|'.join([*TECHNICAL, 'TOIP', 'L2L', 'OPE', 'INTX', 'WF'])}) )\d{{5}}$)\b\d{{5}}\b"
 UPPER_LABEL = r"^[A-ZÀ-ÿ' -]{3,}$"
 ADDRESS_START = r"(?i)\s+\d+\s+(?:rue|av(?:enue)?|route|boulevard|impasse|all[eé]e|chemin|place|r\.)\b|\s+\d{5}\s"
 
@@ -64,14 +67,14 @@ def _parsed(normed: Column, tokens: Column) -> Column:
     first = F.coalesce(F.get(tokens, 0), F.lit(""))
     house = F.when(first.rlike(r"^\d{1,5}[A-Z]?$"), first).otherwise("")
     rest = F.when(house != "", F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0)))).otherwise(tokens)
-    postcode = F.regexp_extract(normed, r"\b\d{5}\b", 0)
+    postcode = F.regexp_extract(normed, POSTCODE, 0)
     street = lambda r: F.when(_street_at(r) > 0, F.slice(r, F.greatest(_street_at(r), F.lit(1)), F.size(r))).otherwise(F.array().cast("array<string>"))
     parts = F.struct(house.alias("house"), rest.alias("rest"), street(rest).alias("street"), postcode.alias("postcode"))
     return let(parts, lambda p: let(_city(normed, tokens, p), lambda city: _address(normed, p, city)))
 
 
 def _city(normed: Column, tokens: Column, p: Column) -> Column:
-    behind = words(F.regexp_extract(normed, r"\b\d{5}\b(.*)$", 1))
+    behind = words(F.regexp_extract(normed, POSTCODE + "(.*)$", 1))
     last = F.slice(p["rest"], F.greatest(F.size(p["rest"]), F.lit(1)), 1)
     length = F.size(p["street"])
     of = F.when(p["postcode"] != "", behind).when(length >= 2, last).when(length == 0, tokens).otherwise(F.array().cast("array<string>"))
@@ -95,7 +98,8 @@ def business_before_street(text: Column) -> Column:
 def _business_before_street(tokens: Column) -> Column:
     at = _street_at(tokens)
     before = F.filter(F.slice(tokens, 1, F.greatest(at - 1, F.lit(0))), lambda t: ~t.isin(ADDRESS_NOISE))
-    one = (F.size(before) == 1) & (F.length(F.coalesce(F.get(before, 0), F.lit(""))) >= 5)
+    first = F.coalesce(F.get(before, 0), F.lit(""))
+    one = (F.size(before) == 1) & (F.length(first) >= 5) & ~first.rlike("^[0-9]+$")
     return (at > 1) & ((F.size(before) >= 2) | one | F.arrays_overlap(before, text_list(*SITE_WORDS)))
 
 

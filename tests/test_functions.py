@@ -83,6 +83,14 @@ def test_noise_and_cities(spark):
     assert (parsed("Villeneuve", True), parsed("Villeneuve", False), parsed("60300 12345", False)) == ("city_only", "weak_business_label", "postcode_city")
 
 
+def test_numbers_of_five_digits_that_are_no_postcodes(spark):
+    told = lambda t: (one(spark, t, address.classify_signal).kind, *(one(spark, t, address.parse_address)[k] for k in ("house_number", "city", "postcode")))
+    assert told("10000 rue de Morienval Pierrefonds") == ("postal_address_precise", "10000", "PIERREFONDS", "")
+    assert told("Chambre NRA 10002") == ("technical_site_anchor", "", "CHAMBRE NRA 10002", "")
+    assert told("TOIP 10003") == ("route_or_service_reference", "", "TOIP 10003", "")
+    assert told("Chambre NRA 60300 Senlis")[2:] == ("SENLIS", "60300") and told("60300 Senlis")[2:] == ("SENLIS", "60300")
+
+
 def test_scores(spark):
     row = spark.range(1).select(
         *(scores.distance_score(F.lit(float(m))) for m in (0, 50, 51, 200, 500, 501)), scores.cable_place_score(F.lit(2), F.lit(24), F.lit(None).cast("int")),
