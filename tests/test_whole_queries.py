@@ -69,3 +69,12 @@ def test_builds_of_all_orders(spark):
 def test_route_supports_are_not_moved_once_found(spark):
     plan = queries.QUERIES["route_supports"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "service_id" in plan and not [line for line in plan.splitlines() if "hashpartitioning(" in line and "service_id" in line and "target" in line]
+
+
+def test_optical_bundles_upper_letter_by_letter(spark, tmp_path):
+    for name in ("documents", "conversations", "pages"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{SF}/{name}.parquet")
+    duckdb.sql(f"COPY (SELECT 900 AS item_id, 'a b straßen' AS text UNION ALL SELECT 901, 'a b strassen') TO '{tmp_path}/benchmark.parquet'")
+    (tmp_path / "documents.parquet").unlink()
+    duckdb.sql(f"COPY (SELECT doc_id, 'w w w Strassen w w' AS text, lang, source, n_chars FROM '{SF}/documents.parquet' LIMIT 3) TO '{tmp_path}/documents.parquet'")
+    assert {r.nearby_cables for r in queries.QUERIES["optical_bundles"](spark, str(tmp_path)).collect()} == {"901"}
