@@ -31,6 +31,13 @@ def test_contained_is_every_part(spark):
     assert substrings.contained(table(spark, "pattern string"), table(spark, "text_id int, text string"), []).count() == 0
 
 
+def test_contained_keeps_the_least_of_a_pattern(spark):
+    texts = [("x", i, f"the same {w} t{i:03}") for i in range(300) for w in ("word", "swords")]
+    patterns = [("x", "word"), ("x", "same"), ("x", "same sword"), ("y", "word")]
+    got = substrings.contained(table(spark, "k string, pattern string", *patterns), table(spark, "k string, text_id int, text string", *texts), ["k"], 3)
+    assert sorted((r.pattern, r.text_id) for r in got.collect()) == [(p, i) for p in ("same", "same sword", "word") for i in range(3)]
+
+
 def test_nearest_by_rings(spark):
     rng = random.Random(9)
     left = [(i, rng.uniform(-900, 900), rng.uniform(-900, 900)) for i in range(40)] + [(90, None, 0.0), (91, 5e6, 5e6)]
