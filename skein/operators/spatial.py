@@ -61,42 +61,67 @@ def neighbours(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
 
 def best_nearby(left: DataFrame, right: DataFrame, radius: float = 500.0) -> DataFrame:
     """For each left row (a, x, y, cap) its best right row within radius: by score, which the distance
-    gives and cap limits, then by distance, then by b. Scores of 0 do not count."""
-    near = neighbours(left, right, radius).join(left.select("a", "cap"), "a")
+    gives and cap limits, then by distance, then by b. Scores of 0 do not count. A nearer row never
+    scores less, so the best is the nearest."""
+    near = nearest(left.select("a", "x", "y"), right, radius, 1).join(left.select("a", "cap"), "a")
     scored = near.withColumn("score", F.least(distance_score(F.col("meters")), F.col("cap"))).where("score > 0")
     return best_per_key(scored.drop("cap"), ["a"], [F.desc("score"), F.col("meters"), F.col("b")])
 
 
-def nearest(left: DataFrame, right: DataFrame, radius: float, k: int, cells: int = 3) -> DataFrame:
+# Points a cell may hold where the densest are, and how often a radius is halved for that.
+PER_CELL, HALVINGS = 64, 20
+
+
+def _widths(points: DataFrame, radius: float) -> list[float]:
+    """Widths of cells from fine to coarse, each twice the one before, the last as wide as the radius. In
+    the finest no cell holds more than PER_CELL points."""
+    halved = 0
+    while halved < HALVINGS:
+        cell = lambda c: F.floor(F.col(c) / (radius / 2**halved))  # noqa: B023, E731
+        most = points.groupBy(cell("rx"), cell("ry")).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        if most <= PER_CELL:
+            break
+        # As many halvings more as there would be if the points spread evenly.
+        halved = min(HALVINGS, halved + next(i for i in range(1, 64) if most <= PER_CELL // 2 * 4**i))
+    return [radius / 2**i for i in range(halved, -1, -1)]
+
+
+def nearest(left: DataFrame, right: DataFrame, radius: float, k: int) -> DataFrame:
     """(a, b, meters) of the k nearest right objects (b, with a row x, y for each of their points) within
     radius of each left point (a, x, y); ties: the least b.
 
-    Cells are radius / cells wide. Left points first meet their own cell, then one ring of cells after
-    another, until k objects are nearer than what the rings so far cover for sure, or the radius is
-    covered: where objects are dense most points never look beyond a ring or two.
+    Left points meet the points of their own cell and the eight around it, so they know all that is
+    nearer than a cell is wide. Cells begin so narrow that the densest hold few points. Where fewer
+    than k objects are as near as that, cells twice as wide follow, up to the radius; so a point
+    meets few more than it keeps, however dense the points are. Equal points of one side are one
+    while distances are measured, and of the objects at one point k stay.
     """
-    width = radius / cells
-    cell = lambda c: F.floor(F.col(c) / width)
-    known = lambda df: df.where("x is not null and y is not null")
-    points = stored(known(right).select("b", F.col("x").alias("rx"), F.col("y").alias("ry"), cell("x").alias("cx"), cell("y").alias("cy")).distinct())
-    open_ = known(left).select("a", F.col("x").alias("lx"), F.col("y").alias("ly"), cell("x").alias("cx"), cell("y").alias("cy"))
-    found = None
-    # A point at the edge of its cell is sure of a distance only when the ring beyond it is in.
-    for ring in range(cells + 1):
-        offsets = [(i, j) for i in range(-ring, ring + 1) for j in range(-ring, ring + 1) if max(abs(i), abs(j)) == ring]
-        at = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in offsets)))
-        around = open_.withColumn("o", at).select("a", "lx", "ly", (F.col("cx") + F.col("o.i")).alias("cx"), (F.col("cy") + F.col("o.j")).alias("cy"))
+    known = lambda df, key, x, y: df.where("x is not null and y is not null").select(key, F.col("x").alias(x), F.col("y").alias(y)).distinct()
+    mine = stored(known(left, "a", "lx", "ly"))
+    objects = stored(best_per_key(known(right, "b", "rx", "ry"), ["rx", "ry"], [F.col("b")], k))
+    points = stored(objects.select("rx", "ry").distinct())
+    found, open_ = None, mine.select("lx", "ly").distinct()
+    widths = _widths(points, radius)
+    ring = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
+    for width in widths:
+        cell = lambda c: F.floor(F.col(c) / width)  # noqa: B023, E731
+        around = open_.withColumn("o", ring).select("lx", "ly", (cell("lx") + F.col("o.i")).alias("cx"), (cell("ly") + F.col("o.j")).alias("cy"))
         meters = distance(F.col("lx"), F.col("ly"), F.col("rx"), F.col("ry"))
-        met = around.join(points, ["cx", "cy"]).select("a", "b", meters.alias("meters")).where(F.col("meters") <= radius).groupBy("a", "b").agg(F.min("meters").alias("meters"))
-        both = met if found is None else found.unionByName(met).groupBy("a", "b").agg(F.min("meters").alias("meters"))
-        found = stored(best_per_key(both, ["a"], [F.col("meters"), F.col("b")], k))
-        done = found.groupBy("a").agg(F.count("*").alias("n"), F.max("meters").alias("far")).where((F.col("n") >= k) & (F.col("far") <= ring * width)).select("a")
-        open_ = open_.join(done, "a", "left_anti")
-        if ring < cells:
-            open_ = stored(open_)
-            if open_.isEmpty():
-                break
-    return found
+        # Short of the width by far more than cells are rounded, so none that is as near is in a cell beyond.
+        sure = radius if width == radius else width * (1 - 1e-6)
+        near = around.join(points.select("rx", "ry", cell("rx").alias("cx"), cell("ry").alias("cy")), ["cx", "cy"]).withColumn("meters", meters).where(F.col("meters") <= sure)
+        met = near.join(objects, ["rx", "ry"]).groupBy("lx", "ly", "b").agg(F.min("meters").alias("meters"))
+        best = stored(best_per_key(met, ["lx", "ly"], [F.col("meters"), F.col("b")], k))
+        if width < radius:
+            done = best.groupBy("lx", "ly").agg(F.count("*").alias("n")).where(F.col("n") >= k).select("lx", "ly")
+            open_ = stored(open_.join(done, ["lx", "ly"], "left_anti"))
+            best = best.join(done, ["lx", "ly"], "left_semi")
+        found = best if found is None else found.unionByName(best)
+        if width < radius and open_.isEmpty():
+            break
+    # A left object may have several points.
+    out = mine.join(found, ["lx", "ly"]).groupBy("a", "b").agg(F.min("meters").alias("meters"))
+    return best_per_key(out, ["a"], [F.col("meters"), F.col("b")], k)
 
 
 def radius_search(objects: DataFrame, points: list[tuple[str, str]], x: float, y: float, radius: float = 300.0, limit: int = 20) -> DataFrame:

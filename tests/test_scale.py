@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from skein.operators import matching
+from skein.operators import matching, spatial
 from skein.plans import reconcile
 
 
@@ -57,3 +57,24 @@ def test_best_of_block_in_runs(spark):
         got = matching._best_of_block(left, right, 3, 4, at_once)
         assert Counter(map(tuple, got[["i", "at", "shared"]].to_numpy().tolist())) == Counter(want)
     assert not len(matching._best_of_block(left[:0], right, 3, 4)) and not len(matching._best_of_block(left, right[:0], 3, 4))
+
+
+def test_nearest_moves_few_of_dense_points(spark):
+    # Points as dense as 1,600 in a cell of 300 metres, copies, and objects with several points.
+    left = spark.range(800).selectExpr("id as a", "cast(id * 7 % 293 as double) as x", "cast(id * 11 % 281 as double) as y").unionByName(spark.createDataFrame([(9000, 5000.0, 5000.0), (9001, 5200.0, 5000.0)], "a long, x double, y double"))
+    right = spark.range(1600).selectExpr("id div 2 as b", "cast(id * 13 % 299 as double) + 0.5 as x", "cast(id * 17 % 277 as double) as y").unionByName(spark.createDataFrame([(i, 5000.0, 5100.0) for i in range(70)], "b long, x double, y double"))
+    found, ask, have = [], left.collect(), right.collect()
+    count = moved(spark, lambda: found.extend(spatial.nearest(left, right, 300.0, 3).collect()))
+    got = {}
+    for r in found:
+        got.setdefault(r.a, []).append((round(r.meters, 6), r.b))
+    for p in ask:
+        best = {}
+        for q in have:
+            m = ((p.x - q.x) ** 2 + (p.y - q.y) ** 2) ** 0.5
+            if m <= 300:
+                best[q.b] = min(m, best.get(q.b, m))
+        assert sorted(got.get(p.a, [])) == sorted((round(m, 6), b) for m, b in sorted((m, b) for b, m in best.items())[:3])
+    assert count < 800 * 100
+    scored = spatial.best_nearby(left.limit(50).withColumn("cap", F.lit(80)), right)
+    assert {r.a: (r.b, r.score) for r in scored.collect()} == {a: (min(rows)[1], 80) for a, rows in got.items() if a < 50}
