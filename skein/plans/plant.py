@@ -14,6 +14,8 @@ from skein.plans.candidates import site_matches
 # Rules and scores.
 RELATION = ("gdb_relation", 100)
 CABLE_HINT = ("fiber_cable_name_token", 90, 75, 24)
+# One in HOT rows makes a label hot, and the rows of one go to as many as SALTS tasks.
+HOT, SALTS = 1000, 64
 STEPS = {"L1": (1, "origin"), "L2": (2, "destination")}
 
 
@@ -46,21 +48,26 @@ def reached(parents: DataFrame, known: DataFrame) -> DataFrame:
     many steps up it is. state: `site`, `none` where the way ends without one, `cycle` where it turns in
     a circle.
 
-    Pointers are doubled each round, so a chain of n nodes takes log2(n) rounds of one join; what is
-    open after as many rounds as the number of nodes allows is a circle. A child with several parents
-    keeps the least.
+    Pointers are doubled each round, so a chain of n nodes takes log2(n) rounds of one join, and only
+    open nodes are joined. A way of n steps has ways of every length below n above it, so where a round
+    settles no node no finite way is open, and what is left turns in circles. A child with several
+    parents keeps the least.
     """
     up = parents.where("child is not null and parent is not null").groupBy("child").agg(F.min("parent").alias("parent"))
     nodes = up.select(F.col("child").alias("node")).union(parents.select("parent").where("parent is not null")).union(known.select("node")).distinct()
     state = nodes.join(up.withColumnRenamed("child", "node"), "node", "left").join(known, "node", "left")
     has = F.col("site_id").isNotNull()
     state = stored(state.select("node", "site_id", F.when(~has, F.col("parent")).alias("up"), F.when(has | F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("steps")))
-    rounds = max(1, state.count()).bit_length() + 1
-    for _ in range(rounds):
-        if state.where("up is not null").isEmpty():
+    closed, open_ = state.where("up is null"), state.where("up is not null")
+    left = open_.count()
+    while left:
+        above = closed.unionByName(open_).select(F.col("node").alias("up"), F.col("site_id").alias("s2"), F.col("up").alias("u2"), F.col("steps").alias("n2"))
+        state = stored(open_.join(above, "up", "left").select("node", F.coalesce("site_id", "s2").alias("site_id"), F.col("u2").alias("up"), (F.col("steps") + F.coalesce("n2", F.lit(0))).alias("steps")))
+        closed, open_, before = closed.unionByName(state.where("up is null")), state.where("up is not null"), left
+        left = open_.count()
+        if left == before:
             break
-        above = state.select(F.col("node").alias("up"), F.col("site_id").alias("s2"), F.col("up").alias("u2"), F.col("steps").alias("n2"))
-        state = stored(state.join(above, "up", "left").select("node", F.coalesce("site_id", "s2").alias("site_id"), F.when(F.col("up").isNotNull(), F.col("u2")).alias("up"), (F.col("steps") + F.coalesce("n2", F.lit(0))).alias("steps")))
+    state = closed.unionByName(open_)
     kind = F.when(has, "site").when(F.col("up").isNull(), "none").otherwise("cycle")
     return state.select("node", "site_id", F.when(has, F.col("steps")).alias("steps"), kind.alias("state"))
 
@@ -95,10 +102,19 @@ def end_sites(ends: DataFrame, links: DataFrame, sites: DataFrame) -> DataFrame:
     of = lambda kind: one.select(F.col("object_type").alias(f"{kind}_type"), F.col("object_oid").alias(f"{kind}_oid"), F.struct("site_id", "rule_name", "score").alias(f"by_{kind}"))
     clean = ends.withColumns({c: _text(c) for c in ("object_oid", "housing_oid")})
     out = clean.join(of("object"), ["object_type", "object_oid"], "left").join(of("housing"), ["housing_type", "housing_oid"], "left")
-    asked = clean.select("reference_label").where(~is_blank(F.col("reference_label"))).distinct()
+    # Rows without a label, which meet nothing, and rows of a label that many have are dealt out.
+    blank = is_blank(F.col("reference_label"))
+    asked = stored(clean.where(~blank).groupBy("reference_label").agg(F.count("*").alias("n")))
     named = site_matches(asked.select(F.col("reference_label").alias("value_id"), F.col("reference_label").alias("text")), sites)
     named = named.select(F.col("value_id").alias("reference_label"), F.struct("site_id", "rule_name", "score").alias("by_name"))
-    out = out.join(named, "reference_label", "left").withColumn("m", F.coalesce("by_object", "by_housing", "by_name"))
+    total = asked.agg(F.sum("n")).first()[0] or 0
+    # Fewer than HOT labels can be as frequent.
+    hot = asked.where(F.col("n") * HOT > total).select("reference_label", F.lit(True).alias("__hot"))
+    salt = F.when(blank | F.col("__hot"), F.pmod(F.xxhash64("lease_id", "object_oid", "housing_oid"), F.lit(SALTS))).otherwise(0).cast("int")
+    salts = F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    each = named.join(F.broadcast(hot), "reference_label", "left").select(F.col("reference_label").alias("__label"), salts.alias("__salt"), "by_name")
+    out = out.join(F.broadcast(hot), "reference_label", "left").withColumns({"__label": F.when(~blank, F.col("reference_label")), "__salt": salt})
+    out = out.join(each, ["__label", "__salt"], "left").withColumn("m", F.coalesce("by_object", "by_housing", "by_name"))
     return out.select(*ends.columns, F.col("m.site_id").alias("site_id"), F.col("m.rule_name").alias("rule_name"), F.coalesce("m.score", F.lit(0)).alias("score"))
 
 

@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from skein.operators import matching, spatial
-from skein.plans import reconcile
+from skein.plans import plant, reconcile
 
 
 def moved(spark, rows) -> int:
@@ -78,3 +78,31 @@ def test_nearest_moves_few_of_dense_points(spark):
     assert count < 800 * 100
     scored = spatial.best_nearby(left.limit(50).withColumn("cap", F.lit(80)), right)
     assert {r.a: (r.b, r.score) for r in scored.collect()} == {a: (min(rows)[1], 80) for a, rows in got.items() if a < 50}
+
+
+def test_circles_end_when_nothing_is_settled(spark):
+    up = spark.range(3, 3000).selectExpr("cast(id as string) as child", "cast(id div 3 as string) as parent").unionByName(spark.createDataFrame([("x", "y"), ("y", "x"), ("z", "x")], "child string, parent string"))
+    known, found = spark.createDataFrame([("1", "S1")], "node string, site_id string"), []
+    count = moved(spark, lambda: found.extend(plant.reached(up, known).collect()))
+    got = {r.node: r for r in found}
+    assert got["2187"].site_id == "S1" and got["2187"].steps == 7 and got["1"].steps == 0
+    assert {got[n].state for n in "xyz"} == {"cycle"} and got["2186"].state == "none" and len(got) == 3002
+    assert count < 30_000
+
+
+def test_ends_without_label_are_dealt_out(spark):
+    label = "case when id % 4 = 0 then 'nation 7' when id % 401 = 1 then 'Nation-8' end"
+    ends = spark.range(4000).selectExpr("cast(id as string) as lease_id", "'L1' as endpoint_label", "'a' as housing_type", "cast(id as string) as housing_oid", "'b' as object_type", "cast(id as string) as object_oid", f"{label} as reference_label")
+    links = spark.createDataFrame([("b", "5", "S5", "n", "gdb_relation", 100)], "object_type string, object_oid string, site_id string, site_name string, rule_name string, score int")
+    sites = spark.createDataFrame([("S7", 1, ["Nation 7"]), ("S8", 2, ["NATION 8"])], "site_id string, ordinal int, names array<string>")
+    set_to = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in set_to.items():
+        spark.conf.set(k, v)
+    try:
+        got = plant.end_sites(ends, links, sites).withColumn("at", F.spark_partition_id()).collect()
+    finally:
+        for k in set_to:
+            spark.conf.unset(k)
+    want = {str(i): "S5" if i == 5 else "S7" if i % 4 == 0 else "S8" if i % 401 == 1 else None for i in range(4000)}
+    assert {r.lease_id: r.site_id for r in got} == want and len(got) == 4000
+    assert max(Counter(r.at for r in got).values()) < 2400
