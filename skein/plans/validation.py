@@ -76,11 +76,13 @@ def route_checks(rows: DataFrame, routes: DataFrame, stops: DataFrame) -> DataFr
     names = routes.select("route_id", F.explode(F.array_union(F.array(F.col("route_id"), F.trim("route_ref")), route_refs(F.col("route_ref")))).alias("name")).where("name <> ''")
     name = names.groupBy("name").agg(F.min("route_id").alias("route_id"))
     met = rows.join(name, F.trim(F.col("route_ref")) == F.col("name"), "left").drop("name")
-    held = stops.select("route_id", norm_text(F.col("site")).alias("stop"), F.upper("step_type").isin("DEPART", "ARRIVEE").alias("end"))
+    held = stops.select("route_id", norm_text(F.col("site")).alias("stop"), F.upper("step_type").isin("DEPART", "ARRIVEE").alias("end")).distinct()
     ends = F.explode(F.array(*(F.struct(F.lit(e).alias("e"), norm_text(F.col(f"site_{e}")).alias("n")) for e in "az")))
     mine = met.where("route_id is not null").select("resolution_id", "route_id", ends.alias("x")).select("resolution_id", "route_id", "x.e", "x.n")
     holds = (F.col("n") != "") & (F.col("stop") != "") & (F.contains(F.col("n"), F.col("stop")) | F.contains(F.col("stop"), F.col("n")))
-    seen = mine.join(held, "route_id").groupBy("resolution_id", "e").agg(F.coalesce(F.bool_or(holds & F.col("end")), F.lit(False)).alias("t"), F.coalesce(F.bool_or(holds), F.lit(False)).alias("p"))
+    # Each name is compared once with the stops of a route, however many resolutions ask.
+    seen = mine.select("route_id", "n").distinct().join(held, "route_id").groupBy("route_id", "n").agg(F.coalesce(F.bool_or(holds & F.col("end")), F.lit(False)).alias("t"), F.coalesce(F.bool_or(holds), F.lit(False)).alias("p"))
+    seen = mine.join(seen, ["route_id", "n"]).groupBy("resolution_id", "e").agg(F.bool_or("t").alias("t"), F.bool_or("p").alias("p"))
     counts = seen.groupBy("resolution_id").agg(F.count_if("t").alias("terminal"), F.count_if(F.col("p") & ~F.col("t")).alias("passage"), F.lit(1).alias("stops"))
     out = met.join(counts, "resolution_id", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
