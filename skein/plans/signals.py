@@ -83,12 +83,19 @@ def address_matches(parsed: DataFrame, addresses: DataFrame) -> DataFrame:
     whole, label = has("s") & has("c"), has("normalized_value")
     same = has("house_number") & (F.col("number") == F.col("house_number"))
     score = lambda rule, value: [F.lit(rule).alias("match_rule"), value.cast("int").alias("match_score")]
-    by_street = want.where(whole).join(have, (F.col("c") == F.col("normalized_city")) & (F.col("s") == F.col("normalized_street_name")))
+    # Of the addresses that a rule finds by the same key the first wins, so only that one is joined.
+    first = lambda *keys: have.where(" and ".join(f"{k} is not null" for k in keys)).groupBy(*keys).agg(F.min_by(F.struct(*(c for c in have.columns if c not in keys)), F.struct("number", "ban_id")).alias("h"))
+    flat = lambda df, *keys: df.select(*(c for c in df.columns if c != "h"), *(F.col(f"h.{c}").alias(c) for c in have.columns if c not in keys))
+    street_city = ("normalized_city", "normalized_street_name")
+    at = (F.col("c") == F.col("normalized_city")) & (F.col("s") == F.col("normalized_street_name"))
+    # A house number that the street has comes before all others.
+    by_number = flat(want.where(whole & has("house_number")).join(first(*street_city, "number"), at & (F.col("house_number") == F.col("number"))), *street_city, "number")
+    by_street = by_number.unionByName(flat(want.where(whole).join(first(*street_city), at), *street_city))
     by_street = by_street.select("*", *score("ban_street_city", F.when(same, 98).otherwise(90)))
-    by_label = want.where(~whole & label).join(have, F.col("normalized_value") == F.col("normalized_label")).select("*", *score("ban_full_label_exact", F.lit(94)))
+    by_label = flat(want.where(~whole & label).join(first("normalized_label"), F.col("normalized_value") == F.col("normalized_label")), "normalized_label").select("*", *score("ban_full_label_exact", F.lit(94)))
     rest = want.where(~whole & ~label & has("c"))
-    by_code = rest.where(has("p")).join(have, (F.col("c") == F.col("normalized_city")) & (F.col("p") == F.col("code"))).select("*", *score("ban_city_postcode_only", F.lit(45)))
-    by_city = rest.where(~has("p")).join(have, F.col("c") == F.col("normalized_city")).select("*", *score("ban_city_only", F.lit(35)))
+    by_code = flat(rest.where(has("p")).join(first("normalized_city", "code"), (F.col("c") == F.col("normalized_city")) & (F.col("p") == F.col("code"))), "normalized_city", "code").select("*", *score("ban_city_postcode_only", F.lit(45)))
+    by_city = flat(rest.where(~has("p")).join(first("normalized_city"), F.col("c") == F.col("normalized_city")), "normalized_city").select("*", *score("ban_city_only", F.lit(35)))
     every = reduce(DataFrame.unionByName, [by_street, by_label, by_code, by_city])
     best = best_per_key(every, ["normalized_value", "house_number", "s", "c", "p"], [F.desc("match_score"), F.col("number"), F.col("ban_id")])
     near = F.col("match_score") >= 80
