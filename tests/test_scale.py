@@ -181,3 +181,22 @@ def test_housings_of_sites_move_no_pairs(spark):
     assert all(int(r.service_id) % sites == int(r.housing_id) % sites for r in found)
     assert [(r.service_id, r.housing_id, r.score, r.spatial_distance) for r in found if r.score != 78 or r.spatial_distance is not None] == [("30", "0", 90, 10.0)]
     assert count < n * each / 4
+
+
+def test_letters_that_fold_to_several_are_sought_fast(spark):
+    import time
+
+    from skein.functions import text
+
+    rows = spark.range(0, 60, 1, 1).select(F.concat(F.repeat(F.lit("lorem ipsum dolor sit amet "), 4000), F.lit("é"), F.col("id").cast("string")).alias("t"))
+
+    def seconds(pattern):
+        took = []
+        for _ in range(3):
+            start = time.perf_counter()
+            assert rows.where(F.col("t").rlike(pattern)).count() == 0
+            took.append(time.perf_counter() - start)
+        return min(took)
+
+    assert seconds(text._LONG) < 0.7 * seconds(text._ranges(text._SEVERAL))
+    assert spark.createDataFrame([("\ufb01bre",), ("\U0001f130 x \U0001f100",), ("é",)], "t string").select(F.col("t").rlike(text._LONG).alias("x")).collect() == [(True,), (True,), (False,)]
