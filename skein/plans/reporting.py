@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skein.functions.text import is_blank
+from skein.operators.ranking import stored
 from skein.sinks import write_export
 
 # The least score of strong evidence, and the fields that make a support.
@@ -53,6 +54,13 @@ def figures(tables: dict[str, DataFrame]) -> DataFrame:
     every = F.count(F.lit(1))
     filled = lambda c: F.count_if(~is_blank(F.col(c))) if c in has["final"] else F.lit(0)
     near = F.count_if(F.col("spatial_confidence_band") != "none") if "spatial_confidence_band" in has["final"] else F.lit(0)
+    published = {
+        "Published rows": every, "Rows with final party": filled("final_party_id"), "Rows with site A": filled("site_a_id"), "Rows with site Z": filled("site_z_id"), "Rows with network support": F.count_if(_any(NETWORK, has["final"])),
+        "Rows with optical support": F.count_if(_any(FINAL_OPTICAL, has["final"])), "Rows with usable spatial evidence": near,
+    }
+    # The published rows are costly to make, so they are counted once, by status and source.
+    kinds = ["publication_status", "selected_truth_source"]
+    per = stored(t["final"].groupBy(*kinds).agg(*(c.cast("long").alias(f"c{i}") for i, c in enumerate(published.values()))))
     parts = [
         _rows(t["lines"], "Scope", {"Active lines loaded": every}),
         _services(t["endpoints"], "Coverage", {"Services with matched site": F.col("matched_site_id").isNotNull()}),
@@ -62,16 +70,13 @@ def figures(tables: dict[str, DataFrame]) -> DataFrame:
         _rows(t["gold"], "Coverage", {"Services auto-validated": F.count_if(F.col("match_state") == "auto_valid"), "Services requiring review": F.count_if(F.col("match_state") == "review_required")}),
         _rows(t["queue"], "Coverage", {"Open review items": F.count_if(F.col("current_state") == "open")}),
         *(_rows(t[n], "Referential assets", {title: every}) for n, title in (("parties", "Parties"), ("devices", "Network devices"), ("vlans", "Network VLAN labels"))),
-        _rows(t["final"], "Final publication", {
-            "Published rows": every, "Rows with final party": filled("final_party_id"), "Rows with site A": filled("site_a_id"), "Rows with site Z": filled("site_z_id"), "Rows with network support": F.count_if(_any(NETWORK, has["final"])),
-            "Rows with optical support": F.count_if(_any(FINAL_OPTICAL, has["final"])), "Rows with usable spatial evidence": near,
-        }),
+        _rows(per, "Final publication", {n: F.coalesce(F.sum(f"c{i}"), F.lit(0)) for i, n in enumerate(published)}),
     ]
     # The total and the natures are grouping sets of one pass, as are statuses and sources.
     mix = t["services"].rollup("nature_service").agg(every.alias("value"), F.grouping("nature_service").alias("g"))
     parts.append(mix.select(F.when(F.col("g") == 1, "Scope").otherwise("Service mix").alias("section"), F.when(F.col("g") == 1, "Active services built").otherwise(F.coalesce("nature_service", F.lit("unknown"))).alias("name"), "value"))
-    sets = t["final"].select("publication_status", "selected_truth_source").groupingSets([["publication_status"], ["selected_truth_source"]], "publication_status", "selected_truth_source")
-    sets = sets.agg(every.alias("value"), F.grouping("publication_status").alias("g"))
+    sets = per.groupingSets([[c] for c in kinds], *kinds)
+    sets = sets.agg(F.sum("c0").alias("value"), F.grouping("publication_status").alias("g"))
     parts.append(sets.select(F.when(F.col("g") == 1, "Final truth sources").otherwise("Final publication statuses").alias("section"), F.when(F.col("g") == 1, F.col("selected_truth_source")).otherwise(F.col("publication_status")).alias("name"), "value"))
     return reduce(DataFrame.unionByName, parts)
 

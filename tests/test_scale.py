@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from skein.operators import matching, spatial
-from skein.plans import plant, reconcile, signals, validation
+from skein.plans import plant, reconcile, reporting, signals, validation
 
 
 def moved(spark, rows) -> int:
@@ -200,3 +200,19 @@ def test_letters_that_fold_to_several_are_sought_fast(spark):
 
     assert seconds(text._LONG) < 0.7 * seconds(text._ranges(text._SEVERAL))
     assert spark.createDataFrame([("\ufb01bre",), ("\U0001f130 x \U0001f100",), ("é",)], "t string").select(F.col("t").rlike(text._LONG).alias("x")).collect() == [(True,), (True,), (False,)]
+
+
+def test_published_rows_are_made_once(spark):
+    none = lambda schema: spark.createDataFrame([], schema)
+    final = spark.range(2000).selectExpr("id as service_id", "if(id % 3 = 0, null, concat('s', id % 2)) as publication_status", "concat('t', id % 4) as selected_truth_source", "if(id % 5 = 0, 'P', ' ') as final_party_id", "'S' as site_a_id", "'' as site_z_id")
+    tables = {n: none("service_id long") for n in ("lines", "optical", "network", "parties", "devices", "vlans")} | {
+        "services": none("nature_service string"), "endpoints": none("service_id long, matched_site_id string"), "evidence": none("service_id long, score int, evidence_type string"),
+        "gold": none("match_state string"), "queue": none("current_state string"), "final": final.repartition(3),
+    }
+    found = []
+    count = moved(spark, lambda: found.extend(reporting.figures(tables).collect()))
+    got = {(r.section, r.name): r.value for r in found if r.section.startswith("Final")}
+    want = {("Final publication", n): v for n, v in (("Published rows", 2000), ("Rows with final party", 400), ("Rows with site A", 2000), ("Rows with site Z", 0), ("Rows with network support", 0), ("Rows with optical support", 0), ("Rows with usable spatial evidence", 0))}
+    want |= {("Final truth sources", f"t{i}"): 500 for i in range(4)} | {("Final publication statuses", s): n for s, n in ((None, 667), ("s0", 666), ("s1", 667))}
+    assert got == want
+    assert count < 3000
