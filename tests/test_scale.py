@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from skein.operators import matching, spatial
-from skein.plans import plant, reconcile, reporting, signals, validation
+from skein.plans import bundles, plant, reconcile, reporting, signals, validation
 
 
 def moved(spark, rows) -> int:
@@ -216,3 +216,24 @@ def test_published_rows_are_made_once(spark):
     want |= {("Final truth sources", f"t{i}"): 500 for i in range(4)} | {("Final publication statuses", s): n for s, n in ((None, 667), ("s0", 666), ("s1", 667))}
     assert got == want
     assert count < 3000
+
+
+def test_signals_of_several_parts_move_as_one_row(spark):
+    # Every signal stands in three parts; service 0 has 4,000 of them, the others 10 each.
+    n, hot = 300, 4000
+    services = spark.range(n).selectExpr("id as service_id", "cast(null as string) as principal_client", "cast(null as string) as client_final")
+    signals = spark.range(hot + 10 * (n - 1)).selectExpr(
+        f"if(id < {hot}, 0, 1 + (id - {hot}) div 10) as service_id", "lpad(id, 6, '0') as source_column", "'v' || id as raw_value", "if(id % 2 = 0, 'postal_address_precise', 'mixed_site_address') as signal_kind", "0 as signal_score", "1 as source_priority", "false as is_noise"
+    )
+    none = lambda columns: spark.createDataFrame([], columns)
+    parties, aliases = none("party_id string, canonical_name string"), none("party_id string, alias_value string, normalized_alias string")
+    given, seeds = none("service_id long, role_name string, party_id string, rule_name string, score int"), none("service_id long, source_column string, raw_value string, match_rule string, match_score int, seed_priority int")
+    evidence = none("service_id long, target_table string, target_id string, distance_meters double, adjusted_score int, rule_name string")
+    found = []
+    count = moved(spark, lambda: found.extend(bundles.decision_pack(services, given, aliases, parties, signals, seeds, evidence).collect()))
+    got = {r.service_id: r for r in found}
+    told = lambda xs: [x.raw_value for x in xs]
+    assert told(got[0].signals) == [f"v{i}" for i in range(40)] and told(got[0].site_signals) == told(got[0].address_signals) == [f"v{i}" for i in range(5)] and got[0].seeds == []
+    assert told(got[7].signals) == [f"v{hot + 60 + i}" for i in range(10)] and told(got[7].address_signals) == [f"v{hot + 60 + i}" for i in range(5)] and len(got) == n
+    # Twice each signal of the others, and services; of service 0 no more than 40 of each kind from a task.
+    assert count < 2 * 10 * n + 8 * n
