@@ -1,9 +1,11 @@
 """Exact token ids of whole texts, fast: the tokenizers library merges each distinct piece once.
 
 Both vocabularies cut a text at white space before they merge, so the ids of a text are those of its
-pieces in order. A bounded dictionary keeps the ids of pieces seen before. A new piece that is a word
-with or without punctuation after it, as nearly all are, goes to the library's merge model in those
-two parts, as its own splitter would cut it; any other piece is encoded by the library as it stands.
+pieces in order. A bounded dictionary keeps the ids of pieces seen before and learns a new one when a text first asks for it, so
+a text is gone through once. A new piece that is a word with or without punctuation after it, as nearly
+all are, goes to the library's merge model in those two parts, as its own splitter would cut it. For the
+byte-level vocabulary, other printable ASCII is cut by that splitter's pattern, and its parts go there
+too. Any other piece is encoded by the library as it stands.
 So is every piece with the literal of an added token (`<|endoftext|>`), which gets that token's id: the
 literals begin with punctuation and have no white space, so no cut goes through one.
 Texts with unusual white space are cut only where one space stands between two other characters,
@@ -24,6 +26,8 @@ _OTHER_SPACE = re.compile(r"[^\S \n]")
 _PYTHON_ONLY_SPACE = re.compile(r"[\x1c-\x1f]")
 #: Letters below this need no composition, and lower-case one by one.
 _PLAIN_LETTERS = "ɐ"
+#: What the byte-level splitter leaves whole, in printable ASCII without a space but the first.
+_ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+")
 
 
 def byte_characters() -> list[str]:
@@ -54,7 +58,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.words = kind == "word"
         self.pieces = self._word_pieces if self.words else self._byte_pieces
-        self.cache: dict[str, bytes] = {}
+        self.cache = _Learning(self._learned)
         self.parts: dict[str, bytes] = {}
 
     @staticmethod
@@ -76,46 +80,58 @@ class Encoder:
             return piece[1:]
         return piece if piece == "\n" or self.words else " " + piece
 
-    def _part(self, plain: str) -> bytes:
+    def _merged(self, plain: str) -> bytes:
         """Ids of what the library's splitter leaves whole."""
+        if plain.isascii() and not self.words:
+            shown = "Ġ" + plain[1:] if plain[0] == " " else plain
+        else:
+            shown = (plain.lower() if self.words else plain).encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+        return _ids([t.id for t in self.model.tokenize(shown)])
+
+    def _part(self, plain: str) -> bytes:
         got = self.parts.get(plain)
         if got is None:
-            shown = (plain.lower() if self.words else plain).encode().decode("latin-1").translate(_BYTE_CHARACTERS)
-            got = self.parts[plain] = _ids([t.id for t in self.model.tokenize(shown)])
+            got = self.parts[plain] = self._merged(plain)
         return got
 
-    def _learn(self, new: set[str]) -> None:
-        if len(self.cache) > self.most:
-            self.cache.clear()
-            self.parts.clear()
-        odd = []
-        for piece in new:
-            plain = self._plain(piece)
-            space = plain[:1] == " "
-            core = plain.rstrip(string.punctuation)
-            letters = core[space:]
-            if letters.isalpha() and max(letters) < _PLAIN_LETTERS and "İ" not in letters:
-                tail = plain[len(core) :]
-                self.cache[piece] = self._part(core) + self._part(tail) if tail else self._part(core)
-            else:
-                odd.append(piece)
-        if odd:
-            for piece, e in zip(odd, self.tokenizer.encode_batch_fast([self._plain(x) for x in odd], add_special_tokens=False)):
-                self.cache[piece] = _ids(e.ids)
+    def _learned(self, piece: str) -> bytes:
+        """Ids of a piece not seen before. A word with punctuation after it is the word, which may have
+        been seen, and the punctuation."""
+        bare = piece.rstrip(string.punctuation)
+        if bare != piece and bare and bare != "\0" and self._is_word(bare):
+            return self.cache[bare] + self._part(piece[len(bare) :])
+        plain = self._plain(piece)
+        if bare == piece and self._is_word(piece):
+            return self._merged(plain)
+        if not self.words and plain.isascii() and plain.isprintable() and plain != " " and " " not in plain[1:] and "<|" not in plain:
+            return b"".join(map(self._part, _ASCII_PARTS.findall(plain)))
+        return _ids(self.tokenizer.encode(plain, add_special_tokens=False).ids)
+
+    @staticmethod
+    def _is_word(piece: str) -> bool:
+        letters = piece[1:] if piece[:1] == "\0" else piece
+        return letters.isalpha() and (letters.isascii() or (max(letters) < _PLAIN_LETTERS and "İ" not in letters))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not self.words and "\0" in text:
             return _ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        pieces = self.pieces(text)
-        found = list(map(self.cache.get, pieces))
-        if None not in found:
-            return b"".join(found)
-        missing = {p for p, x in zip(pieces, found) if x is None}
-        known = {p: x for p, x in zip(pieces, found) if x is not None} if len(self.cache) > self.most else {}
-        self._learn(missing)
-        return b"".join(map((self.cache | known if known else self.cache).__getitem__, pieces))
+        if len(self.cache) > self.most:
+            self.cache.clear()
+            self.parts.clear()
+        return b"".join(map(self.cache.__getitem__, self.pieces(text)))
+
+
+class _Learning(dict):
+    """Ids by piece; learns a piece when it is first asked for."""
+
+    def __init__(self, learned):
+        self.learned = learned
+
+    def __missing__(self, piece: str) -> bytes:
+        got = self[piece] = self.learned(piece)
+        return got
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}

@@ -207,6 +207,17 @@ def test_encoder(spark, docs, kind):
         assert np.frombuffer(ours.encode(x), "<u4").tolist() == (library.encode(x, add_special_tokens=False).ids if x else []), repr(x)
 
 
+def test_encoder_learns_parts_of_ascii():
+    # Only the merge model is asked: pieces with hyphens, digits or short endings are cut as the library's
+    # splitter cuts them, and a word is kept once, whatever stands after it.
+    ours, library = tokens.Encoder(token_files.byte_vocabulary(), "byte"), encoders()["byte"]
+    ours.tokenizer = None
+    text = "Vorlane-tiske they're ab12cd, (x_y) 'tis don't! $9.50 word word, word. a--b ~|> end's"
+    for x in (text, "'s", "-", "it'll'", text[::-1]):
+        assert np.frombuffer(ours.encode(x), "<u4").tolist() == library.encode(x, add_special_tokens=False).ids, x
+    assert " word" not in ours.parts and {"word", "word,", "word."} <= ours.cache.keys()
+
+
 def test_token_files_query(spark):
     library = encoders()["byte"]
     at, want = 0, []
