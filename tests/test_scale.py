@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from skein.operators import matching, spatial
-from skein.plans import bundles, plant, reconcile, reporting, signals, validation
+from skein.plans import bundles, candidates, plant, reconcile, reporting, signals, validation
 
 
 def moved(spark, rows) -> int:
@@ -237,3 +237,23 @@ def test_signals_of_several_parts_move_as_one_row(spark):
     assert told(got[7].signals) == [f"v{hot + 60 + i}" for i in range(10)] and told(got[7].address_signals) == [f"v{hot + 60 + i}" for i in range(5)] and len(got) == n
     # Twice each signal of the others, and services; of service 0 no more than 40 of each kind from a task.
     assert count < 2 * 10 * n + 8 * n
+
+
+def test_supports_by_reference_move_no_pairs(spark, monkeypatch):
+    # Each service has references of its own choice, which all meet many targets; every third target has two.
+    n, m = 300, 3000
+    monkeypatch.setattr(candidates, "PIECE", 100)
+    services = spark.range(n).selectExpr("id as service_id", "array(concat('S', id % 3), concat('S', 3 + id % 5), concat('T', id), null, concat('S', id % 3)) as refs")
+    ref = "explode(if(id % 3 = 0, array(concat('S', id % 8), concat('S', id * 7 % 8)), array(concat('S', id % 8), null))) as ref"
+    routes, housings = (spark.range(m).selectExpr(ref, f"concat('{k}', id) as target") for k in "RH")
+    broadcasts = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    found = []
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        count = moved(spark, lambda: found.extend(candidates.supports_by_reference(services, "refs", {"route": routes, "housing": housings}).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
+    of = lambda i: {i % 8, i * 7 % 8} if i % 3 == 0 else {i % 8}
+    want = sorted((s, k, f"{t}{i}", rule, score) for s in range(n) for i in range(m) if of(i) & {s % 3, 3 + s % 5} for k, t, rule, score in (("route", "R", "route_ref_exact", 100), ("housing", "H", "housing_route_ref_exact", 82)))
+    assert sorted(tuple(r) for r in found) == want
+    assert count < 12 * (n + m)
