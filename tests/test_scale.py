@@ -4,8 +4,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from skein.operators import matching, spatial
-from skein.plans import bundles, candidates, plant, reconcile, reporting, signals, validation
+from skein.operators import matching, spatial, substrings
+from skein.plans import bundles, candidates, plant, reconcile, reporting, signals, validation, vlan_hunt
 
 
 def moved(spark, rows) -> int:
@@ -257,3 +257,32 @@ def test_supports_by_reference_move_no_pairs(spark, monkeypatch):
     want = sorted((s, k, f"{t}{i}", rule, score) for s in range(n) for i in range(m) if of(i) & {s % 3, 3 + s % 5} for k, t, rule, score in (("route", "R", "route_ref_exact", 100), ("housing", "H", "housing_route_ref_exact", 82)))
     assert sorted(tuple(r) for r in found) == want
     assert count < 12 * (n + m)
+
+
+def test_vlan_hunt_moves_services_once(spark):
+    n = 400
+    none = "cast(null as string)"
+    services = spark.range(n).selectExpr("id as service_id", f"{none} as client_final", f"{none} as principal_client", "'OPE7/L2L9' as principal_external_ref", "array() as service_refs", f"{none} as endpoint_a_raw", f"{none} as endpoint_z_raw", f"{none} as site_a_name", f"{none} as site_z_name")
+    lines = spark.range(2).selectExpr("concat('i', id) as interface_id", "concat('dev', id) as device_name", "'Gi' as interface_name", "concat('vers ope7/l2l9 /', 77 + id) as description", "array() as service_refs", "array() as vlan_ids")
+    tables = {
+        "signals": spark.createDataFrame([], "service_id long, route_refs array<string>"), "subinterfaces": spark.createDataFrame([], "device_name string, interface_name string, vlan_id int, site_code string, xconnect_circuit_id string"),
+        "interfaces": lines, "swag": lines.limit(0).withColumnRenamed("device_name", "hostname"), "cpes": spark.createDataFrame([], "service_id long, hostname string"),
+        "vlans": spark.range(40).selectExpr("concat('V', lpad(id, 2, '0')) as network_vlan_id", "cast(77 + id % 2 as int) as vlan_id", "'z' as device_name", "concat('label ', id) as label"),
+    }
+    found = []
+    count = moved(spark, lambda: found.extend(vlan_hunt.hunt(services, tables).collect()))
+    want = [(s, str(77 + i), f"V{2 * k + i:02}") for s in range(n) for i in range(2) for k in range(8)]
+    assert sorted((r.service_id, r.vlan_id, r.network_vlan_id) for r in found) == sorted(want)
+    # 16 rows a service are found.
+    assert count < 16 * n
+
+
+def test_common_words_move_few_texts(spark):
+    n, most = 4000, 3
+    texts = spark.range(n).selectExpr("id as text_id", "concat('alpha bravo charlie delta, ', array_join(split(id, ''), ' ')) as text")
+    patterns = spark.createDataFrame([("alpha",), ("rav",), ("elta,",), ("pha br",)], "pattern string")
+    found = []
+    count = moved(spark, lambda: found.extend(substrings.contained(patterns, texts, [], most).collect()))
+    assert sorted((r.pattern, r.text_id) for r in found) == sorted((p, i) for p in ("alpha", "rav", "elta,", "pha br") for i in range(most))
+    # Texts move where a pattern has a blank, once to count its grams and once to compare.
+    assert count < 2 * n + 1000
