@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from skein.operators import matching, spatial, substrings
-from skein.plans import bundles, candidates, plant, reconcile, reporting, signals, validation, vlan_hunt
+from skein.plans import bundles, candidates, plant, reconcile, reporting, route_hunt, signals, validation, vlan_hunt
 
 
 def moved(spark, rows) -> int:
@@ -277,6 +277,26 @@ def test_vlan_hunt_moves_services_once(spark):
     assert count < 16 * n
 
 
+def test_route_hunt_moves_services_once(spark):
+    n, m = 400, 30
+    none = "cast(null as string)"
+    services = spark.range(n).selectExpr("id as service_id", "'Norbert' as client_final", *(f"{none} as {c}" for c in ("principal_client", "principal_external_ref", "endpoint_a_raw", "endpoint_z_raw", "site_a_id", "site_a_name", "site_z_id", "site_z_name")))
+    empty = lambda schema: spark.createDataFrame([], schema)
+    tables = {
+        "signals": empty("service_id long, route_refs array<string>"), "lease_ends": empty("optical_lease_id string, endpoint_label string, site_id string"), "stops": empty("route_ref string, step_no int, site string"),
+        "leases": spark.range(m).selectExpr("lpad(id, 2, '0') as optical_lease_id", "concat('R', id) as ref_exploit", f"{none} as reference", f"{none} as client", f"{none} as lessee", "'pour norbert' as comments"),
+        "housings": empty("housing_id string, migration_oid string, site_id string, site_name string"), "connections": empty("housing_oid string, obj1_type string, obj1_oid string, obj2_type string, obj2_oid string"),
+        "cables": empty("cable_id string, cable_oid string, reference string, userreference string"),
+    }
+    marks = spark.range(n).selectExpr("id as service_id", "'R3' as route_ref", "70 as coherence")
+    found = []
+    count = moved(spark, lambda: found.extend(route_hunt.hunt(services, tables, marks).collect()))
+    got = sorted((r.service_id, r.candidate, r.lease_id, r.source, r.coherence) for r in found)
+    assert got == sorted((s, f"R{i}", f"{i:02}", "lease_comment_token_match", 70 if i == 3 else 0) for s in range(n) for i in range(12))
+    # 12 rows a service are found.
+    assert count < 24 * n
+
+
 def test_common_words_move_few_texts(spark):
     n, most = 4000, 3
     texts = spark.range(n).selectExpr("id as text_id", "concat('alpha bravo charlie delta, ', array_join(split(id, ''), ' ')) as text")
