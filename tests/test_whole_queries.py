@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import duckdb
 
 from skein import queries
+from skein.plans import bundles
 
 SF = "/root/testdata/sf0.001"
 
@@ -78,3 +79,24 @@ def test_optical_bundles_upper_letter_by_letter(spark, tmp_path):
     (tmp_path / "documents.parquet").unlink()
     duckdb.sql(f"COPY (SELECT doc_id, 'w w w Strassen w w' AS text, lang, source, n_chars FROM '{SF}/documents.parquet' LIMIT 3) TO '{tmp_path}/documents.parquet'")
     assert {r.nearby_cables for r in queries.QUERIES["optical_bundles"](spark, str(tmp_path)).collect()} == {"901"}
+
+
+def test_optical_bundles_are_whole(spark):
+    rows = lambda n, *columns: spark.range(n).selectExpr(*columns)
+    services = rows(2, "id as service_id", "if(id = 0, 'Senlis Gare', null) as site_a_name", "'Beauvais senlis' as site_z_name")
+    # Of service 0: 30 supports of each kind, and 30 leases with two ends each.
+    supports = rows(120, "0L as service_id", "element_at(array('route', 'lease', 'cable', 'housing'), cast(id % 4 + 1 as int)) as support_type", "lpad(id div 4, 3, '0') as support_id", "if(id % 4 = 0, 'R1', null) as route_ref", "'r' as rule_name", "cast(id as int) as score")
+    tables = {
+        "logical_routes": rows(40, "lpad(id, 3, '0') as logical_route_id", "'R1' as route_ref", "'l' as source_layer"), "lease_ends": rows(60, "lpad(id div 2, 3, '0') as optical_lease_id", "if(id % 2 = 0, 'A', 'Z') as endpoint_label", "'S' as site_id"),
+        "cables": rows(60, "lpad(id, 3, '0') as cable_id", "'x' as reference", "'y' as userreference", "cast(12 as int) as number_of_fibers", "array('SENLIS', if(id < 50, 'BEAUVAIS', 'x')) as site_tokens"),
+        "housings": rows(30, "lpad(id, 3, '0') as housing_id", "'t' as housing_type", "'r' as reference", "'S' as site_id"), "stops": rows(70, "concat('R', lpad(id, 3, '0')) as route_ref", "if(id < 40, 'pop SENLIS', 'xbeauvaisx') as site"),
+    }
+    got = {r.service_id: r for r in bundles.bundle(services, bundles.optical_parts(services, supports, tables)).collect()}
+    ids = lambda xs: [x.id for x in xs]
+    some = lambda *ns: [f"{i:03}" for i in ns]
+    one, two = got[0], got[1]
+    assert [x.score for x in one.optical_hints] == list(range(119, -1, -1)) and [x.logical_route_id for x in one.logical_routes] == some(*range(40))
+    assert [(x.id, x.endpoint_label) for x in one.lease_ends] == [(f"{i:03}", e) for i in range(30) for e in "AZ"] and ids(one.cables) == ids(one.housings) == some(*range(30))
+    # Its own cables are none of those nearby.
+    assert ids(one.nearby_cables) == some(*range(30, 60)) and ids(two.nearby_cables) == some(*range(60)) and two.cables == []
+    assert [x.route_ref for x in one.stops] == [f"R{i}" for i in some(*range(70))] and [x.route_ref for x in two.stops] == [f"R{i}" for i in some(*range(40, 70), *range(40))]
